@@ -70,8 +70,9 @@ def terms(spark, d):
     return trn.review_terms(src.labelled_reviews(spark, d))
 
 
-def scored(spark, d, kind="Count", boost=1.0):
-    return trn.naive_bayes_scores(corpus(spark, d), kind, boost)
+def scored(spark, d, kind="Count", boost=None):
+    result = trn.naive_bayes_scores(corpus(spark, d), kind, {"boosted": boost} if boost else None)
+    return result.drop("model")
 
 
 def predictions(spark, d):
@@ -284,8 +285,8 @@ def relational(spark, d, models=trn.RELATIONAL):
 
 
 def baseline_and_tuned(spark, d):
-    metrics = stage(relational(spark, d, trn.RELATIONAL[:2]), "metrics")
-    plain = trn.RELATIONAL[0][0]
+    plain, tuned = list(trn.RELATIONAL)[:2]
+    metrics = stage(relational(spark, d, {m: trn.RELATIONAL[m] for m in (plain, tuned)}), "metrics")
     named = metrics.withColumn("model", F.lit(plain))
     return (named.where(metrics["model"] == plain).drop("ordinal"), named.where(metrics["model"] != plain).drop("ordinal"))
 
@@ -376,7 +377,7 @@ def group_sentences(spark, d):
 def chunk_sizes(spark, d):
     reviews = normal(spark, d).withColumn("category", F.when(F.col("review_id") % 3 == 0, "third").otherwise("rest"))
     packed = chk.chunks(summ.sentence_corpus(reviews.select(*GROUP, "review_id", "text")))
-    return packed.select(*GROUP, "chunk_no", F.md5("chunk").alias("chunk_md5"), F.length("chunk").alias("n_chars"))
+    return packed.select(*GROUP, "chunk_no", F.md5("chunk").alias("chunk_md5"), F.length("chunk").cast("bigint").alias("n_chars"))
 
 
 def two_level(spark, d):

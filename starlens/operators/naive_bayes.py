@@ -12,7 +12,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from starlens.constants import SENTIMENTS, VOCABULARY_SIZE
+from starlens.constants import NEUTRAL, SENTIMENTS, VOCABULARY_SIZE
 from starlens.functions.text import let
 from starlens.operators.features import bounded
 
@@ -30,35 +30,58 @@ def per_class(value: Column) -> list[Column]:
     ]
 
 
-def fit(documents: DataFrame, rows: DataFrame, alpha: float = 1.0, weight: str = "copies") -> DataFrame:
-    """``term, log_negative, log_neutral, log_positive``.
+def class_sums(rows: DataFrame, weight: str = "copies") -> DataFrame:
+    """Feature mass per term and class; one row per vocabulary term."""
+    return rows.groupBy("term").agg(*per_class(F.col("value") * F.col(weight)))
 
-    ``documents`` and ``rows`` (their long features) carry ``sentiment`` and a
-    weight column, which stands for repeated or weighted training rows.
+
+def class_sizes(documents: DataFrame, weight: str = "copies") -> DataFrame:
+    """Document mass per class, as a single row under the empty term."""
+    return documents.agg(*per_class(F.col(weight))).select(F.lit(BIAS).alias("term"), *SENTIMENTS)
+
+
+def log_model(sums: DataFrame, sizes: DataFrame, boosts: dict[str, float], alpha: float = 1.0) -> DataFrame:
+    """``model, term, log_negative, log_neutral, log_positive`` for each named boost of the Neutral class.
+
+    A class weight only scales the sums of its class, so all variants come
+    from the same sums. Both tables are no longer than the vocabulary.
     """
-    sums = rows.groupBy("term").agg(*per_class(F.col("value") * F.col(weight)))
-    # Behind the aggregation there is one row per vocabulary term.
-    terms = Window.partitionBy(F.lit(1))
-    likelihoods = sums.select("term", *[
+    variants = F.array(*[F.struct(F.lit(m).alias("model"), F.lit(float(b)).alias("boost")) for m, b in boosts.items()])
+
+    def each(table):
+        scaled = {s: F.col(s) * F.col("boost") if s == NEUTRAL else F.col(s) for s in SENTIMENTS}
+        return table.select("*", F.inline(variants)).select("model", "term", *[scaled[s].alias(s) for s in SENTIMENTS])
+
+    terms = Window.partitionBy("model")
+    likelihoods = each(sums).select("model", "term", *[
         F.ln((F.col(s) + alpha) / (F.sum(s).over(terms) + alpha * F.count("*").over(terms))).alias(log_name(s))
         for s in SENTIMENTS
     ])
-    sizes = documents.agg(*per_class(F.col(weight)))
     whole = sum((F.col(s) for s in SENTIMENTS), F.lit(0.0))
-    priors = sizes.select(F.lit(BIAS).alias("term"), *[F.ln(F.col(s) / whole).alias(log_name(s)) for s in SENTIMENTS])
+    priors = each(sizes).select("model", "term", *[F.ln(F.col(s) / whole).alias(log_name(s)) for s in SENTIMENTS])
     return likelihoods.unionByName(priors)
 
 
+def fit(documents: DataFrame, rows: DataFrame, boosts: dict[str, float] | None = None, weight: str = "copies") -> DataFrame:
+    """The model table (see ``log_model``).
+
+    ``documents`` and ``rows`` (their long features) carry ``sentiment`` and a
+    weight column, which stands for repeated or weighted training rows.
+    """
+    return log_model(class_sums(rows, weight), class_sizes(documents, weight), boosts or {"Naive Bayes": 1.0})
+
+
 def predict(
     documents: DataFrame, rows: DataFrame, model: DataFrame, keys: Sequence[str] = ("review_id", "sentiment"),
     size: int = VOCABULARY_SIZE,
 ) -> DataFrame:
-    """``keys`` with the predicted class, its confidence and all probabilities.
+    """``model, keys`` with the predicted class, its confidence and all probabilities.
 
-    The true class, where there is one, comes out as ``actual``.
+    All models in the table score in the same pass. The true class, where
+    there is one, comes out as ``actual``.
     """
     carried = [F.col(k).alias("actual") if k == "sentiment" else F.col(k) for k in keys]
-    names = ["actual" if k == "sentiment" else k for k in keys]
+    names = ["model", *["actual" if k == "sentiment" else k for k in keys]]
     entries = rows.select(*carried, "term", "value").unionByName(
         documents.select(*carried, F.lit(BIAS).alias("term"), F.lit(1.0).alias("value"))
     )

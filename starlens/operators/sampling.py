@@ -23,14 +23,14 @@ BUCKET_DIGITS = 4
 
 def quota_cut(
     df: DataFrame, keys: Sequence[str], quotas: Callable[[DataFrame], DataFrame], row_id: str = "review_id"
-) -> DataFrame:
-    """Per group, the sampling key of the last row that fits its quota.
-
-    ``quotas`` turns the group sizes ``(*keys, n)`` into ``(*keys, quota)``. The
-    groups must be few (classes, or the whole table), since the result is
-    broadcast. Rows are counted per group and leading hash digits; only the one
-    bucket per group in which the quota ends is ranked, about 1/65536 of it.
-    A group with quota 0 gets no line.
+) -> list:
+    """Per group, the sampling key and id of the last row that fits its quota.
+
+    ``quotas`` turns the group sizes ``(*keys, n)`` into ``(*keys, quota)``.
+    Rows are counted per group and leading hash digits; only the one bucket per
+    group in which the quota ends is ranked, about 1/65536 of it. The groups
+    are classes (or the whole table), so the cut is a handful of rows, which
+    the driver then writes into expressions. A group with quota 0 has none.
     """
     keys = list(keys)
     slim = df.select(*keys, F.col(row_id).alias("cut_id"), sampling_key(F.col(row_id)).alias("cut_key"))
@@ -48,22 +48,25 @@ def quota_cut(
     return (
         slim.join(F.broadcast(last), [*keys, "bucket"])
         .withColumn("rank", rank).where(F.col("rank") == F.col("place"))
-        .select(*keys, "cut_key", "cut_id")
+        .select(*keys, "cut_key", "cut_id").collect()
     )
 
 
-def within_cut(row_id: Column) -> Column:
-    """True for rows at or before the cut that was joined on; null cut means none."""
+def within_cut(cuts: list, group: Column, row_id: Column) -> Column:
+    """True for rows at or before the cut of their group; a plain comparison, no join."""
     key = sampling_key(row_id)
-    inside = (key < F.col("cut_key")) | ((key == F.col("cut_key")) & (row_id <= F.col("cut_id")))
-    return F.coalesce(inside, F.lit(False))
+    inside = F.lit(False)
+    for value, cut_key, cut_id in cuts:
+        before = (key < cut_key) | ((key == cut_key) & (row_id <= F.lit(cut_id)))
+        inside = F.when(group == value, before).otherwise(inside)
+    return inside
 
 
 def capped_sample(df: DataFrame, cap: int = SAMPLE_ROWS, row_id: str = "review_id") -> DataFrame:
     """``min(cap, n)`` rows in random but repeatable choice."""
     whole = df.withColumn("cut_group", F.lit(0))
-    cut = quota_cut(whole, ["cut_group"], lambda s: s.withColumn("quota", F.least("n", F.lit(cap))), row_id)
-    return whole.join(F.broadcast(cut), "cut_group").where(within_cut(F.col(row_id))).select(*df.columns)
+    cuts = quota_cut(whole, ["cut_group"], lambda s: s.withColumn("quota", F.least("n", F.lit(cap))), row_id)
+    return whole.where(within_cut(cuts, F.col("cut_group"), F.col(row_id))).select(*df.columns)
 
 
 def first_rows(df: DataFrame, n: int = BASELINE_ROWS, row_id: str = "review_id") -> DataFrame:
@@ -106,9 +109,9 @@ def group_sample(
 
 def stratified_split(df: DataFrame, label: str = "sentiment", share: float = TEST_SHARE, row_id: str = "review_id") -> DataFrame:
     """Add ``split``: the given share of every class is ``test``, the rest ``train``."""
-    cut = quota_cut(df, [label], lambda s: s.withColumn("quota", F.round(F.lit(share) * F.col("n"))), row_id)
-    split = F.when(within_cut(F.col(row_id)), "test").otherwise("train")
-    return df.join(F.broadcast(cut), label, "left").select(*df.columns, split.alias("split"))
+    cuts = quota_cut(df, [label], lambda s: s.withColumn("quota", F.round(F.lit(share) * F.col("n"))), row_id)
+    test = within_cut(cuts, F.col(label), F.col(row_id))
+    return df.withColumn("split", F.when(test, "test").otherwise("train"))
 
 
 def class_counts(df: DataFrame, label: str = "sentiment") -> DataFrame:
@@ -128,39 +131,22 @@ def with_sample_weight(df: DataFrame, weights: DataFrame, label: str = "sentimen
     return df.join(F.broadcast(weights.select(label, "weight")), label)
 
 
-def check_over_sampling(sizes: DataFrame, label: str = "sentiment") -> DataFrame:
-    """One line with the class sizes; fails at run time if Neutral exceeds Negative."""
-    wide = sizes.agg(
-        F.coalesce(F.sum(F.when(F.col(label) == NEGATIVE, F.col("n"))), F.lit(0)).alias("n_negative"),
-        F.coalesce(F.sum(F.when(F.col(label) == NEUTRAL, F.col("n"))), F.lit(0)).alias("n_neutral"),
-    )
-    return wide.withColumn("n_extra", F.when(
-        F.col("n_neutral") <= F.col("n_negative"), F.col("n_negative") - F.col("n_neutral")
-    ).otherwise(F.raise_error(F.lit("over-sampling target is below the current Neutral count")).cast("bigint")))
-
-
 def with_copies(train: DataFrame, label: str = "sentiment", row_id: str = "review_id") -> DataFrame:
     """Add ``copies``: how often a row occurs once Neutral is raised to the Negative count.
 
     Extra copies go round the Neutral rows in sampling order. So every Neutral
-    row gets the whole rounds, and the first ``n_extra % n_neutral`` rows one
+    row gets the whole rounds, and the first ``extra % n_neutral`` rows one
     more; no row needs its exact rank.
     """
-    def rest(sizes):
-        return check_over_sampling(sizes, label).select(
-            F.lit(NEUTRAL).alias(label),
-            F.when(F.col("n_neutral") > 0, F.col("n_extra") % F.nullif("n_neutral", F.lit(0))).otherwise(0).alias("quota"),
-        )
-
-    cut = quota_cut(train, [label], rest, row_id)
-    rounds = check_over_sampling(class_counts(train, label), label).where(F.col("n_neutral") > 0).select(
-        F.lit(NEUTRAL).alias(label), F.expr("n_extra div n_neutral").alias("rounds")
-    )
-    copies = 1 + F.coalesce("rounds", F.lit(0)) + F.when(within_cut(F.col(row_id)), 1).otherwise(0)
-    return (
-        train.join(F.broadcast(rounds), label, "left").join(F.broadcast(cut), label, "left")
-        .select(*train.columns, copies.cast("bigint").alias("copies"))
-    )
+    sizes = {row[label]: row["n"] for row in class_counts(train, label).collect()}
+    n_negative, n_neutral = sizes.get(NEGATIVE, 0), sizes.get(NEUTRAL, 0)
+    if n_neutral > n_negative:
+        raise ValueError("over-sampling target is below the current Neutral count")
+    rounds, rest = divmod(n_negative - n_neutral, n_neutral) if n_neutral else (0, 0)
+    neutral = F.col(label) == NEUTRAL
+    cuts = quota_cut(train.where(neutral), [label], lambda s: s.withColumn("quota", F.lit(rest)), row_id)
+    extra = rounds + F.when(within_cut(cuts, F.col(label), F.col(row_id)), 1).otherwise(0)
+    return train.withColumn("copies", (1 + F.when(neutral, extra).otherwise(0)).cast("bigint"))
 
 
 def over_sample(train: DataFrame, label: str = "sentiment", row_id: str = "review_id") -> DataFrame:
@@ -172,15 +158,11 @@ def over_sample(train: DataFrame, label: str = "sentiment", row_id: str = "revie
 
 def cross_folds(df: DataFrame, folds: int = 3, label: str = "sentiment", row_id: str = "review_id") -> DataFrame:
     """Add ``fold`` (0..folds-1) of equal size in every class, cut by the sampling order."""
-    result = df
-    for fold in range(1, folds):
-        share = fold / folds
-        cut = quota_cut(df, [label], lambda s, q=share: s.withColumn("quota", F.floor(F.lit(q) * F.col("n"))), row_id)
-        result = result.join(F.broadcast(cut), label, "left").select(
-            *result.columns, within_cut(F.col(row_id)).alias(f"below_{fold}")
-        )
-    below = sum((F.when(F.col(f"below_{f}"), 0).otherwise(1) for f in range(1, folds)), F.lit(0))
-    return result.select(*df.columns, below.cast("int").alias("fold"))
+    fold = F.lit(0)
+    for k in range(1, folds):
+        cuts = quota_cut(df, [label], lambda s, q=k / folds: s.withColumn("quota", F.floor(F.lit(q) * F.col("n"))), row_id)
+        fold = fold + F.when(within_cut(cuts, F.col(label), F.col(row_id)), 0).otherwise(1)
+    return df.withColumn("fold", fold.cast("int"))
 
 
 def class_distribution(parts: Sequence[tuple[str, DataFrame]], label: str = "sentiment") -> DataFrame:

@@ -47,45 +47,37 @@ def prepare(reviews: DataFrame, size: int = VOCABULARY_SIZE) -> Corpus:
     read the staged terms.
     """
     documents = stratified_split(stage(review_terms(reviews), "terms"))
-    documents = stage(documents, "split")
     train = with_copies(documents.where(F.col("split") == "train").drop("split"))
     test = documents.where(F.col("split") == "test").drop("split")
     vocab = stage(vocabulary(train, size), "vocabulary")
     return Corpus(train, test, vocab, size)
 
 
-def naive_bayes_scores(corpus: Corpus, kind: str = "Count", boost: float = 1.0) -> DataFrame:
-    """Scored test rows of the relational naive Bayes; ``boost`` > 1 raises the weight of Neutral rows."""
-    factor = F.when(F.col("sentiment") == "Neutral", F.lit(float(boost))).otherwise(F.lit(1.0))
-
-    def weigh(df):
-        return df.withColumn("copies", F.col("copies") * factor)
-
-    train_rows = corpus.rows("train", kind)
-    model = naive_bayes.fit(weigh(corpus.train), weigh(train_rows))
-    return naive_bayes.predict(corpus.test, corpus.rows("test", kind), model, size=corpus.size)
-
-
-def predictions_of(scored: DataFrame, vectorizer: str, model: str, ordinal: int) -> DataFrame:
-    return scored.select(
-        F.lit(vectorizer).alias("vectorizer"), F.lit(model).alias("model"), F.lit(ordinal).alias("ordinal"),
-        "actual", F.col("sentiment").alias("predicted"),
-    )
-
-
 # Models with a relational form: name, and the weight of Neutral rows.
-RELATIONAL = (("Naive Bayes", 1.0), ("Naive Bayes boosted", NEUTRAL_BOOST),
-              ("Naive Bayes reboosted", NEUTRAL_BOOST * NEUTRAL_REBOOST))
+RELATIONAL = {
+    "Naive Bayes": 1.0, "Naive Bayes boosted": NEUTRAL_BOOST, "Naive Bayes reboosted": NEUTRAL_BOOST * NEUTRAL_REBOOST,
+}
 MODEL_KEYS = ("vectorizer", "model", "ordinal")
 
 
-def relational_metrics(corpus: Corpus, models=RELATIONAL) -> DataFrame:
-    """Metrics of the relational models for both vectorizers, in one aggregation."""
-    frames, ordinal = [], 0
-    for vectorizer in VECTORIZERS:
-        for name, boost in models:
-            frames.append(predictions_of(naive_bayes_scores(corpus, vectorizer, boost), vectorizer, name, ordinal))
-            ordinal += 1
+def naive_bayes_scores(corpus: Corpus, kind: str = "Count", boosts: dict[str, float] | None = None) -> DataFrame:
+    """Scored test rows of the relational naive Bayes, for one or several boosts of the Neutral class."""
+    model = naive_bayes.fit(corpus.train, corpus.rows("train", kind), boosts)
+    scored = naive_bayes.predict(corpus.test, corpus.rows("test", kind), model, size=corpus.size * len(boosts or "1"))
+    return scored if boosts else scored.drop("model")
+
+
+def relational_metrics(corpus: Corpus, models: dict[str, float] = RELATIONAL) -> DataFrame:
+    """Metrics of the relational models for both vectorizers: one fit and one scoring pass for each vectorizer."""
+    names = list(models)
+    frames = []
+    for v, vectorizer in enumerate(VECTORIZERS):
+        scored = naive_bayes_scores(corpus, vectorizer, models)
+        place = F.array_position(F.array(*map(F.lit, names)), F.col("model")) - 1 + v * len(names)
+        frames.append(scored.select(
+            F.lit(vectorizer).alias("vectorizer"), "model", place.cast("int").alias("ordinal"), "actual",
+            F.col("sentiment").alias("predicted"),
+        ))
     return summary_metrics(reduce(DataFrame.unionByName, frames), MODEL_KEYS)
 
 
