@@ -63,11 +63,11 @@ def labelled(spark, d):
 
 
 def corpus(spark, d):
-    return trn.prepare(src.labelled_reviews(spark, d))
+    return trn.prepare(src.labelled_reviews(spark, d, costly=True))
 
 
 def terms(spark, d):
-    return trn.review_terms(src.labelled_reviews(spark, d))
+    return trn.review_terms(src.labelled_reviews(spark, d, costly=True))
 
 
 def scored(spark, d, kind="Count", boost=None):

@@ -77,7 +77,7 @@ def model_families(rows: int, scale: float = 1.0) -> dict:
     return {
         "Naive Bayes": naive_bayes(),
         "Logistic Regression": logistic_regression(rows, few(1000)),
-        "SVM": linear_svm(rows, few(10000)),
+        "SVM": linear_svm(rows, 10000 if scale >= 1 else 100),
         "Random Forest": random_forest(few(400), depth),
         "XGBoost": boosted_trees(few(200), 8 if scale >= 1 else 4),
         "Gradient Boosting": gradient_boosting(few(100), 6 if scale >= 1 else 4),

@@ -21,34 +21,32 @@ from starlens.functions.numbers import sampling_key
 BUCKET_DIGITS = 4
 
 
-def quota_cut(
-    df: DataFrame, keys: Sequence[str], quotas: Callable[[DataFrame], DataFrame], row_id: str = "review_id"
-) -> list:
+def quota_cut(df: DataFrame, group: str, quota: Callable[[Column], Column], row_id: str = "review_id") -> list:
     """Per group, the sampling key and id of the last row that fits its quota.
 
-    ``quotas`` turns the group sizes ``(*keys, n)`` into ``(*keys, quota)``.
-    Rows are counted per group and leading hash digits; only the one bucket per
-    group in which the quota ends is ranked, about 1/65536 of it. The groups
-    are classes (or the whole table), so the cut is a handful of rows, which
-    the driver then writes into expressions. A group with quota 0 has none.
+    ``quota`` turns the size of a group into its quota. Rows are counted per
+    group and leading hash digits; only the one bucket per group in which the
+    quota ends is ranked, about 1/65536 of it. The groups are classes (or the
+    whole table), so the cut is a handful of rows, which the driver writes
+    into expressions. A group with quota 0 has none.
     """
-    keys = list(keys)
-    slim = df.select(*keys, F.col(row_id).alias("cut_id"), sampling_key(F.col(row_id)).alias("cut_key"))
+    slim = df.select(group, F.col(row_id).alias("cut_id"), sampling_key(F.col(row_id)).alias("cut_key"))
     slim = slim.withColumn("bucket", F.substring("cut_key", 1, BUCKET_DIGITS))
-    buckets = slim.groupBy(*keys, "bucket").agg(F.count("*").alias("n"))
-    sizes = buckets.groupBy(*keys).agg(F.sum("n").alias("n"))
-    wanted = quotas(sizes).select(*keys, F.col("quota").cast("bigint"))
-    upto = F.sum("n").over(Window.partitionBy(*keys).orderBy("bucket"))
-    last = (
-        buckets.withColumn("upto", upto).join(F.broadcast(wanted), keys)
-        .where((F.col("upto") >= F.col("quota")) & (F.col("upto") - F.col("n") < F.col("quota")))
-        .select(*keys, "bucket", (F.col("quota") - F.col("upto") + F.col("n")).alias("place"))
+    members = Window.partitionBy(group)  # over bucket counts, at most 65536 per group
+    counted = slim.groupBy(group, "bucket").agg(F.count("*").alias("n")).select(
+        "*", F.sum("n").over(members.orderBy("bucket")).alias("upto"),
+        quota(F.sum("n").over(members)).cast("bigint").alias("quota"),
     )
-    rank = F.row_number().over(Window.partitionBy(*keys).orderBy("cut_key", "cut_id"))
+    last = counted.where((F.col("upto") >= F.col("quota")) & (F.col("upto") - F.col("n") < F.col("quota"))).collect()
+    place = F.lit(None).cast("bigint")
+    for row in last:
+        here = (F.col(group) == row[group]) & (F.col("bucket") == row["bucket"])
+        place = F.when(here, row["quota"] - row["upto"] + row["n"]).otherwise(place)
+    rank = F.row_number().over(members.orderBy("cut_key", "cut_id"))
     return (
-        slim.join(F.broadcast(last), [*keys, "bucket"])
+        slim.withColumn("place", place).where(F.col("place").isNotNull())
         .withColumn("rank", rank).where(F.col("rank") == F.col("place"))
-        .select(*keys, "cut_key", "cut_id").collect()
+        .select(group, "cut_key", "cut_id").collect()
     )
 
 
@@ -65,7 +63,7 @@ def within_cut(cuts: list, group: Column, row_id: Column) -> Column:
 def capped_sample(df: DataFrame, cap: int = SAMPLE_ROWS, row_id: str = "review_id") -> DataFrame:
     """``min(cap, n)`` rows in random but repeatable choice."""
     whole = df.withColumn("cut_group", F.lit(0))
-    cuts = quota_cut(whole, ["cut_group"], lambda s: s.withColumn("quota", F.least("n", F.lit(cap))), row_id)
+    cuts = quota_cut(whole, "cut_group", lambda n: F.least(n, F.lit(cap)), row_id)
     return whole.where(within_cut(cuts, F.col("cut_group"), F.col(row_id))).select(*df.columns)
 
 
@@ -109,7 +107,7 @@ def group_sample(
 
 def stratified_split(df: DataFrame, label: str = "sentiment", share: float = TEST_SHARE, row_id: str = "review_id") -> DataFrame:
     """Add ``split``: the given share of every class is ``test``, the rest ``train``."""
-    cuts = quota_cut(df, [label], lambda s: s.withColumn("quota", F.round(F.lit(share) * F.col("n"))), row_id)
+    cuts = quota_cut(df, label, lambda n: F.round(F.lit(share) * n), row_id)
     test = within_cut(cuts, F.col(label), F.col(row_id))
     return df.withColumn("split", F.when(test, "test").otherwise("train"))
 
@@ -144,7 +142,7 @@ def with_copies(train: DataFrame, label: str = "sentiment", row_id: str = "revie
         raise ValueError("over-sampling target is below the current Neutral count")
     rounds, rest = divmod(n_negative - n_neutral, n_neutral) if n_neutral else (0, 0)
     neutral = F.col(label) == NEUTRAL
-    cuts = quota_cut(train.where(neutral), [label], lambda s: s.withColumn("quota", F.lit(rest)), row_id)
+    cuts = quota_cut(train.where(neutral), label, lambda n: F.lit(rest), row_id) if rest else []
     extra = rounds + F.when(within_cut(cuts, F.col(label), F.col(row_id)), 1).otherwise(0)
     return train.withColumn("copies", (1 + F.when(neutral, extra).otherwise(0)).cast("bigint"))
 
@@ -160,7 +158,7 @@ def cross_folds(df: DataFrame, folds: int = 3, label: str = "sentiment", row_id:
     """Add ``fold`` (0..folds-1) of equal size in every class, cut by the sampling order."""
     fold = F.lit(0)
     for k in range(1, folds):
-        cuts = quota_cut(df, [label], lambda s, q=k / folds: s.withColumn("quota", F.floor(F.lit(q) * F.col("n"))), row_id)
+        cuts = quota_cut(df, label, lambda n, q=k / folds: F.floor(F.lit(q) * n), row_id)
         fold = fold + F.when(within_cut(cuts, F.col(label), F.col(row_id)), 0).otherwise(1)
     return df.withColumn("fold", fold.cast("int"))
 

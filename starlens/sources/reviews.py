@@ -14,7 +14,7 @@ from starlens.constants import (
 )
 from starlens.functions.labels import whole_rating
 from starlens.functions.text import strip
-from starlens.session import driver_tables
+from starlens.session import driver_tables, spread
 
 
 def quoted(name: str):
@@ -113,8 +113,14 @@ def raw_reviews(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-def labelled_reviews(spark: SparkSession, folder: str) -> DataFrame:
-    """Documents with quality labels, seen as a rated three-class data set."""
+def labelled_reviews(spark: SparkSession, folder: str, costly: bool = False) -> DataFrame:
+    """Documents with quality labels, seen as a rated three-class data set.
+
+    ``costly`` says that the texts will be processed, so that a scan of few
+    splits is worth spreading.
+    """
     documents, labels = driver_tables(spark, folder, "documents", "labels")
+    if costly:
+        documents = spread(documents.select("doc_id", "text"), "doc_id")
     rating = F.when(F.col("toxic") == 1, 1).when(F.col("quality") == 0, 4).otherwise(5)
     return documents.join(labels, "doc_id").select(F.col("doc_id").alias("review_id"), "text", rating.alias("rating"))
