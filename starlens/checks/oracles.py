@@ -103,7 +103,7 @@ EXPLODED = f"""{NORMAL}, listed AS (
 LABELLED = f"""labelled AS (
   SELECT review_id, text, sentiment FROM (
     SELECT d.doc_id AS review_id, d.text,
-      {sentiment('CASE WHEN l.toxic = 1 THEN 1 WHEN l.quality = 0 THEN 4 ELSE 5 END')} AS sentiment
+      {sentiment('CASE WHEN l.quality = 0 THEN 1 WHEN l.toxic = 1 THEN 4 ELSE 5 END')} AS sentiment
     FROM documents d JOIN labels l ON d.doc_id = l.doc_id)
   WHERE text IS NOT NULL AND length(text) >= 10 AND sentiment <> 'Unknown')"""
 

@@ -50,6 +50,10 @@ def normal(spark, d):
     return src.normalize_schema(raw(spark, d), keep=["review_id"])
 
 
+def spread_normal(spark, d):
+    return src.normalize_schema(spread(raw(spark, d), "review_id"), keep=["review_id"])
+
+
 def exploded(spark, d):
     return cat.explode_categories(normal(spark, d))
 
@@ -171,7 +175,7 @@ def detected_columns(spark, d):
 def catalogue_read(spark, d):
     """Write summaries and catalogue, read them back, and open one category by its slug."""
     folder = staging_path(spark, "summaries")
-    summary_files.write_summaries(plan.documents(plan.flat_summaries(normal(spark, d))), folder)
+    summary_files.write_summaries(plan.documents(plan.flat_summaries(spread_normal(spark, d))), folder)
     index = summary_files.read_catalogue(spark, folder)
     detail = summary_files.read_summaries(spark, folder).select("category", F.explode("ratings").alias("rating", "r"))
     return index.join(detail, "category").select(
@@ -370,18 +374,18 @@ def group_sentences(spark, d):
     """Distinct sentences per language and rating of all normalised reviews."""
     (documents,) = driver_tables(spark, d, "documents")
     named = documents.select(F.col("doc_id").alias("review_id"), F.col("lang").alias("category"))
-    reviews = spread(normal(spark, d).select("review_id", "rating", "text"), "review_id").join(named, "review_id")
+    reviews = spread_normal(spark, d).select("review_id", "rating", "text").join(named, "review_id")
     return summ.distinct_sentences(summ.sentence_corpus(reviews))
 
 
 def chunk_sizes(spark, d):
-    reviews = normal(spark, d).withColumn("category", F.when(F.col("review_id") % 3 == 0, "third").otherwise("rest"))
+    reviews = spread_normal(spark, d).withColumn("category", F.when(F.col("review_id") % 3 == 0, "third").otherwise("rest"))
     packed = chk.chunks(summ.sentence_corpus(reviews.select(*GROUP, "review_id", "text")))
     return packed.select(*GROUP, "chunk_no", F.md5("chunk").alias("chunk_md5"), F.length("chunk").cast("bigint").alias("n_chars"))
 
 
 def two_level(spark, d):
-    return plan.flat_summaries(normal(spark, d), model_factory=chk.prefix_model)
+    return plan.flat_summaries(spread_normal(spark, d), model_factory=chk.prefix_model)
 
 
 def summary_job(spark, d):
@@ -392,7 +396,7 @@ def summary_job(spark, d):
 
 
 def flat(spark, d, **options):
-    return plan.flat_summaries(normal(spark, d), **options)
+    return plan.flat_summaries(spread_normal(spark, d), **options)
 
 
 QUERIES = {

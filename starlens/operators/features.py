@@ -30,7 +30,9 @@ def bounded(df: DataFrame, rows: int) -> DataFrame:
 
 def with_terms(processed: DataFrame) -> DataFrame:
     """Replace ``tokens`` by ``terms``: its words and word pairs with their counts."""
-    return processed.withColumn("terms", term_counts(ngrams(F.col("tokens")))).drop("tokens")
+    others = [c for c in processed.columns if c != "tokens"]
+    # Exploding an array of one fixes the value, so that later steps do not compute it again.
+    return processed.select(*others, F.explode(F.array(term_counts(ngrams(F.col("tokens"))))).alias("terms"))
 
 
 def term_rows(documents: DataFrame) -> DataFrame:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from starlens.constants import MIN_REVIEW_CHARS, UNKNOWN
@@ -21,14 +21,23 @@ def usable(reviews: DataFrame) -> DataFrame:
     )
 
 
+def kept(df: DataFrame, name: str, value: Column, keep) -> DataFrame:
+    """Add a costly column and drop the rows that fail ``keep``.
+
+    A plain filter would be pushed below the projection and compute the value
+    twice; here it is computed once and rows that fail give no output.
+    """
+    return df.select(*[c for c in df.columns if c != name], F.explode(F.filter(F.array(value), keep)).alias(name))
+
+
 def with_cleaned_text(reviews: DataFrame) -> DataFrame:
     """Add ``cleaned_text`` and keep the rows where something is left."""
-    return reviews.withColumn("cleaned_text", clean_text(F.col("text"))).where(F.length("cleaned_text") > 0)
+    return kept(reviews, "cleaned_text", clean_text(F.col("text")), lambda t: F.length(t) > 0)
 
 
-def with_processed_tokens(reviews: DataFrame) -> DataFrame:
+def with_processed_tokens(reviews: DataFrame, source: str = "text") -> DataFrame:
     """Add ``tokens`` (lemmas of the content words) and keep the rows that have any."""
-    return reviews.withColumn("tokens", processed_tokens(F.col("text"))).where(F.size("tokens") > 0)
+    return kept(reviews, "tokens", processed_tokens(F.col(source)), lambda t: F.size(t) > 0)
 
 
 def category_is(exploded: DataFrame, name: str) -> DataFrame:

@@ -15,10 +15,11 @@ from starlens.constants import (
     MAX_SENTENCE_SHARE, MIN_CATEGORY_REVIEWS, RATINGS, REVIEWS_PER_RATING, SENTENCE_CHARS, SUMMARY_SENTENCES,
     TOP_CATEGORIES,
 )
-from starlens.functions.text import sentence_terms, sentences, term_counts
+from starlens.functions.text import let, sentence_terms, sentences, term_counts
 from starlens.operators.categories import rating_columns, rating_rows
 from starlens.operators.features import BROADCAST_ROWS
 from starlens.operators.sampling import first_per_group, group_sample
+from starlens.session import stage
 
 GROUP = ("category", "rating")
 SENTENCE = ("review_id", "pos")
@@ -46,13 +47,18 @@ def salted_join(big: DataFrame, small: DataFrame, on: Sequence[str], salts: int)
     return spread.join(copies, [*on, "salt"]).drop("salt")
 
 
-def sentence_tfidf(sents: DataFrame, keys: Sequence[str] = GROUP, salts: int = 1) -> DataFrame:
-    """Weights tf*idf of the terms of each sentence, scaled to length 1.
+def with_sentence_terms(sents: DataFrame) -> DataFrame:
+    return sents.withColumn("terms", term_counts(sentence_terms(F.col("sentence"))))
+
+
+def sentence_vectors(sents: DataFrame, keys: Sequence[str] = GROUP, salts: int = 1) -> DataFrame:
+    """``keys, review_id, pos, n, vector`` with weights tf*idf scaled to length 1; ``sents`` have terms.
 
-    Terms in more than 90 % of the sentences of a group are left out.
+    Terms in more than 90 % of the sentences of a group are left out. ``n`` is
+    the number of sentences in the group.
     """
     sentence_keys = [*keys, *SENTENCE]
-    entries = sents.select(*sentence_keys, F.inline(term_counts(sentence_terms(F.col("sentence")))))
+    entries = sents.select(*sentence_keys, F.inline("terms"))
     sizes = sents.groupBy(*keys).agg(F.count("*").alias("n"))
     idf = (
         entries.groupBy(*keys, "term").agg(F.count("*").alias("df")).join(sizes, list(keys))
@@ -63,23 +69,33 @@ def sentence_tfidf(sents: DataFrame, keys: Sequence[str] = GROUP, salts: int = 1
         F.collect_list(F.struct("term", (F.col("tf") * F.col("idf")).alias("w"))).alias("vector")
     )
     length = F.sqrt(F.aggregate("vector", F.lit(0.0), lambda acc, e: acc + e["w"] * e["w"]))
-    return (
-        weighted.withColumn("length", length).select(*sentence_keys, "n", "length", F.inline("vector"))
-        .select(*sentence_keys, "n", "term", (F.col("w") / F.col("length")).alias("weight"))
-    )
+    scaled = let(length, lambda x: F.transform("vector", lambda e: F.struct(e["term"].alias("term"), (e["w"] / x).alias("weight"))))
+    return weighted.select(*sentence_keys, "n", scaled.alias("vector"))
+
+
+def sentence_tfidf(sents: DataFrame, keys: Sequence[str] = GROUP, salts: int = 1) -> DataFrame:
+    """The same as one row per sentence and term."""
+    vectors = sentence_vectors(with_sentence_terms(sents), keys, salts)
+    return vectors.select(*keys, *SENTENCE, F.inline("vector"))
 
 
 def sentence_scores(sents: DataFrame, keys: Sequence[str] = GROUP, salts: int = 1) -> DataFrame:
-    """Cosine of each sentence with the mean vector of its group, 0 without terms."""
-    weights = sentence_tfidf(sents, keys, salts)
-    centroid = weights.groupBy(*keys, "term").agg((F.sum("weight") / F.max("n")).alias("mean"))
+    """Cosine of each sentence with the mean vector of its group, 0 without terms.
+
+    Sentences and vectors serve several passes (sizes, frequencies, weights,
+    means, scores) and are staged, so each is computed once.
+    """
+    sents = stage(with_sentence_terms(sents), "sentences")
+    vectors = stage(sentence_vectors(sents, keys, salts), "sentence-vectors")
+    entries = vectors.select(*keys, *SENTENCE, "n", F.inline("vector"))
+    centroid = entries.groupBy(*keys, "n", "term").agg((F.sum("weight") / F.col("n")).alias("mean")).drop("n")
     norms = centroid.groupBy(*keys).agg(F.sqrt(F.sum(F.col("mean") * F.col("mean"))).alias("norm"))
-    dots = salted_join(weights, centroid, [*keys, "term"], salts).groupBy(*keys, *SENTENCE).agg(
+    dots = salted_join(entries.drop("n"), centroid, [*keys, "term"], salts).groupBy(*keys, *SENTENCE).agg(
         F.sum(F.col("weight") * F.col("mean")).alias("dot")
     )
     cosine = F.round(F.coalesce(F.col("dot") / F.col("norm"), F.lit(0.0)), 6)
     return (
-        sents.join(dots, [*keys, *SENTENCE], "left").join(norms, list(keys), "left")
+        sents.drop("terms").join(dots, [*keys, *SENTENCE], "left").join(norms, list(keys), "left")
         .select(*keys, *SENTENCE, "sentence", cosine.alias("score"))
     )
 

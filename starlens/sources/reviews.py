@@ -116,11 +116,14 @@ def raw_reviews(spark: SparkSession, folder: str) -> DataFrame:
 def labelled_reviews(spark: SparkSession, folder: str, costly: bool = False) -> DataFrame:
     """Documents with quality labels, seen as a rated three-class data set.
 
+    Low quality counts as one star, toxic as four, the rest as five; so Neutral
+    is the smallest class at every scale, as over-sampling demands.
+
     ``costly`` says that the texts will be processed, so that a scan of few
     splits is worth spreading.
     """
     documents, labels = driver_tables(spark, folder, "documents", "labels")
     if costly:
         documents = spread(documents.select("doc_id", "text"), "doc_id")
-    rating = F.when(F.col("toxic") == 1, 1).when(F.col("quality") == 0, 4).otherwise(5)
+    rating = F.when(F.col("quality") == 0, 1).when(F.col("toxic") == 1, 4).otherwise(5)
     return documents.join(labels, "doc_id").select(F.col("doc_id").alias("review_id"), "text", rating.alias("rating"))
