@@ -33,6 +33,8 @@ from starlens.streaming import score_files
 GROUP = summ.GROUP
 # Trees and rounds of the fitted query models, as a share of the full defaults.
 TRIAL_SCALE = 0.05
+# Terms the grid queries train on; every grid point is fitted once per fold and class.
+GRID_VOCABULARY = 500
 
 
 # --- inputs -----------------------------------------------------------------------------
@@ -66,8 +68,8 @@ def labelled(spark, d):
     return flt.usable(flt.with_sentiment(src.labelled_reviews(spark, d)))
 
 
-def corpus(spark, d):
-    return trn.prepare(src.labelled_reviews(spark, d, costly=True))
+def corpus(spark, d, **options):
+    return trn.prepare(src.labelled_reviews(spark, d, costly=True), **options)
 
 
 def terms(spark, d):
@@ -329,15 +331,15 @@ def forest_diagnostics(spark, d):
 
 def grid_search(kind):
     def run(spark, d):
-        c = corpus(spark, d)
+        c = corpus(spark, d, size=GRID_VOCABULARY)
         train, test = trn.ml_tables(c, "TF-IDF")
         folded = stage(smp.cross_folds(trn.training_weights(train, "boosted")), "folds", None)
         if kind == "forest":
             estimator = mod.random_forest()
-            grid = mod.forest_grid(estimator, trees=(5, 10), depths=(5, 10), leaves=(1, 2))
+            grid = mod.forest_grid(estimator, trees=(5,), depths=(5, 10), leaves=(1, 2))
         else:
             estimator = mod.boosted_trees()
-            grid = mod.boosted_grid(estimator, rounds=(2, 4), depths=(3,), rates=(0.1, 0.2))
+            grid = mod.boosted_grid(estimator, rounds=(1, 2), depths=(2,), rates=(0.2,))
         best = mod.grid_search(estimator, grid, folded).bestModel
         return met.confusion_matrix(mod.as_predictions(best.transform(test)))
     return run

@@ -104,10 +104,12 @@ class MacroF1(Evaluator):
 
 def boosted_grid(estimator: OneVsRest, rounds: Sequence[int] = (100, 200), depths: Sequence[int] = (4, 6, 8),
                  rates: Sequence[float] = (0.05, 0.1, 0.2)) -> list:
-    """Parameter maps over whole one-vs-rest estimators, since the grid varies the inner learner."""
-    inner = [GBTClassifier(maxIter=r, maxDepth=d, stepSize=s, seed=SEED, **COLUMNS)
-             for r in rounds for d in depths for s in rates]
-    return ParamGridBuilder().addGrid(estimator.classifier, inner).build()
+    """Parameter maps for the learner inside a one-vs-rest estimator, which passes them on to it."""
+    inner = estimator.getClassifier()
+    return (
+        ParamGridBuilder().addGrid(inner.maxIter, list(rounds)).addGrid(inner.maxDepth, list(depths))
+        .addGrid(inner.stepSize, list(rates)).build()
+    )
 
 
 def forest_grid(estimator: RandomForestClassifier, trees: Sequence[int] = (200, 400),
