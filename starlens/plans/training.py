@@ -50,7 +50,8 @@ def prepare(reviews: DataFrame, size: int = VOCABULARY_SIZE) -> Corpus:
     train = with_copies(documents.where(F.col("split") == "train").drop("split"))
     test = documents.where(F.col("split") == "test").drop("split")
     vocab = stage(vocabulary(train, size), "vocabulary")
-    return Corpus(train, test, vocab, size)
+    # The true number of terms: model smoothing depends on it, and it may be below the limit.
+    return Corpus(train, test, vocab, vocab.count())
 
 
 # Models with a relational form: name, and the weight of Neutral rows.
