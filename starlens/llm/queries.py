@@ -8,6 +8,8 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from starlens.llm.quality import THRESHOLD, fit_quality, quality_scores
+from starlens.llm.topk import exact_top_k
 from starlens.llm.toxicity import fit_toxicity, toxic_passages
 
 
@@ -30,8 +32,36 @@ def op1_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op2_quality(spark: SparkSession, folder: str) -> DataFrame:
+    docs, labels = table(spark, folder, "documents"), table(spark, folder, "labels")
+    model = fit_quality(docs, labels, use=remainder("doc_id", 4) != 2)
+    scored = quality_scores(docs.select("doc_id", "text"), model)
+    return scored.select(
+        "doc_id", (remainder("doc_id", 4) == 2).alias("held_out"), F.col("quality_score").alias("score"),
+        (F.col("quality_score") >= THRESHOLD).cast("int").alias("predicted"),
+    )
+
+
+def op10_top_k(spark: SparkSession, folder: str) -> DataFrame:
+    return exact_top_k(table(spark, folder, "embeddings").select("vec_id", "embedding"), F.col("vec_id") % 20 == 0, k=20)
+
+
+TOP_K_SQL = """
+WITH v AS (SELECT DISTINCT vec_id, list_transform(embedding, lambda x: CAST(floor(64 * CAST(x AS DOUBLE)) AS BIGINT)) AS e
+  FROM embeddings WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+p AS (SELECT q.vec_id AS query_id, c.vec_id, max(CAST(list_dot_product(CAST(q.e AS DOUBLE[]), CAST(c.e AS DOUBLE[])) AS BIGINT)) AS score
+  FROM v q JOIN v c ON q.vec_id <> c.vec_id AND len(q.e) = len(c.e) WHERE q.vec_id % 20 = 0 GROUP BY ALL)
+SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank, vec_id, score
+FROM p QUALIFY rank <= 20
+"""
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_toxicity": op1_toxicity,
+    "op2_quality": op2_quality,
+    "op10_top_k": op10_top_k,
 }
 
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {
+    "op10_top_k": TOP_K_SQL,
+}
