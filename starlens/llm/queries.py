@@ -5,9 +5,11 @@ from __future__ import annotations
 import os
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from starlens.llm.bpe import bpe_decode, bpe_encode, digests
 from starlens.llm.quality import THRESHOLD, fit_quality, quality_scores
 from starlens.llm.topk import exact_top_k
 from starlens.llm.toxicity import fit_toxicity, toxic_passages
@@ -42,6 +44,12 @@ def op2_quality(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op4_bpe(spark: SparkSession, folder: str) -> DataFrame:
+    vocabulary = public_tokenizers.path("byte_bpe_50k.json")
+    coded = bpe_encode(table(spark, folder, "documents").select("doc_id", "text"), vocabulary).drop("text")
+    return digests(bpe_decode(coded, vocabulary))
+
+
 def op10_top_k(spark: SparkSession, folder: str) -> DataFrame:
     return exact_top_k(table(spark, folder, "embeddings").select("vec_id", "embedding"), F.col("vec_id") % 20 == 0, k=20)
 
@@ -59,6 +67,7 @@ FROM p QUALIFY rank <= 20
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_toxicity": op1_toxicity,
     "op2_quality": op2_quality,
+    "op4_bpe": op4_bpe,
     "op10_top_k": op10_top_k,
 }
 
