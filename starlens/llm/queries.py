@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from starlens.llm.bpe import bpe_decode, bpe_encode, digests
 from starlens.llm.quality import THRESHOLD, fit_quality, quality_scores
+from starlens.llm.token_files import read_token_files, write_token_files
 from starlens.llm.topk import exact_top_k
 from starlens.llm.toxicity import fit_toxicity, toxic_passages
 
@@ -50,6 +51,13 @@ def op4_bpe(spark: SparkSession, folder: str) -> DataFrame:
     return digests(bpe_decode(coded, vocabulary))
 
 
+def op6_token_files(spark: SparkSession, folder: str) -> DataFrame:
+    files = write_token_files(table(spark, folder, "documents"), public_tokenizers.path("word_bpe_49k.json"), end=2)
+    return read_token_files(files).select(
+        "doc_id", "start", (F.length("token_ids") / 4).cast("long").alias("n_tokens"), F.crc32("token_ids").alias("ids_crc32")
+    )
+
+
 def op10_top_k(spark: SparkSession, folder: str) -> DataFrame:
     return exact_top_k(table(spark, folder, "embeddings").select("vec_id", "embedding"), F.col("vec_id") % 20 == 0, k=20)
 
@@ -68,6 +76,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_toxicity": op1_toxicity,
     "op2_quality": op2_quality,
     "op4_bpe": op4_bpe,
+    "op6_token_files": op6_token_files,
     "op10_top_k": op10_top_k,
 }
 
