@@ -80,3 +80,8 @@ def logistic_fit(x: np.ndarray, y: np.ndarray, weight: np.ndarray, ridge: float
 
 def sigmoid(z: np.ndarray) -> np.ndarray:
     return 1 / (1 + np.exp(-np.clip(z, -60, 60)))
+
+
+def sized(df: DataFrame, rows: int = SMALL_ROWS) -> DataFrame:
+    """A staged table of few numbers a row: marked for broadcast if it has at most ``rows`` rows, else left to a shuffled join."""
+    return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df

@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from starlens.llm.bpe import bpe_decode, bpe_encode, digests
+from starlens.llm.pii import KINDS, personal_data, written
 from starlens.llm.quality import THRESHOLD, fit_quality, quality_scores
 from starlens.llm.token_files import read_token_files, write_token_files
 from starlens.llm.topk import exact_top_k
@@ -51,6 +52,15 @@ def op4_bpe(spark: SparkSession, folder: str) -> DataFrame:
     return digests(bpe_decode(coded, vocabulary))
 
 
+def op5_pii(spark: SparkSession, folder: str) -> DataFrame:
+    found = personal_data(table(spark, folder, "documents").select("doc_id", "text"))
+    count = lambda k: F.size(F.filter("pii_base", lambda s: s["kind"] == k)).cast("long")
+    return found.select(
+        "doc_id", *(count(k).alias(f"n_{name}") for k, name in enumerate(KINDS)),
+        F.sha2(written("pii_base").cast("binary"), 256).alias("base_sha256"), written("pii_spans").alias("spans"),
+    )
+
+
 def op6_token_files(spark: SparkSession, folder: str) -> DataFrame:
     files = write_token_files(table(spark, folder, "documents"), public_tokenizers.path("word_bpe_49k.json"), end=2)
     return read_token_files(files).select(
@@ -76,6 +86,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_toxicity": op1_toxicity,
     "op2_quality": op2_quality,
     "op4_bpe": op4_bpe,
+    "op5_pii": op5_pii,
     "op6_token_files": op6_token_files,
     "op10_top_k": op10_top_k,
 }
