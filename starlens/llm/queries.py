@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from starlens.llm.bpe import bpe_decode, bpe_encode, digests
+from starlens.llm.language import identify, page_evidence
 from starlens.llm.pii import KINDS, personal_data, written
 from starlens.llm.quality import THRESHOLD, fit_quality, quality_scores
 from starlens.llm.token_files import read_token_files, write_token_files
@@ -68,6 +69,11 @@ def op6_token_files(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op7_language(spark: SparkSession, folder: str) -> DataFrame:
+    found = identify(table(spark, folder, "documents"), page_evidence(table(spark, folder, "pages")))
+    return found.drop("text_hash")
+
+
 def op10_top_k(spark: SparkSession, folder: str) -> DataFrame:
     return exact_top_k(table(spark, folder, "embeddings").select("vec_id", "embedding"), F.col("vec_id") % 20 == 0, k=20)
 
@@ -88,6 +94,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_bpe": op4_bpe,
     "op5_pii": op5_pii,
     "op6_token_files": op6_token_files,
+    "op7_language": op7_language,
     "op10_top_k": op10_top_k,
 }
 
