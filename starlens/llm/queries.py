@@ -16,6 +16,7 @@ from starlens.llm.quality import THRESHOLD, fit_quality, quality_scores
 from starlens.llm.token_files import read_token_files, write_token_files
 from starlens.llm.topk import exact_top_k
 from starlens.llm.toxicity import fit_toxicity, toxic_passages
+from starlens.llm.warc import BLOCKS, DATE, ENTITIES, HIDDEN, derivatives, responses
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -74,6 +75,53 @@ def op7_language(spark: SparkSession, folder: str) -> DataFrame:
     return found.drop("text_hash")
 
 
+def op8_warc(spark: SparkSession, folder: str) -> DataFrame:
+    return derivatives(responses(table(spark, folder, "pages"))).drop("record")
+
+
+def warc_sql() -> str:
+    """The same records in DuckDB SQL."""
+    e = lambda x: "'" + x.replace("'", "''") + "'"
+    text = "regexp_replace(html, '<!--.*?-->', ' ', 'gs')"
+    for name in HIDDEN:
+        text = f"regexp_replace({text}, '<{name}(?:\\s[^>]*)?>.*?</{name}\\s*>', ' ', 'gis')".replace("\\\\", "\\")
+    text = f"regexp_replace({text}, '</?(?:{BLOCKS})(?:\\s[^>]*)?/?>', chr(10), 'gi')"
+    text = f"regexp_replace({text}, '<[A-Za-z/!?][^>]*>', '', 'g')"
+
+    def decode(x: str) -> str:
+        for name, value in ENTITIES:
+            x = f"replace({x}, {e(name)}, {e(value)})"
+        return x
+
+    def tidy(x: str) -> str:
+        x = f"regexp_replace({x}, '[ \\t\\r\\f\\v\u00a0]+', ' ', 'g')"
+        x = f"regexp_replace({x}, ' ?\\n[ \\n]*', chr(10), 'g')"
+        return f"regexp_replace({x}, '^[ \\n]+|[ \\n]+$', '', 'g')"
+
+    urn = lambda x: f"'<urn:uuid:' || substr({x},1,8) || '-' || substr({x},9,4) || '-3' || substr({x},14,3) || '-8' || substr({x},18,3) || '-' || substr({x},21,12) || '>'"
+    nl = "chr(13) || chr(10)"
+    links = decode("x")
+    return f"""
+WITH p AS (SELECT page_id, coalesce(url, '') AS url, coalesce(html, '') AS html FROM pages),
+h AS (SELECT *, md5('response|' || coalesce(CAST(page_id AS VARCHAR), '') || '|' || url) AS m,
+  'HTTP/1.1 200 OK' || {nl} || 'Content-Type: text/html; charset=utf-8' || {nl} || 'Content-Length: ' || strlen(html) || {nl} || {nl} AS http_headers,
+  {tidy(decode(text))} AS plain,
+  replace({tidy(decode("regexp_extract(html, '<title(?:\\s[^>]*)?>(.*?)</title\\s*>', 1, 'is')"))}, chr(10), ' ') AS title,
+  list_transform(regexp_extract_all(html, '<a\\s[^>]*?href\\s*=\\s*["'']([^"'']*)["'']', 1, 'i'), lambda x: {links}) AS links FROM p),
+r AS (SELECT *, {urn('m')} AS refers_to, 'sha256:' || sha256(html) AS payload_digest, 'sha256:' || sha256(http_headers || html) AS response_digest FROM h),
+i AS (SELECT *, md5('conversion|' || refers_to) AS mc, md5('metadata|' || refers_to) AS mm FROM r),
+b AS (SELECT page_id, refers_to, url, payload_digest, 'metadata' AS kind, {urn('mm')} AS record_id, 'application/json' AS content_type,
+  CAST(to_json({{response: refers_to, conversion: {urn('mc')}, uri: url, http_headers: http_headers, payload_digest: payload_digest, block_digest: response_digest,
+    payload_length: strlen(html), title: title, n_links: len(links), links: links, text_digest: 'sha256:' || sha256(plain), text_length: length(plain)}}) AS VARCHAR) AS block FROM i
+  UNION ALL SELECT page_id, refers_to, url, payload_digest, 'conversion', {urn('mc')}, 'text/plain', plain FROM i),
+d AS (SELECT *, 'sha256:' || sha256(block) AS block_digest FROM b)
+SELECT page_id, kind, record_id, refers_to, url AS target_uri, '{DATE}' AS date, content_type, block, block_digest, payload_digest,
+  'WARC/1.1' || {nl} || 'WARC-Type: ' || kind || {nl} || 'WARC-Record-ID: ' || record_id || {nl} || 'WARC-Date: {DATE}' || {nl} || 'WARC-Target-URI: ' || url
+  || {nl} || 'WARC-Refers-To: ' || refers_to || {nl} || 'WARC-Block-Digest: ' || block_digest || {nl} || 'Content-Type: ' || content_type
+  || {nl} || 'Content-Length: ' || strlen(block) || {nl} || {nl} AS header FROM d
+"""
+
+
 def op10_top_k(spark: SparkSession, folder: str) -> DataFrame:
     return exact_top_k(table(spark, folder, "embeddings").select("vec_id", "embedding"), F.col("vec_id") % 20 == 0, k=20)
 
@@ -95,9 +143,11 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_pii": op5_pii,
     "op6_token_files": op6_token_files,
     "op7_language": op7_language,
+    "op8_warc": op8_warc,
     "op10_top_k": op10_top_k,
 }
 
 ORACLES: dict[str, str] = {
+    "op8_warc": warc_sql(),
     "op10_top_k": TOP_K_SQL,
 }
