@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from starlens.llm.bpe import bpe_decode, bpe_encode, digests
+from starlens.llm.jaccard import near_duplicates
 from starlens.llm.language import identify, page_evidence
 from starlens.llm.pii import KINDS, personal_data, written
 from starlens.llm.quality import THRESHOLD, fit_quality, quality_scores
@@ -48,6 +49,10 @@ def op2_quality(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op3_jaccard(spark: SparkSession, folder: str) -> DataFrame:
+    return near_duplicates(table(spark, folder, "documents")).drop("text_key")
+
+
 def op4_bpe(spark: SparkSession, folder: str) -> DataFrame:
     vocabulary = public_tokenizers.path("byte_bpe_50k.json")
     coded = bpe_encode(table(spark, folder, "documents").select("doc_id", "text"), vocabulary).drop("text")
@@ -139,6 +144,7 @@ FROM p QUALIFY rank <= 20
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_toxicity": op1_toxicity,
     "op2_quality": op2_quality,
+    "op3_jaccard": op3_jaccard,
     "op4_bpe": op4_bpe,
     "op5_pii": op5_pii,
     "op6_token_files": op6_token_files,

@@ -23,7 +23,7 @@ from starlens.session import stage, staging_path
 #: Elements whose content is no text, those that end a line, and the entities that are decoded.
 HIDDEN = ["script", "style", "noscript", "template", "svg", "head"]
 BLOCKS = "address|article|aside|blockquote|br|dd|div|dl|dt|fieldset|figcaption|figure|footer|form|h[1-6]|header|hr|li|main|nav|ol|p|pre|section|table|tbody|td|tfoot|th|thead|tr|ul"
-ENTITIES = [("&nbsp;", " "), ("&copy;", "©"), ("&middot;", "·"), ("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&apos;", "'"), ("&amp;", "&")]
+ENTITIES = [("&nbsp;", "\u00a0"), ("&copy;", "©"), ("&middot;", "·"), ("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&apos;", "'"), ("&amp;", "&")]
 DATE = "1970-01-01T00:00:00Z"
 EOL = "\r\n"
 
