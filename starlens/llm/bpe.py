@@ -7,7 +7,6 @@ pairs of a batch are tested together with array operations. Only words with an i
 
 from __future__ import annotations
 
-import heapq
 import json
 import re
 import unicodedata
@@ -27,7 +26,7 @@ from starlens.llm.words import slices
 #: Fixed value of the byte-level vocabularies: the pattern that cuts a text into words.
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 #: Words whose ids a worker remembers before it starts anew.
-REMEMBERED = 300_000
+REMEMBERED = 500_000
 NEVER = np.iinfo(np.int64).max
 
 
@@ -64,7 +63,7 @@ class ByteBpe:
         letters = byte_letters()
         back = {x: b for b, x in enumerate(letters)}
         vocab = model["vocab"]
-        self.letters = letters
+        self.spelling = {b: x for b, x in enumerate(letters)} | {255: "\n"}  # no text has the byte 255; it parts words
         # inside, a token is numbered by its rank: the 256 bytes first, then the merges in their order
         merges = [tuple(x.split(" ")) if isinstance(x, str) else tuple(x) for x in model["merges"]]
         names = [*letters, *(a + b for a, b in merges)]
@@ -76,7 +75,7 @@ class ByteBpe:
         keys = self.left[256:] * len(names) + self.right[256:]
         order = np.argsort(keys)
         self.pair_keys, self.pair_merge = keys[order], order + 256
-        self.merge_of = {(int(a), int(b)): i + 256 for i, (a, b) in enumerate(zip(self.left[256:], self.right[256:], strict=True))}
+        self.byte_tokens = np.arange(256)
         self.ids = np.array([vocab[x] for x in names], dtype="<u4")
         self.special = sorted(((x["content"], x["id"]) for x in data["added_tokens"]), key=lambda x: -len(x[0]))
         if any(x["single_word"] or x["lstrip"] or x["rstrip"] for x in data["added_tokens"]):
@@ -125,38 +124,58 @@ class ByteBpe:
             a, b = np.where(from_a, self.right[a], a), np.where(from_a, b, self.left[b])
         return good
 
-    def merged(self, word: str) -> list[int]:
-        """The tokens of a word (in letters of the file) by merging the pair of lowest rank, leftmost first."""
-        tokens = [self.longest.get(x) for x in word]
-        n = len(tokens)
-        after, before = list(range(1, n + 1)), list(range(-1, n - 1))
-        queue = [(m, i) for i in range(n - 1) if (m := self.merge_of.get((tokens[i], tokens[i + 1]))) is not None]
-        heapq.heapify(queue)
-        while queue:
-            m, i = heapq.heappop(queue)
-            j = after[i]
-            if tokens[i] < 0 or j >= n or self.merge_of.get((tokens[i], tokens[j])) != m:
-                continue
-            tokens[i], tokens[j] = m, -1
-            after[i] = after[j]
-            if after[i] < n:
-                before[after[i]] = i
-                if (up := self.merge_of.get((m, tokens[after[i]]))) is not None:
-                    heapq.heappush(queue, (up, i))
-            if before[i] >= 0 and (up := self.merge_of.get((tokens[before[i]], m))) is not None:
-                heapq.heappush(queue, (up, before[i]))
-        return [t for t in tokens if t >= 0]
+    def merged(self, tokens: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The tokens of words by merging, in each word at once, all pairs of its lowest rank from left to right, until none merges.
+
+        ``tokens[first[i]:first[i + 1]]`` are the bytes of word i; the result has the same form.
+        """
+        sizes = np.diff(first)
+        alive = np.arange(len(sizes))  # the words that still merge, whose tokens these are
+        rows = np.repeat(alive, sizes)
+        done: list[tuple[np.ndarray, np.ndarray]] = []
+        rank = self.ranks(tokens, rows)
+        while len(tokens):
+            starts = np.flatnonzero(np.append(True, rows[1:] != rows[:-1]))
+            least = np.repeat(np.minimum.reduceat(rank, starts), np.diff(np.append(starts, len(rows))))
+            ended = least == NEVER
+            if ended.any():
+                done.append((rows[ended], tokens[ended]))
+                tokens, rows, rank, least = tokens[~ended], rows[~ended], rank[~ended], least[~ended]
+                if not len(tokens):
+                    break
+            hit = rank == least
+            if (hit[1:] & hit[:-1]).any():  # of overlapping pairs (a a a) every second one counts, from the left
+                at = np.arange(len(hit))
+                run = at - np.maximum.accumulate(np.where(hit, -1, at))
+                hit &= run % 2 == 1
+            tokens = np.where(hit, rank, tokens)
+            gone = np.append(False, hit[:-1])
+            stale = hit | np.append(hit[1:], False) | np.append(hit[2:], [False, False])[: len(hit)]
+            tokens, rows, rank, stale = tokens[~gone], rows[~gone], rank[~gone], stale[~gone]
+            fresh = np.flatnonzero(stale)
+            rank[fresh] = self.ranks(tokens, rows, fresh)
+        if not done:
+            return tokens, first
+        rows, tokens = (np.concatenate(x) for x in zip(*done, strict=True))
+        order = np.argsort(rows, kind="stable")
+        return tokens[order], np.concatenate([[0], np.cumsum(np.bincount(rows, minlength=len(sizes)))])
+
+    def ranks(self, tokens: np.ndarray, rows: np.ndarray, at: np.ndarray | None = None) -> np.ndarray:
+        """The merge of each token (or of those at the places ``at``) with the next one of its word."""
+        at = np.arange(len(tokens)) if at is None else at
+        after = np.minimum(at + 1, len(tokens) - 1)
+        inside = (at + 1 < len(tokens)) & (rows[at] == rows[after])
+        return np.where(inside, self.merge(tokens[at], tokens[after]), NEVER)
 
     def learn(self, words: list[str]) -> None:
         """Add the ids of new words to the known ones."""
-        spelt = ["".join(map(self.letters.__getitem__, x.encode())) for x in words]
-        tokens: list[int] = []
-        bounds = [0]
-        for x in spelt:
-            tokens.extend(t for _, t in self.longest.iter_long(x))
-            bounds.append(len(tokens))
-        guess, first = np.array(tokens, dtype=np.int64), np.array(bounds)
-        rows = np.repeat(np.arange(len(words)), np.diff(first))
+        coded = [x.encode() for x in words]
+        sizes = np.array([len(x) for x in coded])
+        ends = np.cumsum(sizes + 1) - 1  # of each word's letters in the joined string
+        spelt = b"\xff".join(coded).decode("latin-1").translate(self.spelling)
+        found = list(self.longest.iter_long(spelt))
+        guess = np.array([t for _, t in found], dtype=np.int64)
+        rows = np.searchsorted(ends, np.array([e for e, _ in found], dtype=np.int64), side="right")
         inner = np.flatnonzero(rows[1:] == rows[:-1])
         pairs, back = np.unique(guess[inner] * len(self.ids) + guess[inner + 1], return_inverse=True)
         fit = self.compatible(pairs // len(self.ids), pairs % len(self.ids))[back] if len(pairs) else np.zeros(0, bool)
@@ -164,9 +183,16 @@ class ByteBpe:
         failed[rows[inner[~fit]]] = True
         self.speculated += len(words)
         self.failed += int(failed.sum())
-        ids = self.ids[guess].tobytes()
-        for i, word in enumerate(words):
-            self.known[word] = self.ids[self.merged(spelt[i])].tobytes() if failed[i] else ids[4 * bounds[i] : 4 * bounds[i + 1]]
+        ids, bounds = self.ids[guess].tobytes(), np.searchsorted(rows, np.arange(len(words) + 1)).tolist()
+        for i in np.flatnonzero(~failed).tolist():
+            self.known[words[i]] = ids[4 * bounds[i] : 4 * bounds[i + 1]]
+        if failed.any():
+            again = np.flatnonzero(failed)
+            flat = np.frombuffer(b"".join(coded[i] for i in again), dtype=np.uint8)
+            tokens, first = self.merged(self.byte_tokens[flat], np.concatenate([[0], np.cumsum(sizes[again])]))
+            ids, bounds = self.ids[tokens].tobytes(), first.tolist()
+            for k, i in enumerate(again.tolist()):
+                self.known[words[i]] = ids[4 * bounds[k] : 4 * bounds[k + 1]]
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """The ids of each text as little-endian unsigned 32-bit integers."""
@@ -178,8 +204,8 @@ class ByteBpe:
             self.learn(list(fresh))
         known = self.known
         out = []
-        for words in cut:
-            if self.special_ids and any(x in self.special_ids for x in words):
+        for text, words in zip(texts, cut, strict=True):
+            if any(x in text for x in self.special_ids):
                 out.append(b"".join(self.special_ids.get(x) or known[x] for x in words))
             else:
                 out.append(b"".join(map(known.__getitem__, words)))
