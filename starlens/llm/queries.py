@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from starlens.llm.bpe import bpe_decode, bpe_encode, digests
+from starlens.llm.contamination import contaminated
 from starlens.llm.jaccard import near_duplicates
 from starlens.llm.language import identify, page_evidence
 from starlens.llm.pii import KINDS, personal_data, written
@@ -127,6 +128,10 @@ SELECT page_id, kind, record_id, refers_to, url AS target_uri, '{DATE}' AS date,
 """
 
 
+def op9_contamination(spark: SparkSession, folder: str) -> DataFrame:
+    return contaminated(table(spark, folder, "documents"), table(spark, folder, "benchmark")).drop("text_hash")
+
+
 def op10_top_k(spark: SparkSession, folder: str) -> DataFrame:
     return exact_top_k(table(spark, folder, "embeddings").select("vec_id", "embedding"), F.col("vec_id") % 20 == 0, k=20)
 
@@ -150,6 +155,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op6_token_files": op6_token_files,
     "op7_language": op7_language,
     "op8_warc": op8_warc,
+    "op9_contamination": op9_contamination,
     "op10_top_k": op10_top_k,
 }
 
