@@ -20,13 +20,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from tokenizers.pre_tokenizers import ByteLevel
 
-from starlens.llm.common import per_slice
+from starlens.llm.common import Memory, per_slice
 from starlens.llm.words import slices
 
 #: Fixed value of the byte-level vocabularies: the pattern that cuts a text into words.
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
-#: Words whose ids a worker remembers before it starts anew.
-REMEMBERED = 500_000
+#: Words in each of the two generations whose ids a worker remembers.
+REMEMBERED = 300_000
 NEVER = np.iinfo(np.int64).max
 
 
@@ -95,7 +95,7 @@ class ByteBpe:
         self.library_cut = ByteLevel(add_prefix_space=False)
         self.at_special = regex.compile("(" + "|".join(regex.escape(x) for x, _ in self.special) + ")") if self.special else None
         self.special_ids = {x: np.array([i], dtype="<u4").tobytes() for x, i in self.special}
-        self.known: dict[str, bytes] = {}
+        self.memory = Memory(REMEMBERED)
         self.speculated = self.failed = 0
 
     def merge(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -169,6 +169,7 @@ class ByteBpe:
 
     def learn(self, words: list[str]) -> None:
         """Add the ids of new words to the known ones."""
+        known = self.memory.known
         coded = [x.encode() for x in words]
         sizes = np.array([len(x) for x in coded])
         ends = np.cumsum(sizes + 1) - 1  # of each word's letters in the joined string
@@ -185,24 +186,23 @@ class ByteBpe:
         self.failed += int(failed.sum())
         ids, bounds = self.ids[guess].tobytes(), np.searchsorted(rows, np.arange(len(words) + 1)).tolist()
         for i in np.flatnonzero(~failed).tolist():
-            self.known[words[i]] = ids[4 * bounds[i] : 4 * bounds[i + 1]]
+            known[words[i]] = ids[4 * bounds[i] : 4 * bounds[i + 1]]
         if failed.any():
             again = np.flatnonzero(failed)
             flat = np.frombuffer(b"".join(coded[i] for i in again), dtype=np.uint8)
             tokens, first = self.merged(self.byte_tokens[flat], np.concatenate([[0], np.cumsum(sizes[again])]))
             ids, bounds = self.ids[tokens].tobytes(), first.tolist()
             for k, i in enumerate(again.tolist()):
-                self.known[words[i]] = ids[4 * bounds[k] : 4 * bounds[k + 1]]
+                known[words[i]] = ids[4 * bounds[k] : 4 * bounds[k + 1]]
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """The ids of each text as little-endian unsigned 32-bit integers."""
         cut = [self.cut(x) for x in texts]
-        if len(self.known) > REMEMBERED:
-            self.known = {}
-        fresh = {w for words in cut for w in words if w not in self.known and w not in self.special_ids}
+        self.memory.turn()
+        fresh = self.memory.missing(set().union(*cut).difference(self.special_ids))
         if fresh:
-            self.learn(list(fresh))
-        known = self.known
+            self.learn(fresh)
+        known = self.memory.known
         out = []
         for text, words in zip(texts, cut, strict=True):
             if any(x in text for x in self.special_ids):

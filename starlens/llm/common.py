@@ -85,3 +85,24 @@ def sigmoid(z: np.ndarray) -> np.ndarray:
 def sized(df: DataFrame, rows: int = SMALL_ROWS) -> DataFrame:
     """A staged table of few numbers a row: marked for broadcast if it has at most ``rows`` rows, else left to a shuffled join."""
     return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df
+
+
+class Memory:
+    """What a worker knows by key, in two generations: when the younger is full, the older is forgotten, so frequent keys stay."""
+
+    def __init__(self, limit: int):
+        self.limit = limit
+        self.known: dict = {}
+        self.older: dict = {}
+
+    def missing(self, wanted: set) -> list:
+        """Those of ``wanted`` that are not known; afterwards all others are in ``known``, until ``turn``."""
+        new = wanted.difference(self.known)
+        for key in new.intersection(self.older):
+            self.known[key] = self.older[key]
+        return list(new.difference(self.older))
+
+    def turn(self) -> None:
+        """Call between batches: forget the older generation if the younger is full."""
+        if len(self.known) > self.limit:
+            self.older, self.known = self.known, {}

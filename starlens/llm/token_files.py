@@ -24,6 +24,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from starlens.llm.common import Memory
 from starlens.llm.words import slices
 from starlens.session import stage, staging_path
 
@@ -34,7 +35,8 @@ FRAME_BYTES = 1 << 18
 LEVEL = 3
 #: The listing of one document: id, whether it has one, first token in the file, tokens, frame.
 ENTRY = np.dtype([("doc", "<i8"), ("known", "u1"), ("first", "<u8"), ("tokens", "<u8"), ("frame", "<u4")])
-REMEMBERED = 300_000
+#: Pieces in each of the two generations whose ids a worker remembers.
+REMEMBERED = 400_000
 
 
 def file_system(uri: str) -> tuple[pafs.FileSystem, str]:
@@ -123,37 +125,65 @@ class Reader:
 class Encoder:
     """The tokenizers library, asked once for each piece of text between ASCII white space.
 
-    For a vocabulary that drops white space the ids of a text are those of its pieces, one after the other.
+    For a vocabulary that drops white space the ids of a text are those of its pieces, one after the other. A piece
+    of Latin letters with at most one sign behind is looked up, and asked for, in small letters without the sign.
     """
 
     breaks = re.compile(r"[ \t\n\r\x0b\x0c]+")
     #: Python's split() breaks here as well, the vocabulary does not.
     others = "\x1c\x1d\x1e\x1f"
+    plain = re.compile(r"([a-zà-öø-ÿ]+)([.,;:!?]?)")
 
-    def __init__(self, file: bytes, end: int | None):
+    def __init__(self, file: bytes):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_str(file.decode())
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
-        self.end = b"" if end is None else struct.pack("<I", end)
-        self.by_piece = self.whole("a b\xa0c d\ne") == b"".join(self.whole(x) for x in "abcde") and not self.whole(" \t\n\r\x0b\x0c\x85\xa0      　")
-        self.known: dict[str, bytes] = {}
+        self.by_piece = self.whole("a b\xa0c\u2003d\ne") == b"".join(self.whole(x) for x in "abcde") and not self.whole(" \t\n\r\x0b\x0c\x85\xa0\u1680\u2000\u2028\u2029\u202f\u205f\u3000")
+        self.small = self.by_piece and self.whole("aé. Àb") == self.whole("aé") + self.whole(".") + self.whole("àb")
+        self.memory = Memory(REMEMBERED)
 
     def whole(self, text: str) -> bytes:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, dtype="<u4").tobytes()
 
+    def ask(self, texts: list[str]) -> list[bytes]:
+        return [np.array(x.ids, dtype="<u4").tobytes() for x in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+
+    def learn(self, pieces: list[str]) -> None:
+        parts = {x: m.groups() for x in pieces if (m := self.plain.fullmatch(x.lower()))} if self.small else {}
+        bare = self.memory.missing({y for x in parts.values() for y in x if y})
+        known = self.memory.known
+        for x, ids in zip(bare, self.ask(bare), strict=True):
+            known[x] = ids
+        rest = [x for x in pieces if x not in parts]
+        for x, ids in zip(rest, self.ask(rest), strict=True):
+            known[x] = ids
+        for x, (word, sign) in parts.items():
+            known[x] = known[word] + known[sign] if sign else known[word]
+
     def encode(self, texts: list[str]) -> list[bytes]:
+        """The ids of each text as little-endian unsigned 32-bit integers."""
         if not self.by_piece:
-            return [np.array(x.ids, dtype="<u4").tobytes() + self.end for x in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
-        if len(self.known) > REMEMBERED:
-            self.known = {}
+            return self.ask(texts)
         cut = [self.breaks.split(x) if any(c in x for c in self.others) else x.split() for x in texts]
-        fresh = list({x for pieces in cut for x in pieces if x not in self.known})
-        for piece, coded in zip(fresh, self.tokenizer.encode_batch_fast(fresh, add_special_tokens=False), strict=True):
-            self.known[piece] = np.array(coded.ids, dtype="<u4").tobytes()
-        return [b"".join(map(self.known.__getitem__, pieces)) + self.end for pieces in cut]
+        self.memory.turn()
+        fresh = self.memory.missing(set().union(*cut))
+        if fresh:
+            self.learn(fresh)
+        return [b"".join(map(self.memory.known.__getitem__, pieces)) for pieces in cut]
+
+
+ENCODERS: dict[int, Encoder] = {}
+
+
+def encoder_of(file: bytes) -> Encoder:
+    """A worker's encoder for a vocabulary, kept with what it knows from task to task."""
+    key = hash(file)
+    if key not in ENCODERS:
+        ENCODERS[key] = Encoder(file)
+    return ENCODERS[key]
 
 
 def write_token_files(docs: DataFrame, vocabulary: str, end: int | None = 2, key: str = "doc_id", text: str = "text", folder: str | None = None, frame_bytes: int = FRAME_BYTES) -> DataFrame:
@@ -176,18 +206,19 @@ def write_token_files(docs: DataFrame, vocabulary: str, end: int | None = 2, key
         part = TaskContext.get().partitionId()
         name = f"part-{part:06d}-{uuid.uuid4().hex}.tokens"
         encoder, writer = None, None
+        last = b"" if end is None else struct.pack("<I", end)
         where, base = file_system(folder)
         out = None
         for batch in batches:
             for low, high in slices(batch["t"]):
                 if writer is None:
-                    encoder = Encoder(sent.value, end)
+                    encoder = encoder_of(sent.value)
                     where.create_dir(base, recursive=True)
                     out = where.open_output_stream(f"{base}/{name}")
                     writer = Writer(out, frame_bytes)
                 rows = batch.slice(low, high - low)
                 for doc, ids in zip(rows["k"].to_pylist(), encoder.encode(rows["t"].to_pylist()), strict=True):
-                    writer.add(doc, ids)
+                    writer.add(doc, ids + last)
         if writer is not None:
             writer.close()
             out.close()
