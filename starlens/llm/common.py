@@ -9,6 +9,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from starlens.session import stage
+
 #: Labelled rows that a fit uses at most, on average; 12 bytes each when sent to the executors.
 LABELLED_ROWS = 200_000
 #: Rows up to which a table of a few numbers a row is sent to all executors.
@@ -106,3 +108,10 @@ class Memory:
         """Call between batches: forget the older generation if the younger is full."""
         if len(self.known) > self.limit:
             self.older, self.known = self.known, {}
+
+
+def without(docs: DataFrame, dropped: DataFrame, key: str = "doc_id", text: str = "text", name: str = "dropped") -> DataFrame:
+    """The documents whose (key, xxhash64 of the text) is not in ``dropped`` (key, text_hash); null keys match null keys."""
+    out = stage(dropped.select(F.col(key).alias("dropped_key"), F.col("text_hash").alias("dropped_hash")).distinct(), name)
+    out = sized(out)
+    return docs.join(out, docs[key].eqNullSafe(out["dropped_key"]) & (F.xxhash64(F.coalesce(docs[text], F.lit(""))) == out["dropped_hash"]), "left_anti")
