@@ -196,13 +196,15 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text:
         words = words_of(batch[text], HEAD)
         scores = np.round(sent.value.scores(words) * 64).astype(np.int64)
         label = np.array(batch["label"].to_pylist(), np.int64)
-        mine = scores[label[words.rows] == 0]
-        value, count = np.unique(mine, return_counts=True)
+        kinds = label[words.rows]
+        parts = [np.unique(scores[kinds == k], return_counts=True) for k in (0, 1)]
+        value, count = (np.concatenate(x) for x in zip(*parts, strict=True))
+        marks = np.repeat([-1, -2], [len(x) for x, _ in parts])
         lengths, best, _ = best_scores(sent.value, words)
         known_rows = len(lengths)
         return pa.RecordBatch.from_arrays(
             [
-                pa.array(np.r_[label, np.full(len(value), -1)].astype(np.int32)),
+                pa.array(np.r_[label, marks].astype(np.int32)),
                 pa.array(np.r_[np.round(best * 64).astype(np.int64), value]),
                 pa.array(np.r_[np.round(np.log2(np.maximum(lengths, 1)) * 8).astype(np.int64), np.zeros(len(value), np.int64)]),
                 pa.array(np.r_[np.ones(known_rows, np.int64), count]),
@@ -210,12 +212,14 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text:
             names=["label", "score", "length", "n"],
         )
 
-    # label -1: words of other texts by score; label 0 or 1: documents by best segment and length, all in steps
+    # labels -1 and -2: words of other and of toxic texts by score; 0 and 1: documents by best segment and length, all in steps
     joined = slim.join(F.broadcast(sample), slim[key] == sample["labelled_key"]).select(text, "label")
     seen = joined.mapInArrow(per_slice(slices, measure, text), "label int, score long, length long, n long").groupBy("label", "score", "length").agg(F.sum("n").alias("n")).toArrow()
     kind, score, length, n = (seen[c].to_numpy() for c in ("label", "score", "length", "n"))
     score, length = score / 64, 2.0 ** (length / 8)
-    model.decay = decay_of(score[kind == -1], n[kind == -1])
+    plus = (kind == -2) & (score > 0)  # half a word of the toxic ones is granted to the other texts, which may have none
+    granted = n[plus] * (0.5 / max(1, n[plus].sum()))
+    model.decay = decay_of(np.r_[score[kind == -1], score[plus]], np.r_[n[kind == -1], granted])
     clean = kind == 0
     if model.decay:
         model.rate = float(n[clean].sum() / max(1e-12, n[clean] @ (length[clean] * np.exp(-model.decay * score[clean]))))
