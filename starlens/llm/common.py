@@ -100,9 +100,10 @@ class Memory:
     def missing(self, wanted: set) -> list:
         """Those of ``wanted`` that are not known; afterwards all others are in ``known``, until ``turn``."""
         new = wanted.difference(self.known)
-        for key in new.intersection(self.older):
+        fresh = new.difference(self.older)
+        for key in new.difference(fresh):
             self.known[key] = self.older[key]
-        return list(new.difference(self.older))
+        return list(fresh)
 
     def turn(self) -> None:
         """Call between batches: forget the older generation if the younger is full."""

@@ -10,6 +10,7 @@ words in common, must also hold the item's answer.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -17,48 +18,93 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from starlens.llm.common import known, per_slice
-from starlens.llm.words import Words, mix, slices, words_of
+from starlens.llm.words import mix, slices, text_bytes, words_of
+from starlens.session import stage
 
 #: Hashed terms, latent dimensions, words to a passage, and words to the blocks that windows are made of.
 TERM_BITS, RANK, PASSAGE, BLOCK = 14, 48, 48, 8
 TERMS = 1 << TERM_BITS
+#: Directions whose singular value is so many times the median are common to all texts of a kind (a language, say) and say nothing of a passage.
+COMMON = 1.5
 #: Least cosine of a candidate; share of an item's words in order that proves it alone, and together with the answer.
-COSINE, COVERED, PARAPHRASED = 0.55, 0.75, 0.6
+COSINE, COVERED, PARAPHRASED = 0.5, 0.75, 0.6
 #: Items of fewer words are no passages and not looked for; items that one pass looks for.
 LEAST_WORDS, ITEM_BLOCK = 5, 4000
 #: Entries of each row of the random matrix.
 SPARSE = 3
 
 
-def terms(hashes: np.ndarray) -> np.ndarray:
-    return (hashes >> np.uint64(64 - TERM_BITS)).astype(np.int64)
+@dataclass
+class Rows:
+    """The words of some documents as 32-bit hashes; those of document i are ``words[first[i]:first[i + 1]]``."""
 
+    words: np.ndarray
+    first: np.ndarray
 
-def passages(words: Words) -> tuple[np.ndarray, np.ndarray, np.ndarray, int]:
-    """(passage, term, count) of all different terms of a slice's passages, by passage, and the number of passages."""
-    counts = np.diff(words.first)
-    inside = np.arange(len(words.hashes)) - np.repeat(words.first[:-1], counts)
+    @property
+    def terms(self) -> np.ndarray:
+        return (self.words >> np.uint32(32 - TERM_BITS)).astype(np.int64)
+
+
+def hashed(texts: pa.Array) -> Rows:
+    words = words_of(texts)
+    return Rows((words.hashes >> np.uint64(32)).astype(np.uint32), words.first)
+
+
+def unpacked(column: pa.Array) -> Rows:
+    """The documents of a binary column of hashes."""
+    data, offsets = text_bytes(column)
+    return Rows(np.frombuffer(data.tobytes(), np.uint32), offsets // 4)
+
+
+def passages(rows: Rows) -> tuple[np.ndarray, np.ndarray, np.ndarray, int]:
+    """(passage, term, count) of all different terms of the passages, by passage, and the number of passages."""
+    counts = np.diff(rows.first)
+    inside = np.arange(len(rows.words)) - np.repeat(rows.first[:-1], counts)
     per_row = -(-counts // PASSAGE)
     owner = np.repeat(np.concatenate([[0], np.cumsum(per_row)])[:-1], counts) + inside // PASSAGE
-    keys = np.sort(owner * TERMS + terms(words.hashes))
+    keys = np.sort(owner * TERMS + rows.terms)
     new = np.flatnonzero(np.append(True, keys[1:] != keys[:-1])) if len(keys) else np.zeros(0, np.int64)
     return keys[new] // TERMS, keys[new] % TERMS, np.diff(np.append(new, len(keys))), int(per_row.sum())
 
 
-def term_weights(docs: DataFrame, text: str) -> np.ndarray:
-    """The inverse passage frequency of each hashed term, over all passages."""
+def words_staged(docs: DataFrame, key: str, text: str) -> DataFrame:
+    """(k, text_hash, words) of each document with words, and per task one row of passage counts (n_passages, frequencies) instead."""
+    rows = known(docs, text).select(F.col(key).alias("k"), F.xxhash64(text).alias("text_hash"), F.col(text).alias("t"))
 
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total, n = np.zeros(TERMS, np.int64), 0
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total, n, kind = np.zeros(TERMS, np.int64), 0, None
+        names = ["k", "text_hash", "words", "n_passages", "frequencies"]
         for batch in batches:
-            for low, high in slices(batch[text]):
-                _, term, _, some = passages(words_of(batch[text].slice(low, high - low)))
+            kind = batch["k"].type
+            for low, high in slices(batch["t"]):
+                part = batch.slice(low, high - low)
+                found = hashed(part["t"])
+                _, term, _, some = passages(found)
                 total += np.bincount(term, minlength=TERMS)
                 n += some
-        at = np.flatnonzero(total)
-        yield pa.RecordBatch.from_arrays([pa.array(np.append(at, -1).astype(np.int32)), pa.array(np.append(total[at], n))], names=["term", "n"])
+                packed = pa.Array.from_buffers(pa.large_binary(), part.num_rows, [None, pa.py_buffer(found.first.astype(np.int64) * 4), pa.py_buffer(found.words)]).cast(pa.binary())
+                none = [pa.nulls(part.num_rows, x) for x in (pa.int64(), pa.binary())]
+                yield pa.RecordBatch.from_arrays([part["k"], part["text_hash"], packed, *none], names=names)
+        if n:
+            yield pa.RecordBatch.from_arrays([pa.nulls(1, kind), pa.nulls(1, pa.int64()), pa.nulls(1, pa.binary()), pa.array([n]), pa.array([total.tobytes()], pa.binary())], names=names)
+
+    schema = f"k {rows.schema['k'].dataType.simpleString()}, text_hash long, words binary, n_passages long, frequencies binary"
+    return stage(rows.mapInArrow(run, schema), "passage-words")
+
 
-    table = docs.mapInArrow(count, "term int, n long").groupBy("term").agg(F.sum("n").alias("n")).toArrow()
+def term_weights(staged: DataFrame) -> np.ndarray:
+    """The inverse passage frequency of each hashed term, over all passages."""
+
+    def spread(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for n, coded in zip(batch["n_passages"].to_pylist(), batch["frequencies"].to_pylist(), strict=True):
+                total = np.frombuffer(coded, np.int64)
+                at = np.flatnonzero(total)
+                yield pa.RecordBatch.from_arrays([pa.array(np.append(at, -1).astype(np.int32)), pa.array(np.append(total[at], n))], names=["term", "n"])
+
+    counts = staged.where(F.col("frequencies").isNotNull()).select("n_passages", "frequencies")
+    table = counts.mapInArrow(spread, "term int, n long").groupBy("term").agg(F.sum("n").alias("n")).toArrow()
     at, n = table["term"].to_numpy(), table["n"].to_numpy()
     total = float(n[at < 0].sum())
     frequency = np.zeros(TERMS)
@@ -72,16 +118,16 @@ def sparse_random() -> tuple[np.ndarray, np.ndarray]:
     return (h % np.uint64(RANK)).astype(np.int64), np.where((h >> np.uint64(40)) & np.uint64(1), 1.0, -1.0) / np.sqrt(SPARSE)
 
 
-def latent_terms(docs: DataFrame, weights: np.ndarray, text: str) -> np.ndarray:
-    """A latent vector for each hashed term: its weight times the right singular vectors, scaled by the singular values."""
-    sent = docs.sparkSession.sparkContext.broadcast(weights)
+def latent_terms(staged: DataFrame, weights: np.ndarray) -> np.ndarray:
+    """A latent vector for each hashed term: its weight times the right singular vectors, scaled by the singular values. A zero vector follows."""
+    sent = staged.sparkSession.sparkContext.broadcast(weights)
 
     def sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         column, sign = sparse_random()
-        total = np.zeros((TERMS, RANK))
+        total = np.zeros((RANK, TERMS))
         for batch in batches:
-            for low, high in slices(batch[text]):
-                passage, term, count, n = passages(words_of(batch[text].slice(low, high - low)))
+            for low, high in slices(batch["words"]):
+                passage, term, count, n = passages(unpacked(batch["words"].slice(low, high - low)))
                 if not n:
                     continue
                 value = count * sent.value[term]
@@ -90,17 +136,13 @@ def latent_terms(docs: DataFrame, weights: np.ndarray, text: str) -> np.ndarray:
                 product = np.zeros(n * RANK)
                 for k in range(SPARSE):
                     product += np.bincount(passage * RANK + column[term, k], value * sign[term, k], minlength=n * RANK)
-                product = product.reshape(n, RANK).astype(np.float32)
-                order = np.argsort(term.astype(np.uint16), kind="stable")
-                term, rows = term[order], product[passage[order]]
-                rows *= value[order].astype(np.float32)[:, None]
-                start = np.flatnonzero(np.append(True, term[1:] != term[:-1]))
-                total[term[start]] += np.add.reduceat(rows, start, axis=0)
-        some = np.flatnonzero(total.any(axis=1))
-        listed = pa.FixedSizeListArray.from_arrays(pa.array(total[some].astype(np.float32).ravel()), RANK).cast(pa.list_(pa.float32()))
+                for k, own in enumerate(np.ascontiguousarray(product.reshape(n, RANK).T)):
+                    total[k] += np.bincount(term, value * own[passage], minlength=TERMS)
+        some = np.flatnonzero(total.any(axis=0))
+        listed = pa.FixedSizeListArray.from_arrays(pa.array(total[:, some].T.astype(np.float32).ravel()), RANK).cast(pa.list_(pa.float32()))
         yield pa.RecordBatch.from_arrays([pa.array(some.astype(np.int32)), listed], names=["term", "v"])
 
-    added = docs.mapInArrow(sums, "term int, v array<float>").groupBy("term").agg(*(F.sum(F.get("v", F.lit(k)).cast("double")).alias(f"v{k}") for k in range(RANK))).toArrow()
+    added = staged.where(F.col("words").isNotNull()).select("words").mapInArrow(sums, "term int, v array<float>").groupBy("term").agg(*(F.sum(F.get("v", F.lit(k)).cast("double")).alias(f"v{k}") for k in range(RANK))).toArrow()
     g = np.zeros((TERMS, RANK))
     g[added["term"].to_numpy()] = np.column_stack([added[f"v{k}"].to_numpy() for k in range(RANK)]) if added.num_rows else np.zeros((0, RANK))
     column, sign = sparse_random()
@@ -112,26 +154,28 @@ def latent_terms(docs: DataFrame, weights: np.ndarray, text: str) -> np.ndarray:
     use = value > 1e-7 * max(value.max(), 1e-30)
     u, s, _ = np.linalg.svd(g @ (vector[:, use] / np.sqrt(value[use])), full_matrices=False)
     use = s > 1e-4 * max(s.max(initial=0), 1e-30)
-    return (weights[:, None] * u[:, use] / s[use]).astype(np.float32)
+    shared = s > COMMON * np.median(s[use]) if use.any() else use
+    use &= ~shared | (shared.sum() > use.sum() // 2)
+    return np.vstack([weights[:, None] * u[:, use] / s[use], np.zeros((1, int(use.sum())))]).astype(np.float32)
 
 
 class Items:
     """Benchmark items of one pass: words, answers and latent directions, by window size."""
 
     def __init__(self, ids: list[int], texts: list[str], answers: list[str | None], latent: np.ndarray):
-        words = words_of(pa.array(texts, pa.string()))
+        words = hashed(pa.array(texts, pa.string()))
         self.ids, self.words, self.answers, self.masks = [], [], [], []
         rows: dict[int, list[np.ndarray]] = {}
         self.members: dict[int, list[int]] = {}
         for i, (item, text, answer) in enumerate(zip(ids, texts, answers, strict=True)):
-            own = words.hashes[words.first[i] : words.first[i + 1]]
+            own = words.words[words.first[i] : words.first[i + 1]]
             if len(own) < LEAST_WORDS:
                 continue
-            direction = latent[terms(own)].sum(axis=0)
-            blocks = 1 << max(0, round(np.log2(len(own) / BLOCK)))
+            direction = latent[Rows(own, words.first).terms].sum(axis=0)
+            blocks = window_blocks(len(own))
             self.members.setdefault(blocks, []).append(len(self.ids))
             rows.setdefault(blocks, []).append(direction / max(np.linalg.norm(direction), 1e-12))
-            asked = words_of(pa.array([answer if answer is not None else last_sentence(text)], pa.string())).hashes
+            asked = hashed(pa.array([answer if answer is not None else last_sentence(text)], pa.string())).words
             self.ids.append(item)
             self.words.append(own.tolist())
             self.answers.append(asked.tolist())
@@ -157,6 +201,13 @@ class Items:
         return covered, common_subsequence(own, len(answer), text) >= 0.9 * len(answer)
 
 
+def window_blocks(words: int) -> int:
+    """The size in blocks of the windows that are compared with an item: its own up to 16, then within an eighth of it."""
+    blocks = max(1, round(words / BLOCK))
+    step = 1 << max(0, blocks.bit_length() - 4)
+    return -(-blocks // step) * step
+
+
 def last_sentence(text: str) -> str:
     """What stands for the answer of an item without one: the words after its last inner end of a sentence."""
     body = text.rstrip(" \n.!?")
@@ -175,8 +226,8 @@ def common_subsequence(masks: dict[int, int], n: int, text: list[int]) -> int:
     return n - row.bit_count()
 
 
-def candidates(words: Words, latent: np.ndarray, items: Items, least: float) -> Iterator[tuple[int, int, int, int, float]]:
-    """(row, item, first word, last word, cosine) of all windows near an item, words counted in the slice."""
+def candidates(words: Rows, latent: np.ndarray, items: Items, least: float) -> Iterator[tuple[int, int, int, int, float]]:
+    """(row, item, first word, last word, cosine) of all windows near an item, words counted in the part; of windows in a row that are near one item, the nearest."""
     counts = np.diff(words.first)
     per_row = -(-counts // BLOCK)
     block_first = np.concatenate([[0], np.cumsum(per_row)])
@@ -185,10 +236,14 @@ def candidates(words: Words, latent: np.ndarray, items: Items, least: float) ->
         return
     rows = np.repeat(np.arange(len(counts)), per_row)
     starts = np.repeat(words.first[:-1], per_row) + (np.arange(n) - np.repeat(block_first[:-1], per_row)) * BLOCK
-    sums = np.add.reduceat(latent[terms(words.hashes)], starts, axis=0)
+    last = block_first[1:][rows]
+    row_end = words.first[1:][rows]
+    padded = np.append(words.terms, TERMS)  # the last latent vector is zero
+    sums = np.zeros((n, latent.shape[1]), np.float32)
+    for k in range(BLOCK):
+        sums += latent[padded[np.where(starts + k < row_end, starts + k, -1)]]
     total = np.zeros((n + 1, sums.shape[1]))
     np.cumsum(sums, axis=0, dtype=np.float64, out=total[1:])
-    last = block_first[1:][rows]
     for blocks, directions in items.directions.items():
         stop = np.minimum(np.arange(n) + blocks, last)
         use = np.flatnonzero((stop - np.arange(n) == blocks) | (np.arange(n) == block_first[:-1][rows]))  # a row shorter than the window has one
@@ -197,11 +252,16 @@ def candidates(words: Words, latent: np.ndarray, items: Items, least: float) ->
             window = (total[stop[mine]] - total[mine]).astype(np.float32)
             window /= np.maximum(np.linalg.norm(window, axis=1, keepdims=True), 1e-12)
             cosine = window @ directions
-            for at, k in zip(*np.nonzero(cosine >= least), strict=True):
-                block = mine[at]
-                row = rows[block]
-                end = words.first[row + 1] if stop[block] == last[block] else starts[stop[block]]
-                yield int(row), items.members[blocks][k], int(starts[block]), int(end), float(cosine[at, k])
+            at, k = np.nonzero((cosine >= least).T)[::-1]
+            if not len(at):
+                continue
+            value, block = cosine[at, k], mine[at]
+            new = np.append(True, (k[1:] != k[:-1]) | (at[1:] != at[:-1] + 1) | (rows[block[1:]] != rows[block[:-1]]))
+            start = np.flatnonzero(new)
+            top = np.lexsort((-value, np.cumsum(new)))[start]  # the best of each run
+            block, k, value = block[top], k[top], value[top]
+            end = np.where(stop[block] == last[block], row_end[block], starts[np.minimum(stop[block], n - 1)])
+            yield from zip(rows[block].tolist(), [items.members[blocks][x] for x in k.tolist()], starts[block].tolist(), end.tolist(), value.tolist(), strict=True)
 
 
 def contaminated(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", text: str = "text", item: str = "item_id", item_text: str = "text", answer: str | None = None, cosine: float = COSINE, covered: float = COVERED, paraphrased: float = PARAPHRASED) -> DataFrame:
@@ -213,15 +273,13 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", tex
     The benchmark goes to the executors in blocks of ``ITEM_BLOCK`` items, each block in one pass.
     """
     spark = docs.sparkSession
-    whole = known(docs, text)
-    slim = whole.select(F.col(text).alias("t"))
-    weights = term_weights(slim, "t")
-    latent = latent_terms(slim, weights, "t")
+    staged = words_staged(docs, key, text)
+    latent = latent_terms(staged, term_weights(staged))
     asked = benchmark.where(F.col(item_text).isNotNull() & F.col(item).isNotNull()).select(
         F.col(item).cast("long").alias("i"), F.col(item_text).alias("x"), (F.col(answer) if answer else F.lit(None).cast("string")).alias("a")
     )
     blocks = max(1, -(-asked.count() // ITEM_BLOCK))
-    rows = whole.select(F.col(key).alias("k"), F.xxhash64(text).alias("text_hash"), F.col(text).alias("t"))
+    rows = staged.where(F.col("words").isNotNull()).select("k", "text_hash", "words")
     kind = rows.schema["k"].dataType.simpleString()
     found = None
     for block in range(blocks):
@@ -230,7 +288,7 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", tex
 
         def search(batch: pa.RecordBatch, sent=sent) -> pa.RecordBatch:
             vectors, items = sent.value
-            words = words_of(batch["t"])
+            words = unpacked(batch["words"])
             best: dict[tuple[int, int], list] = {}
             seen: set[tuple[int, int, int]] = set()
             for row, i, begin, end, near in candidates(words, vectors, items, cosine):
@@ -239,7 +297,7 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", tex
                 if best.get((row, i), [0, 0])[1] >= 0.999 or (row, i, int(low)) in seen:
                     continue
                 seen.add((row, i, int(low)))
-                share, answered = items.verify(i, words.hashes[low:high].tolist())
+                share, answered = items.verify(i, words.words[low:high].tolist())
                 if (share >= covered or share >= paraphrased and answered) and share > best.get((row, i), [0, -1])[1]:
                     best[row, i] = [near, share, answered]
             at = [row for row, _ in best]
@@ -251,7 +309,7 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", tex
                 names=["k", "text_hash", "item_id", "cosine", "coverage", "answered"],
             )
 
-        part = rows.mapInArrow(per_slice(slices, search, "t"), f"k {kind}, text_hash long, item_id long, cosine double, coverage double, answered boolean")
+        part = rows.mapInArrow(per_slice(slices, search, "words"), f"k {kind}, text_hash long, item_id long, cosine double, coverage double, answered boolean")
         found = part if found is None else found.unionByName(part)
     best = F.max(F.struct("coverage", "cosine", "answered"))
     return found.groupBy(F.col("k").alias(key), "text_hash", "item_id").agg(best.alias("b")).select(key, "text_hash", "item_id", "b.cosine", "b.coverage", "b.answered")

@@ -233,7 +233,7 @@ def written(spans: str) -> Column:
 
 
 def redacted(found: DataFrame, text: str = "text") -> DataFrame:
-    """The documents with each span replaced by its kind in brackets; of overlapping spans the first, then the longest, counts. Drops the lists."""
+    """The documents with each span replaced by its kind in brackets; spans that overlap are replaced together, by the kind of the first, then longest. Drops the lists."""
     kept = found.drop("pii_base", "pii_spans")
     names = kept.columns
 

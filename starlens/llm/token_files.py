@@ -9,6 +9,7 @@ of a file, then only the frames of the documents asked for, and checks their sum
 from __future__ import annotations
 
 import io
+import json
 import os
 import re
 import struct
@@ -24,8 +25,9 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from starlens.llm.bpe import byte_letters
 from starlens.llm.common import Memory
-from starlens.llm.words import slices
+from starlens.llm.words import slices, words_of
 from starlens.session import stage, staging_path
 
 #: Fixed values of the seekable layout.
@@ -35,6 +37,8 @@ FRAME_BYTES = 1 << 18
 LEVEL = 3
 #: The listing of one document: id, whether it has one, first token in the file, tokens, frame.
 ENTRY = np.dtype([("doc", "<i8"), ("known", "u1"), ("first", "<u8"), ("tokens", "<u8"), ("frame", "<u4")])
+BREAK = np.zeros(256, bool)
+BREAK[[9, 10, 11, 12, 13, 32]] = True
 #: Pieces in each of the two generations whose ids a worker remembers.
 REMEMBERED = 400_000
 
@@ -122,16 +126,19 @@ class Reader:
             yield doc if known else None, first, plain[at : at + 4 * tokens]
 
 
+def pieces(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Bytes as they are, and which of them are no ASCII white space."""
+    return data, ~BREAK[data]
+
+
 class Encoder:
     """The tokenizers library, asked once for each piece of text between ASCII white space.
 
     For a vocabulary that drops white space the ids of a text are those of its pieces, one after the other. A piece
-    of Latin letters with at most one sign behind is looked up, and asked for, in small letters without the sign.
+    of Latin letters with at most one sign behind is looked up, and asked for, in small letters without the sign;
+    these need no normaliser and are one word, so a tokenizer of the same model alone takes them.
     """
 
-    breaks = re.compile(r"[ \t\n\r\x0b\x0c]+")
-    #: Python's split() breaks here as well, the vocabulary does not.
-    others = "\x1c\x1d\x1e\x1f"
     plain = re.compile(r"([a-zà-öø-ÿ]+)([.,;:!?]?)")
 
     def __init__(self, file: bytes):
@@ -139,10 +146,14 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_str(file.decode())
-        self.tokenizer.no_truncation()
-        self.tokenizer.no_padding()
+        self.model = Tokenizer.from_str(json.dumps(json.loads(file) | {"normalizer": None, "pre_tokenizer": None, "added_tokens": []}))
+        for x in (self.tokenizer, self.model):
+            x.no_truncation()
+            x.no_padding()
+        self.letters = dict(enumerate(byte_letters()))
         self.by_piece = self.whole("a b\xa0c\u2003d\ne") == b"".join(self.whole(x) for x in "abcde") and not self.whole(" \t\n\r\x0b\x0c\x85\xa0\u1680\u2000\u2028\u2029\u202f\u205f\u3000")
-        self.small = self.by_piece and self.whole("aé. Àb") == self.whole("aé") + self.whole(".") + self.whole("àb")
+        tried = ["house", "été", "größe", "ÿ", ".", "?", "niñoundso"]
+        self.small = self.by_piece and self.whole("Été. GRÖßE") == self.whole("été") + self.whole(".") + self.whole("größe") and self.ask_model(tried) == [self.whole(x) for x in tried]
         self.memory = Memory(REMEMBERED)
 
     def whole(self, text: str) -> bytes:
@@ -151,28 +162,50 @@ class Encoder:
     def ask(self, texts: list[str]) -> list[bytes]:
         return [np.array(x.ids, dtype="<u4").tobytes() for x in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
-    def learn(self, pieces: list[str]) -> None:
-        parts = {x: m.groups() for x in pieces if (m := self.plain.fullmatch(x.lower()))} if self.small else {}
+    def ask_model(self, words: list[str]) -> list[bytes]:
+        spelt = "\n".join(words).encode().decode("latin-1").translate(self.letters | {10: "\n"}).split("\n") if words else []
+        return [np.array(x.ids, dtype="<u4").tobytes() for x in self.model.encode_batch_fast(spelt, add_special_tokens=False)]
+
+    def learn(self, fresh: list[bytes]) -> None:
+        """Add the ids of new pieces, in UTF-8, to the known ones."""
+        parts: dict[bytes, tuple[bytes, bytes]] = {}
+        rest: list[bytes] = []
+        match = self.plain.fullmatch
+        for x in fresh:
+            m = match(x.decode().lower()) if self.small else None
+            if m:
+                parts[x] = m[1].encode(), m[2].encode()
+            else:
+                rest.append(x)
         bare = self.memory.missing({y for x in parts.values() for y in x if y})
         known = self.memory.known
-        for x, ids in zip(bare, self.ask(bare), strict=True):
-            known[x] = ids
-        rest = [x for x in pieces if x not in parts]
-        for x, ids in zip(rest, self.ask(rest), strict=True):
-            known[x] = ids
+        known.update(zip(bare, self.ask_model([x.decode() for x in bare]), strict=True))
+        known.update(zip(rest, self.ask([x.decode() for x in rest]), strict=True))
         for x, (word, sign) in parts.items():
             known[x] = known[word] + known[sign] if sign else known[word]
 
-    def encode(self, texts: list[str]) -> list[bytes]:
+    def encode(self, texts: pa.Array) -> list[bytes]:
         """The ids of each text as little-endian unsigned 32-bit integers."""
         if not self.by_piece:
-            return self.ask(texts)
-        cut = [self.breaks.split(x) if any(c in x for c in self.others) else x.split() for x in texts]
+            return self.ask(texts.to_pylist())
+        found = words_of(texts, separate=pieces)
+        if not len(found.hashes):
+            return [b""] * len(texts)
+        _, at, which = np.unique(found.hashes, return_index=True, return_inverse=True)
+        raw = found.data.tobytes()
+        keys = [raw[a:b] for a, b in zip(found.begin[at].tolist(), found.end[at].tolist(), strict=True)]
         self.memory.turn()
-        fresh = self.memory.missing(set().union(*cut))
+        fresh = self.memory.missing(set(keys))
         if fresh:
             self.learn(fresh)
-        return [b"".join(map(self.memory.known.__getitem__, pieces)) for pieces in cut]
+        coded = list(map(self.memory.known.__getitem__, keys))
+        size = np.array([len(x) // 4 for x in coded])
+        start = np.cumsum(size) - size
+        size, start = size[which], start[which]  # of every piece in the text's order
+        ends = np.cumsum(size)
+        ids = np.frombuffer(b"".join(coded), dtype="<u4")[np.arange(ends[-1]) + np.repeat(start - ends + size, size)].tobytes()
+        bounds = (4 * np.append(0, ends)[found.first]).tolist()
+        return [ids[a:b] for a, b in zip(bounds, bounds[1:], strict=False)]
 
 
 ENCODERS: dict[int, Encoder] = {}
@@ -217,7 +250,7 @@ def write_token_files(docs: DataFrame, vocabulary: str, end: int | None = 2, key
                     out = where.open_output_stream(f"{base}/{name}")
                     writer = Writer(out, frame_bytes)
                 rows = batch.slice(low, high - low)
-                for doc, ids in zip(rows["k"].to_pylist(), encoder.encode(rows["t"].to_pylist()), strict=True):
+                for doc, ids in zip(rows["k"].to_pylist(), encoder.encode(rows["t"]), strict=True):
                     writer.add(doc, ids + last)
         if writer is not None:
             writer.close()

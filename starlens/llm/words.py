@@ -60,10 +60,10 @@ def mix(x: np.ndarray) -> np.ndarray:
 
 
 def text_bytes(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-    """The UTF-8 bytes of a string array without copying, and the rows' offsets in them."""
+    """The bytes of a string or binary array without copying, and the rows' offsets in them."""
     if texts.null_count:
-        texts = texts.fill_null("")
-    wide = pa.types.is_large_string(texts.type)
+        texts = texts.fill_null("" if pa.types.is_string(texts.type) or pa.types.is_large_string(texts.type) else b"")
+    wide = pa.types.is_large_string(texts.type) or pa.types.is_large_binary(texts.type)
     _, places, data = texts.buffers()
     offsets = np.frombuffer(places, dtype=np.int64 if wide else np.int32)[texts.offset : texts.offset + len(texts) + 1].astype(np.int64) if len(texts) else np.zeros(1, np.int64)
     whole = np.frombuffer(data, dtype=np.uint8) if data is not None and data.size else np.zeros(0, np.uint8)
@@ -98,14 +98,16 @@ def spans(inside: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarr
 
 
 def run_hashes(low: np.ndarray, begin: np.ndarray, end: np.ndarray, head: int) -> tuple[np.ndarray, np.ndarray]:
-    """Hashes of the byte runs, and of their first ``head`` bytes."""
+    """Hashes of the byte runs, and of their first ``head`` bytes (none if ``head`` is 0)."""
     sums = np.zeros(len(low) + 1, dtype=np.uint64)
     np.cumsum((low.astype(np.uint64) + np.uint64(1)) * POWER[: len(low)], out=sums[1:])
     undo = INVERSE[begin]
-    return mix((sums[end] - sums[begin]) * undo), mix((sums[np.minimum(end, begin + head)] - sums[begin]) * undo)
+    left = sums[begin]
+    heads = mix((sums[np.minimum(end, begin + head)] - left) * undo) if head else np.zeros(0, np.uint64)
+    return mix((sums[end] - left) * undo), heads
 
 
-def words_of(texts: pa.Array, head: int = 5, separate=folded) -> Words:
+def words_of(texts: pa.Array, head: int = 0, separate=folded) -> Words:
     """All words of an array of texts; use ``slices`` for arrays of any size."""
     data, offsets = text_bytes(texts)
     parts: list[tuple[np.ndarray, ...]] = []
