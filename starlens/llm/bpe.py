@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 from tokenizers.pre_tokenizers import ByteLevel
 
 from starlens.llm.common import Memory, per_slice
-from starlens.llm.words import slices
+from starlens.llm.words import slices, worker_memory
 
 #: Fixed value of the byte-level vocabularies: the pattern that cuts a text into words.
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
@@ -228,15 +228,12 @@ class ByteBpe:
         return b"".join([self.bytes[i] if i < size else b"" for i in np.frombuffer(ids, dtype="<u4").tolist()]).decode("utf-8", "replace")
 
 
-LOADED: dict[int, ByteBpe] = {}
-
-
 def loaded(file: bytes) -> ByteBpe:
     """The vocabulary of a worker, parsed once."""
-    key = hash(file)
-    if key not in LOADED:
-        LOADED[key] = ByteBpe(file)
-    return LOADED[key]
+    memory, key = worker_memory(), ("byte bpe", hash(file))
+    if key not in memory:
+        memory[key] = ByteBpe(file)
+    return memory[key]
 
 
 def bpe_encode(docs: DataFrame, vocabulary: str, text: str = "text", ids: str = "token_ids") -> DataFrame:

@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 
 from starlens.llm.bpe import byte_letters
 from starlens.llm.common import Memory
-from starlens.llm.words import slices, words_of
+from starlens.llm.words import slices, words_of, worker_memory
 from starlens.session import stage, staging_path
 
 #: Fixed values of the seekable layout.
@@ -208,15 +208,12 @@ class Encoder:
         return [ids[a:b] for a, b in zip(bounds, bounds[1:], strict=False)]
 
 
-ENCODERS: dict[int, Encoder] = {}
-
-
 def encoder_of(file: bytes) -> Encoder:
     """A worker's encoder for a vocabulary, kept with what it knows from task to task."""
-    key = hash(file)
-    if key not in ENCODERS:
-        ENCODERS[key] = Encoder(file)
-    return ENCODERS[key]
+    memory, key = worker_memory(), ("encoder", hash(file))
+    if key not in memory:
+        memory[key] = Encoder(file)
+    return memory[key]
 
 
 def write_token_files(docs: DataFrame, vocabulary: str, end: int | None = 2, key: str = "doc_id", text: str = "text", folder: str | None = None, frame_bytes: int = FRAME_BYTES) -> DataFrame:

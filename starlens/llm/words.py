@@ -8,8 +8,10 @@ count as empty.
 
 from __future__ import annotations
 
+import sys
 from collections.abc import Iterator
 from dataclasses import dataclass
+from types import ModuleType
 
 import numpy as np
 import pyarrow as pa
@@ -17,16 +19,27 @@ import pyarrow as pa
 #: Bytes of text handled at once; longer texts are cut between words.
 CHUNK = 1 << 20
 BASE = 0x9E3779B97F4A7C15 | 1
+INVERSE = pow(BASE, -1, 1 << 64)
 
 
-def _powers(base: int) -> np.ndarray:
-    out = np.full(CHUNK + 1, base, dtype=np.uint64)
-    out[0] = 1
-    return np.multiply.accumulate(out)
+def worker_memory() -> dict:
+    """What a worker process keeps from task to task.
+
+    Functions of this package travel to the workers by value, so a global of the package would be new for every task.
+    """
+    return sys.modules.setdefault("starlens_worker_memory", ModuleType("starlens_worker_memory")).__dict__
+
+
+def powers(base: int) -> np.ndarray:
+    """The powers of ``base`` modulo 2^64, up to the length of a chunk."""
+    memory = worker_memory()
+    if (base, CHUNK) not in memory:
+        out = np.full(CHUNK + 1, base, dtype=np.uint64)
+        out[0] = 1
+        memory[base, CHUNK] = np.multiply.accumulate(out)
+    return memory[base, CHUNK]
 
 
-POWER = _powers(BASE)
-INVERSE = _powers(pow(BASE, -1, 1 << 64))
 LOWER = np.arange(256, dtype=np.uint8)
 LOWER[65:91] += 32
 WORD = np.zeros(256, dtype=bool)
@@ -100,8 +113,8 @@ def spans(inside: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarr
 def run_hashes(low: np.ndarray, begin: np.ndarray, end: np.ndarray, head: int) -> tuple[np.ndarray, np.ndarray]:
     """Hashes of the byte runs, and of their first ``head`` bytes (none if ``head`` is 0)."""
     sums = np.zeros(len(low) + 1, dtype=np.uint64)
-    np.cumsum((low.astype(np.uint64) + np.uint64(1)) * POWER[: len(low)], out=sums[1:])
-    undo = INVERSE[begin]
+    np.cumsum((low.astype(np.uint64) + np.uint64(1)) * powers(BASE)[: len(low)], out=sums[1:])
+    undo = powers(INVERSE)[begin]
     left = sums[begin]
     heads = mix((sums[np.minimum(end, begin + head)] - left) * undo) if head else np.zeros(0, np.uint64)
     return mix((sums[end] - left) * undo), heads
