@@ -18,7 +18,7 @@ from starlens.llm.quality import THRESHOLD, fit_quality, quality_scores
 from starlens.llm.token_files import read_token_files, write_token_files
 from starlens.llm.topk import exact_top_k
 from starlens.llm.toxicity import fit_toxicity, toxic_passages
-from starlens.llm.warc import BLOCKS, DATE, ENTITIES, HIDDEN, derivatives, responses
+from starlens.llm.warc import BLOCKS, DATE, ENTITIES, NO_TEXT, derivatives, responses
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -88,9 +88,7 @@ def op8_warc(spark: SparkSession, folder: str) -> DataFrame:
 def warc_sql() -> str:
     """The same records in DuckDB SQL."""
     e = lambda x: "'" + x.replace("'", "''") + "'"
-    text = "regexp_replace(html, '<!--.*?-->', ' ', 'gs')"
-    for name in HIDDEN:
-        text = f"regexp_replace({text}, '<{name}(?:\\s[^>]*)?>.*?</{name}\\s*>', ' ', 'gis')".replace("\\\\", "\\")
+    text = f"regexp_replace(html, '{NO_TEXT}', ' ', 'gis')"
     text = f"regexp_replace({text}, '</?(?:{BLOCKS})(?:\\s[^>]*)?/?>', chr(10), 'gi')"
     text = f"regexp_replace({text}, '<[A-Za-z/!?][^>]*>', '', 'g')"
 

@@ -22,6 +22,7 @@ from starlens.session import stage, staging_path
 
 #: Elements whose content is no text, those that end a line, and the entities that are decoded.
 HIDDEN = ["script", "style", "noscript", "template", "svg", "head"]
+NO_TEXT = "|".join(["<!--.*?-->", *(rf"<{x}(?:\s[^>]*)?>.*?</{x}\s*>" for x in HIDDEN)])
 BLOCKS = "address|article|aside|blockquote|br|dd|div|dl|dt|fieldset|figcaption|figure|footer|form|h[1-6]|header|hr|li|main|nav|ol|p|pre|section|table|tbody|td|tfoot|th|thead|tr|ul"
 ENTITIES = [("&nbsp;", "\u00a0"), ("&copy;", "©"), ("&middot;", "·"), ("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&apos;", "'"), ("&amp;", "&")]
 DATE = "1970-01-01T00:00:00Z"
@@ -30,9 +31,7 @@ EOL = "\r\n"
 
 def plain_text(html: str | Column) -> Column:
     """The text of a page: without hidden elements, comments and tags; blocks start lines; white space is reduced."""
-    x = F.regexp_replace(html, r"(?s)<!--.*?-->", " ")
-    for name in HIDDEN:
-        x = F.regexp_replace(x, rf"(?is)<{name}(?:\s[^>]*)?>.*?</{name}\s*>", " ")
+    x = F.regexp_replace(html, f"(?is){NO_TEXT}", " ")
     x = F.regexp_replace(x, rf"(?i)</?(?:{BLOCKS})(?:\s[^>]*)?/?>", "\n")
     x = F.regexp_replace(x, r"<[A-Za-z/!?][^>]*>", "")
     return tidy(decoded(x))
