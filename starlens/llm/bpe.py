@@ -27,6 +27,8 @@ from starlens.llm.words import slices, worker_memory
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 #: Words in each of the two generations whose ids a worker remembers.
 REMEMBERED = 300_000
+#: Bytes of text that are encoded together; the same words are looked up once.
+TOGETHER = 1 << 22
 NEVER = np.iinfo(np.int64).max
 
 
@@ -253,7 +255,7 @@ def bpe_encode(docs: DataFrame, vocabulary: str, text: str = "text", ids: str =
         new = [pa.array(coded, pa.binary()), pa.array([len(x) // 4 for x in coded], pa.int64())]
         return pa.RecordBatch.from_arrays([*(batch[c] for c in names), *new], names=[*names, ids, "n_tokens"])
 
-    return kept.mapInArrow(per_slice(slices, run, text), f"{kept.schema.toDDL()}, {ids} binary, n_tokens long")
+    return kept.mapInArrow(per_slice(lambda texts: slices(texts, TOGETHER), run, text), f"{kept.schema.toDDL()}, {ids} binary, n_tokens long")
 
 
 def bpe_decode(coded: DataFrame, vocabulary: str, ids: str = "token_ids", text: str = "decoded") -> DataFrame:

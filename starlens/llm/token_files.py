@@ -13,7 +13,9 @@ import json
 import os
 import re
 import struct
+import sys
 import uuid
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -34,7 +36,9 @@ from starlens.session import stage, staging_path
 SKIPPABLE_INDEX, SKIPPABLE_TABLE, SEEKABLE, CHECKSUMS = 0x184D2A50, 0x184D2A5E, 0x8F92EAB1, 0x80
 #: Bytes of ids after which a frame is closed; a longer document has a frame of its own.
 FRAME_BYTES = 1 << 18
-LEVEL = 3
+LEVEL = 1
+#: Bytes of text that are encoded together; the same pieces are looked up once.
+TOGETHER = 1 << 22
 #: The listing of one document: id, whether it has one, first token in the file, tokens, frame.
 ENTRY = np.dtype([("doc", "<i8"), ("known", "u1"), ("first", "<u8"), ("tokens", "<u8"), ("frame", "<u4")])
 BREAK = np.zeros(256, bool)
@@ -131,6 +135,14 @@ def pieces(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return data, ~BREAK[data]
 
 
+def packed(ids: list[int]) -> bytes:
+    """Little-endian unsigned 32-bit integers."""
+    out = array("I", ids)
+    if sys.byteorder == "big":
+        out.byteswap()
+    return out.tobytes()
+
+
 class Encoder:
     """The tokenizers library, asked once for each piece of text between ASCII white space.
 
@@ -157,26 +169,32 @@ class Encoder:
         self.memory = Memory(REMEMBERED)
 
     def whole(self, text: str) -> bytes:
-        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, dtype="<u4").tobytes()
+        return packed(self.tokenizer.encode(text, add_special_tokens=False).ids)
 
     def ask(self, texts: list[str]) -> list[bytes]:
-        return [np.array(x.ids, dtype="<u4").tobytes() for x in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+        return [packed(x.ids) for x in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
     def ask_model(self, words: list[str]) -> list[bytes]:
         spelt = "\n".join(words).encode().decode("latin-1").translate(self.letters | {10: "\n"}).split("\n") if words else []
-        return [np.array(x.ids, dtype="<u4").tobytes() for x in self.model.encode_batch_fast(spelt, add_special_tokens=False)]
+        return [packed(x.ids) for x in self.model.encode_batch_fast(spelt, add_special_tokens=False)]
 
     def learn(self, fresh: list[bytes]) -> None:
         """Add the ids of new pieces, in UTF-8, to the known ones."""
         parts: dict[bytes, tuple[bytes, bytes]] = {}
         rest: list[bytes] = []
-        match = self.plain.fullmatch
-        for x in fresh:
-            m = match(x.decode().lower()) if self.small else None
-            if m:
-                parts[x] = m[1].encode(), m[2].encode()
-            else:
-                rest.append(x)
+        if self.small:
+            match = self.plain.fullmatch
+            lower = b"\n".join(fresh).decode().lower()  # no piece has a line break
+            for x, text, coded in zip(fresh, lower.split("\n"), lower.encode().split(b"\n"), strict=True):
+                m = match(text)
+                if not m:
+                    rest.append(x)
+                elif m.end(1) < len(text):
+                    parts[x] = coded[:-1], coded[-1:]
+                else:
+                    parts[x] = coded, b""
+        else:
+            rest = fresh
         bare = self.memory.missing({y for x in parts.values() for y in x if y})
         known = self.memory.known
         known.update(zip(bare, self.ask_model([x.decode() for x in bare]), strict=True))
@@ -240,7 +258,7 @@ def write_token_files(docs: DataFrame, vocabulary: str, end: int | None = 2, key
         where, base = file_system(folder)
         out = None
         for batch in batches:
-            for low, high in slices(batch["t"]):
+            for low, high in slices(batch["t"], TOGETHER):
                 if writer is None:
                     encoder = encoder_of(sent.value)
                     where.create_dir(base, recursive=True)
