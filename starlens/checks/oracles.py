@@ -7,7 +7,7 @@ and not from the Spark plans.
 from __future__ import annotations
 
 from starlens.constants import (
-    BASELINE_ROWS, CHUNK_CHARS, CLS_ID, FIRST_WORD_ID, MAX_SEQUENCE, MIN_CATEGORY_REVIEWS, NEUTRAL_BOOST,
+    BASELINE_ROWS, CHUNK_CHARS, CLS_ID, FIRST_WORD_ID, IRREGULAR_NOUNS, MAX_SEQUENCE, MIN_CATEGORY_REVIEWS, NEUTRAL_BOOST,
     NEUTRAL_REBOOST, PAD_ID, PARTIAL_CHARS, REVIEWS_PER_RATING, SAMPLE_ROWS, SENTIMENTS, SEP_ID, SPACE_CLASS,
     SPLIT_WORDS, STOP_WORDS, TOP_CATEGORIES, UNK_ID, VOCABULARY_SIZE, WHITESPACE,
 )
@@ -40,7 +40,8 @@ def content(x):
 
 
 def lemma(w):
-    return f"""CASE WHEN {w} IN ('men', 'women') OR regexp_matches({w}, '(s|k|d|re|ce)men$') THEN regexp_replace({w}, 'men$', 'man')
+    known = " ".join(f"WHEN {w} = '{form}' THEN '{base}'" for form, base in IRREGULAR_NOUNS.items())
+    return f"""CASE {known} WHEN {w} IN ('men', 'women') OR regexp_matches({w}, '(s|k|d|re|ce)men$') THEN regexp_replace({w}, 'men$', 'man')
       WHEN length({w}) <= 3 OR NOT regexp_matches({w}, 's$') OR regexp_matches({w}, '(ss|us|is)$') THEN {w}
       WHEN length({w}) > 4 AND regexp_matches({w}, 'ies$') THEN regexp_replace({w}, 'ies$', 'y')
       WHEN regexp_matches({w}, '(ch|sh|x|z|ss)es$') THEN regexp_replace({w}, 'es$', '')
@@ -129,13 +130,13 @@ TRAIN_IDS = f"{LABELLED}, {split_of('labelled')}, {COPIES}"
 READY = f"""{LABELLED}, ready AS (
   SELECT review_id, sentiment, tokens FROM (SELECT *, {processed('text')} AS tokens FROM labelled) WHERE len(tokens) > 0)"""
 
-CORPUS = f"""{READY}, {split_of('ready', ', tokens')}, {COPIES}, tf AS (
+CORPUS = f"""{READY}, {split_of('ready', ', tokens')}, {COPIES}, tf AS MATERIALIZED (
   SELECT review_id, term, count(*) AS tf FROM (
     SELECT review_id, unnest(tokens) AS term FROM split
     UNION ALL
     SELECT review_id, unnest(list_transform(range(1, len(tokens)), lambda i: tokens[i] || ' ' || tokens[i + 1])) FROM split)
   GROUP BY review_id, term), stats AS (
-  SELECT term, count(*) AS df, CAST(sum(tf) AS BIGINT) AS cf FROM tf JOIN train USING (review_id) GROUP BY term), vocab AS (
+  SELECT term, count(*) AS df, CAST(sum(tf) AS BIGINT) AS cf FROM tf JOIN train USING (review_id) GROUP BY term), vocab AS MATERIALIZED (
   SELECT term, row_number() OVER (ORDER BY term) - 1 AS idx, df, cf,
     ln((1 + n) / CAST(1 + df AS DOUBLE)) + 1 AS idf
   FROM (SELECT s.*, n FROM stats s, (SELECT CAST(count(*) AS DOUBLE) AS n FROM train) WHERE df >= 2 AND df <= CAST(0.8 AS DOUBLE) * n
@@ -297,11 +298,9 @@ def packed(source):
 
 def two_level():
     first = packed(f"{EXPLODED}, {chosen()}, {sampled()}, {corpus_of('sampled')}")
-    again = corpus_of("(SELECT category, rating, chunk_no AS review_id, partial AS text FROM partials)").replace("corpus AS", "corpus2 AS")
-    return f"""{first}, partials AS (SELECT category, rating, chunk_no, substr(chunk, 1, {PARTIAL_CHARS}) AS partial FROM packed), {again},
-{DISTINCT.replace('FROM corpus', 'FROM corpus2')}, {SENTENCE_SCORES}, {SUMMARY.replace('summaries AS', 'unified AS')}, summaries AS (
-  SELECT category, rating, CASE WHEN n = 1 THEN single ELSE coalesce(summary, '') END AS summary
-  FROM (SELECT category, rating, count(*) AS n, min(partial) AS single FROM partials GROUP BY category, rating) LEFT JOIN unified USING (category, rating)),
+    return f"""{first}, partials AS (SELECT category, rating, chunk_no, substr(chunk, 1, {PARTIAL_CHARS}) AS partial FROM packed), summaries AS (
+  SELECT category, rating, CASE WHEN count(*) = 1 THEN min(partial) ELSE substr(string_agg(partial, ' ' ORDER BY chunk_no), 1, {PARTIAL_CHARS}) END AS summary
+  FROM partials GROUP BY category, rating),
 {flat_of()}"""
 
 
@@ -316,7 +315,7 @@ def oracle_sql() -> dict[str, str]:
     latin = "regexp_replace(text, '[^\\x{00}-\\x{ff}]', '?', 'g')"
     union = f"""{RAW}, both_sources AS (
       SELECT CAST(review_id AS VARCHAR) AS source_key, 'hub' AS data_source, text, rating, categories FROM raw
-      UNION ALL SELECT conv_id || '-' || turn, 'local', text, CAST(turn % 5 + 1 AS VARCHAR), NULL FROM conversations WHERE role = 'user')"""
+      UNION ALL SELECT conv_id || '-' || turn, 'local', text, CAST(turn % 5 + 1 AS VARCHAR), NULL FROM conversations)"""
     stages = [("has_text", "text IS NOT NULL"), ("long_enough", "length(text) >= 10"), ("known_sentiment", "sentiment <> 'Unknown'"),
               ("cleaned", f"length({clean('text')}) > 0"), ("processed", f"len({processed('text')}) > 0")]
     funnel, before = [], "true"
@@ -366,7 +365,7 @@ def oracle_sql() -> dict[str, str]:
         "scored_part": "SELECT doc_id AS review_id, substr(text, 1, 1000) AS shown FROM documents",
         "usable_reviews": with_(RATED, "SELECT review_id, sentiment FROM rated WHERE text IS NOT NULL AND length(text) >= 10 AND sentiment <> 'Unknown'"),
         "processed_reviews": with_(RATED, f"SELECT review_id, CAST(len({processed('text')}) AS INTEGER) AS n_tokens FROM rated WHERE length(text) >= 10 AND sentiment <> 'Unknown' AND length({clean('text')}) > 0 AND len({processed('text')}) > 0"),
-        "category_is": with_(EXPLODED, f"SELECT review_id, category, rating FROM exploded WHERE lower(category) = 'src-1' OR {slug('category')} = 'src-1'"),
+        "category_is": with_(EXPLODED, f"SELECT * FROM (SELECT review_id, replace(category, 'src', 'Src & ') AS category, rating FROM exploded) WHERE lower(category) = 'src-1' OR {slug('category')} = 'src-1'"),
         "category_contains": with_(EXPLODED, f"SELECT category, {slug('category')} AS category_slug, count(*) AS total_reviews FROM exploded WHERE contains(lower(category), 'src1') GROUP BY category HAVING count(*) >= 20 ORDER BY count(*) DESC, category LIMIT 5"),
         "category_members": with_(EXPLODED, "SELECT review_id, category FROM exploded WHERE category IN (SELECT category FROM exploded GROUP BY category ORDER BY count(*) DESC, category LIMIT 3)"),
         "catalogue_search": with_(EXPLODED, f"SELECT category, {slug('category')} AS category_slug, count(*) AS total_reviews FROM exploded WHERE regexp_matches(category, '(?i)SRC1[0-4]|^e') GROUP BY category"),

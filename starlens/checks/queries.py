@@ -25,16 +25,18 @@ from starlens.operators import scoring as sco
 from starlens.operators import summaries as summ
 from starlens.plans import summarise as plan
 from starlens.plans import training as trn
-from starlens.session import driver_tables, spread, stage, staging_path
+from starlens.session import driver_tables, stage, staging_path
 from starlens.sources import csv_files, summary_files
 from starlens.sources import reviews as src
 from starlens.streaming import score_files
 
 GROUP = summ.GROUP
-# Trees and rounds of the fitted query models, as a share of the full defaults.
-TRIAL_SCALE = 0.05
-# Terms the grid queries train on; every grid point is fitted once per fold and class.
-GRID_VOCABULARY = 500
+# Labelled rows, about, that the query models and the grid searches are fitted on; trees, rounds, depths, terms and grid points are the full ones.
+FIT_ROWS = 150
+GRID_ROWS = 60
+# Queries that fit hundreds of trees or dozens of models; they come last.
+LONG = ("linear_svm", "random_forest", "gradient_boosting", "boosted_trees", "feature_importances", "forest_diagnostics", "boosted_refit",
+        "model_matrix", "grid_forest", "grid_boosted")
 
 
 # --- inputs -----------------------------------------------------------------------------
@@ -53,7 +55,7 @@ def normal(spark, d):
 
 
 def spread_normal(spark, d):
-    return src.normalize_schema(spread(raw(spark, d), "review_id"), keep=["review_id"])
+    return src.normalize_schema(raw(spark, d), keep=["review_id"])
 
 
 def exploded(spark, d):
@@ -61,7 +63,7 @@ def exploded(spark, d):
 
 
 def texts(spark, d):
-    return spread(raw(spark, d).select("review_id", "text"), "review_id")
+    return raw(spark, d).select("review_id", "text")
 
 
 def labelled(spark, d):
@@ -69,11 +71,11 @@ def labelled(spark, d):
 
 
 def corpus(spark, d, **options):
-    return trn.prepare(src.labelled_reviews(spark, d, costly=True), **options)
+    return trn.prepare(src.labelled_reviews(spark, d), **options)
 
 
 def terms(spark, d):
-    return trn.review_terms(src.labelled_reviews(spark, d, costly=True))
+    return trn.review_terms(src.labelled_reviews(spark, d))
 
 
 def scored(spark, d, kind="Count", boost=None):
@@ -150,7 +152,7 @@ def adapter_binary(spark, d):
 def union_rows(spark, d):
     (conversations,) = driver_tables(spark, d, "conversations")
     local = src.adapt_local_dataset(
-        conversations.where(F.col("role") == "user").select(
+        conversations.select(
             F.concat_ws("-", "conv_id", "turn").alias("source_key"), F.col("text").alias("body"),
             (F.col("turn") % 5 + 1).cast("string").alias("stars"))
     )
@@ -301,16 +303,18 @@ def family_predictions(name):
     def run(spark, d):
         c = corpus(spark, d)
         train, test = trn.ml_tables(c, "TF-IDF")
-        estimator = mod.model_families(train.count(), TRIAL_SCALE)[name]
+        if name != "Naive Bayes":
+            train = trn.bounded_rows(train, FIT_ROWS)
+        estimator = mod.model_families(train.count())[name]
         return mod.as_predictions(trn.fit_family(name, estimator, train).transform(test))
     return run
 
 
-def forest(spark, d, boost=None):
+def forest(spark, d, boost=None, learner=None):
     c = corpus(spark, d)
     train, test = trn.ml_tables(c, "TF-IDF")
-    weighted = trn.training_weights(train, "boosted" if boost else "balanced", boost or 1.0)
-    return c, mod.random_forest(20, 10).fit(weighted), test
+    weighted = trn.training_weights(trn.bounded_rows(train, FIT_ROWS), "boosted" if boost else "balanced", boost or 1.0)
+    return c, (learner or mod.random_forest()).fit(weighted), test
 
 
 def feature_importances(spark, d):
@@ -319,8 +323,12 @@ def feature_importances(spark, d):
 
 
 def boosted_refit(spark, d):
-    _, model, test = forest(spark, d, NEUTRAL_BOOST * NEUTRAL_REBOOST)
-    return met.confusion_matrix(mod.as_predictions(model.transform(test)))
+    """Both learners fitted anew with the Neutral class boosted twice."""
+    parts = []
+    for name, learner in (("Random Forest", mod.random_forest()), ("XGBoost", mod.boosted_trees(200, 6, 0.1))):
+        _, model, test = forest(spark, d, NEUTRAL_BOOST * NEUTRAL_REBOOST, learner)
+        parts.append(met.confusion_matrix(mod.as_predictions(model.transform(test))).withColumn("model", F.lit(name)))
+    return parts[0].unionByName(parts[1])
 
 
 def forest_diagnostics(spark, d):
@@ -331,17 +339,16 @@ def forest_diagnostics(spark, d):
 
 def grid_search(kind):
     def run(spark, d):
-        c = corpus(spark, d, size=GRID_VOCABULARY)
-        train, test = trn.ml_tables(c, "TF-IDF")
-        folded = stage(smp.cross_folds(trn.training_weights(train, "boosted")), "folds", None)
+        train, _ = trn.ml_tables(corpus(spark, d), "TF-IDF")
+        folded = stage(smp.cross_folds(trn.training_weights(trn.bounded_rows(train, GRID_ROWS), "boosted")).coalesce(1), "folds", None)
         if kind == "forest":
             estimator = mod.random_forest()
-            grid = mod.forest_grid(estimator, trees=(5,), depths=(5, 10), leaves=(1, 2))
+            grid = mod.forest_grid(estimator)
         else:
             estimator = mod.boosted_trees()
-            grid = mod.boosted_grid(estimator, rounds=(1, 2), depths=(2,), rates=(0.2,))
-        best = mod.grid_search(estimator, grid, folded).bestModel
-        return met.confusion_matrix(mod.as_predictions(best.transform(test)))
+            grid = mod.boosted_grid(estimator)
+        point = mod.best_point(mod.grid_search(estimator, grid, folded))
+        return spark.createDataFrame(sorted(point.items()), "name string, value double")
     return run
 
 
@@ -357,7 +364,7 @@ def saved_model_scores(spark, d):
 
     path = staging_path(spark, "model")
     fitted_review_model(spark, d).write().overwrite().save(path)
-    return sco.score_batch(raw(spark, d), "text", PipelineModel.load(path))
+    return sco.score_batch(raw(spark, d), "text", PipelineModel.load(path), ["review_id"])
 
 
 def stream_scores(spark, d):
@@ -365,7 +372,7 @@ def stream_scores(spark, d):
     given = raw(spark, d).select("review_id", "text")
     given.repartition(4, "review_id").write.parquet(folder)
     stream = score_files.arriving_reviews(spark, folder, given.schema, 2)
-    score_files.score_arriving(stream, "text", fitted_review_model(spark, d), target, staging_path(spark, "log")).awaitTermination()
+    score_files.score_arriving(stream, "text", fitted_review_model(spark, d), target, staging_path(spark, "log"), keys=["review_id"]).awaitTermination()
     return spark.read.parquet(target)
 
 
@@ -387,6 +394,7 @@ def chunk_sizes(spark, d):
 
 
 def two_level(spark, d):
+    """With a model that shows the first characters of what it is given."""
     return plan.flat_summaries(spread_normal(spark, d), model_factory=chk.prefix_model)
 
 
@@ -436,7 +444,8 @@ QUERIES = {
     "usable_reviews": lambda s, d: flt.usable(rated(s, d)).select("review_id", "sentiment"),
     "processed_reviews": lambda s, d: flt.with_processed_tokens(flt.with_cleaned_text(flt.usable(rated(s, d))))
         .select("review_id", F.size("tokens").alias("n_tokens")),
-    "category_is": lambda s, d: flt.category_is(exploded(s, d), " SRC-1 ").select("review_id", "category", "rating"),
+    "category_is": lambda s, d: flt.category_is(
+        exploded(s, d).withColumn("category", F.regexp_replace("category", "src", "Src & ")), " SRC-1 ").select("review_id", "category", "rating"),
     "category_contains": lambda s, d: cat.categories_containing(exploded(s, d), "Src1", 5, 20),
     "category_members": lambda s, d: flt.category_in(exploded(s, d), cat.top_categories(exploded(s, d), 3))
         .select("review_id", "category"),
@@ -445,8 +454,8 @@ QUERIES = {
     "sentiment_distribution": lambda s, d: rep.distribution(rated(s, d)),
     "rating_sentiment_map": lambda s, d: rep.rating_sentiment_map(rated(s, d)),
     "dataset_overview": lambda s, d: rep.overview(raw(s, d)),
-    "cleaning_funnel": lambda s, d: rep.cleaning_funnel(spread(rated(s, d), "review_id")),
-    "text_stats": lambda s, d: rep.text_stats(flt.with_processed_tokens(flt.usable(spread(rated(s, d), "review_id")))),
+    "cleaning_funnel": lambda s, d: rep.cleaning_funnel(rated(s, d)),
+    "text_stats": lambda s, d: rep.text_stats(flt.with_processed_tokens(flt.usable(rated(s, d)))),
     "category_explode": lambda s, d: exploded(s, d).select("review_id", "category", "rating"),
     "category_counts": lambda s, d: cat.category_counts(exploded(s, d)),
     "category_rating_counts": lambda s, d: cat.category_rating_counts(exploded(s, d)),
@@ -491,7 +500,7 @@ QUERIES = {
     "boosted_trees": family_predictions("XGBoost"),
     "gradient_boosting": family_predictions("Gradient Boosting"),
     "extra_trees": family_predictions("Extra Trees"),
-    "model_matrix": lambda s, d: trn.compare_models(corpus(s, d), TRIAL_SCALE, ("Naive Bayes", "Logistic Regression", "Extra Trees")),
+    "model_matrix": lambda s, d: trn.compare_models(corpus(s, d), fit_rows=FIT_ROWS),
     "grid_boosted": grid_search("boosted"),
     "grid_forest": grid_search("forest"),
     "boosted_refit": boosted_refit,
@@ -537,7 +546,8 @@ def with_session(query):
 
 
 def queries() -> dict:
-    return {name: with_session(query) for name, query in QUERIES.items()}
+    names = [*(name for name in QUERIES if name not in LONG), *LONG]
+    return {name: with_session(QUERIES[name]) for name in names}
 
 
 def entry(spark: SparkSession, sf_dir: str = "/root/testdata/sf0.001") -> DataFrame:

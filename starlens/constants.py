@@ -63,6 +63,14 @@ SPLIT_WORDS = (
     ("can", "not"), ("gim", "me"), ("gon", "na"), ("got", "ta"), ("lem", "me"), ("wan", "na"),
 )
 
+# Nouns (and words that look like plurals) that the suffix rules would get wrong.
+IRREGULAR_NOUNS = {
+    "always": "always", "perhaps": "perhaps", "besides": "besides", "series": "series", "species": "species", "news": "news",
+    "lens": "lens", "movies": "movie", "cookies": "cookie", "zombies": "zombie", "calories": "calorie", "ties": "tie", "pies": "pie",
+    "lies": "lie", "heroes": "hero", "tomatoes": "tomato", "potatoes": "potato", "echoes": "echo", "shoes": "shoe", "knives": "knife",
+    "wives": "wife", "lives": "life", "children": "child", "feet": "foot", "teeth": "tooth", "mice": "mouse", "geese": "goose",
+}
+
 # The English stop words that Spark ships (StopWordsRemover).
 STOP_WORDS = tuple(
     """

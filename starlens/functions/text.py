@@ -11,7 +11,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from starlens.constants import (
-    MAX_SCORED_CHARS, MIN_TOKEN_CHARS, SPACE_CLASS, SPLIT_WORDS, STOP_WORDS, WHITESPACE,
+    IRREGULAR_NOUNS, MAX_SCORED_CHARS, MIN_TOKEN_CHARS, SPACE_CLASS, SPLIT_WORDS, STOP_WORDS, WHITESPACE,
 )
 
 SPACES = f"[{SPACE_CLASS}]+"
@@ -49,8 +49,8 @@ def content_words(words: Column, stop_words=STOP_WORDS) -> Column:
     return F.filter(words, lambda w: (F.length(w) >= MIN_TOKEN_CHARS) & ~w.isin(*stop_words))
 
 
-def noun_lemma(word: Column) -> Column:
-    """Singular of a plural noun by suffix; verbs and adjectives stay as they are."""
+def noun_lemma(word: Column, lexicon: dict[str, str] | None = None) -> Column:
+    """Singular of a plural noun by a lexicon of forms, else by suffix; verbs and adjectives stay as they are."""
     def ends(*suffixes):
         found = F.endswith(word, F.lit(suffixes[0]))
         for suffix in suffixes[1:]:
@@ -61,7 +61,8 @@ def noun_lemma(word: Column) -> Column:
         stem = F.substring(word, F.lit(1), F.length(word) - cut)
         return F.concat(stem, F.lit(ending)) if ending else stem
 
-    return (
+    known = F.create_map(*(F.lit(x) for pair in (IRREGULAR_NOUNS if lexicon is None else lexicon).items() for x in pair))
+    rules = (
         F.when(ends("men") & (word.isin("men", "women") | ends("smen", "kmen", "dmen", "remen", "cemen")), swap(2, "an"))
         .when((F.length(word) <= 3) | ~ends("s") | ends("ss", "us", "is"), word)
         .when(ends("ies") & (F.length(word) > 4), swap(3, "y"))
@@ -69,6 +70,7 @@ def noun_lemma(word: Column) -> Column:
         .when(ends("lves", "eaves", "oaves", "ieves"), swap(3, "f"))
         .otherwise(swap(1))
     )
+    return F.coalesce(F.element_at(known, word), rules)
 
 
 def processed_tokens(text: Column) -> Column:

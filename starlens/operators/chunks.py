@@ -19,9 +19,14 @@ from pyspark.sql import functions as F
 
 import starlens
 from starlens.constants import CHUNK_CHARS, PARTIAL_CHARS
-from starlens.operators.summaries import GROUP, SENTENCE, extractive_summary, sentence_corpus
+from starlens.operators.summaries import (
+    GROUP, SENTENCE, best_sentences, distinct_sentences, extractive_summary, join_in_order, sentence_corpus, sentence_scores,
+)
 from starlens.session import stage
 
+# Joined partials that a model is given at most; longer ones are unified by the extractive summary.
+UNIFIED_CHARS = 200_000
+
 # Executors get the functions by value and need no copy of the package.
 cloudpickle.register_pickle_by_value(starlens)
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
@@ -130,11 +135,11 @@ def chunks(corpus: DataFrame, keys: Sequence[str] = GROUP, limit: int = CHUNK_CH
 
 
 def prefix_model() -> Callable[[str], str]:
-    """The default chunk summariser: the first characters of the chunk."""
+    """What stands in for a model that fails: the first characters of the text."""
     return lambda chunk: chunk[:PARTIAL_CHARS]
 
 
-def partial_summaries(chunked: DataFrame, keys: Sequence[str] = GROUP, model_factory=prefix_model) -> DataFrame:
+def partial_summaries(chunked: DataFrame, model_factory, keys: Sequence[str] = GROUP) -> DataFrame:
     """One ``partial`` per chunk; the model is built once per task, a failure falls back to the prefix."""
     keys = list(keys)
 
@@ -155,16 +160,50 @@ def partial_summaries(chunked: DataFrame, keys: Sequence[str] = GROUP, model_fac
     return chunked.select(*keys, "chunk_no", "chunk").mapInPandas(run, schema)
 
 
+def unified_by_model(partials: DataFrame, model_factory, keys: Sequence[str], limit: int = UNIFIED_CHARS) -> DataFrame:
+    """``keys, unified``: the model on the joined partials of each group; null where it fails or they exceed ``limit``."""
+    keys = list(keys)
+    size = F.sum(F.length("partial") + 1)
+    short = partials.groupBy(*keys).agg(size.alias("chars"), F.count("*").alias("n")).where((F.col("chars") <= limit) & (F.col("n") > 1)).select(*keys)
+    ordered = F.array_sort(F.collect_list(F.struct("chunk_no", "partial")))
+    joined = partials.join(short, keys).groupBy(*keys).agg(F.array_join(F.transform(ordered, lambda e: e["partial"]), " ").alias("joined"))
+
+    def run(batches):
+        model = model_factory()
+
+        def unify(text):
+            try:
+                return str(model(text))
+            except Exception:
+                return None
+
+        for batch in batches:
+            yield batch[keys].assign(unified=[unify(x) for x in batch["joined"]])
+
+    types = {f.name: f.dataType.simpleString() for f in joined.schema}
+    return joined.mapInPandas(run, ", ".join(f"{k} {types[k]}" for k in keys) + ", unified string")
+
+
 def two_level_summary(
-    reviews: DataFrame, keys: Sequence[str] = GROUP, model_factory=prefix_model, limit: int = CHUNK_CHARS
+    reviews: DataFrame, keys: Sequence[str] = GROUP, model_factory=None, limit: int = CHUNK_CHARS, salts: int = 16
 ) -> DataFrame:
-    """Summarise each chunk, then unify: a single partial stays, several go through the extractive summary."""
+    """Summarise each chunk, then unify: a single partial stays, several are given to the model once more.
+
+    Without a model every chunk gets its extractive summary, of all its sentences, and several partials are unified in the same way; so they
+    are if the model fails on them. A model that fails on a chunk is replaced by the first characters of that chunk.
+    """
     keys = list(keys)
-    partials = stage(partial_summaries(chunks(sentence_corpus(reviews, keys), keys, limit), keys, model_factory), "partials")
+    corpus = sentence_corpus(reviews, keys)
+    if model_factory is None:
+        numbered = chunk_numbers(corpus, keys, limit)
+        by_chunk = [*keys, "chunk_no"]
+        best = best_sentences(sentence_scores(distinct_sentences(numbered, by_chunk), by_chunk, salts), by_chunk)
+        partials = stage(join_in_order(best, by_chunk).withColumnRenamed("summary", "partial"), "partials")
+    else:
+        partials = stage(partial_summaries(chunks(corpus, keys, limit), model_factory, keys), "partials")
     counts = partials.groupBy(*keys).agg(F.count("*").alias("n_partials"), F.min("partial").alias("single"))
-    unified = extractive_summary(
-        partials.withColumnsRenamed({"chunk_no": "review_id", "partial": "text"}), keys
-    )
-    return counts.join(unified, keys, "left").select(
-        *keys, F.when(F.col("n_partials") == 1, F.col("single")).otherwise(F.coalesce("summary", F.lit(""))).alias("summary")
-    )
+    extracted = extractive_summary(partials.withColumnsRenamed({"chunk_no": "review_id", "partial": "text"}), keys, salts=salts)
+    out = counts.join(extracted, keys, "left")
+    if model_factory is not None:
+        out = out.join(unified_by_model(partials, model_factory, keys), keys, "left").withColumn("summary", F.coalesce("unified", "summary"))
+    return out.select(*keys, F.when(F.col("n_partials") == 1, F.col("single")).otherwise(F.coalesce("summary", F.lit(""))).alias("summary"))

@@ -20,7 +20,7 @@ from starlens.constants import (
 from starlens.functions.text import clean_text, ngrams, term_counts, tokens
 from starlens.session import stage
 
-BROADCAST_ROWS = 1_000_000
+BROADCAST_ROWS = 100_000
 
 
 def bounded(df: DataFrame, rows: int) -> DataFrame:

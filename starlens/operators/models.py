@@ -17,7 +17,7 @@ from pyspark.ml.util import DefaultParamsReadable, DefaultParamsWritable
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from starlens.constants import MAX_DOCUMENT_SHARE, MIN_DOCUMENTS, SEED, VOCABULARY_SIZE
+from starlens.constants import MAX_DOCUMENT_SHARE, MIN_DOCUMENTS, SEED, SENTIMENTS, VOCABULARY_SIZE
 from starlens.functions.labels import label_name
 from starlens.functions.text import ngrams, processed_tokens
 from starlens.operators.metrics import summary_metrics
@@ -38,7 +38,7 @@ def logistic_regression(rows: int, iterations: int = 1000):
 
 def linear_svm(rows: int, iterations: int = 10000):
     svc = LinearSVC(maxIter=iterations, regParam=1.0 / max(rows, 1), standardization=False, **COLUMNS)
-    return OneVsRest(classifier=svc, **COLUMNS)
+    return OneVsRest(classifier=svc, parallelism=len(SENTIMENTS), **COLUMNS)
 
 
 def random_forest(trees: int = 400, depth: int = MAX_DEPTH):
@@ -47,7 +47,7 @@ def random_forest(trees: int = 400, depth: int = MAX_DEPTH):
 
 def boosted_trees(rounds: int = 200, depth: int = 8, rate: float = 0.2):
     gbt = GBTClassifier(maxIter=rounds, maxDepth=depth, stepSize=rate, seed=SEED, **COLUMNS)
-    return OneVsRest(classifier=gbt, **COLUMNS)
+    return OneVsRest(classifier=gbt, parallelism=len(SENTIMENTS), **COLUMNS)
 
 
 def gradient_boosting(rounds: int = 100, depth: int = 6, rate: float = 0.1):
@@ -68,20 +68,16 @@ WEIGHTING = {
 }
 
 
-def model_families(rows: int, scale: float = 1.0) -> dict:
-    """The seven families in training order; ``scale`` < 1 shrinks trees and rounds for trials."""
-    def few(n):
-        return max(1, round(n * scale))
-
-    depth = MAX_DEPTH if scale >= 1 else 10
+def model_families(rows: int) -> dict:
+    """The seven families in training order, for a training set of so many rows."""
     return {
         "Naive Bayes": naive_bayes(),
-        "Logistic Regression": logistic_regression(rows, few(1000)),
-        "SVM": linear_svm(rows, 10000 if scale >= 1 else 100),
-        "Random Forest": random_forest(few(400), depth),
-        "XGBoost": boosted_trees(few(200), 8 if scale >= 1 else 4),
-        "Gradient Boosting": gradient_boosting(few(100), 6 if scale >= 1 else 4),
-        "Extra Trees": extra_trees(few(100)),
+        "Logistic Regression": logistic_regression(rows),
+        "SVM": linear_svm(rows),
+        "Random Forest": random_forest(),
+        "XGBoost": boosted_trees(),
+        "Gradient Boosting": gradient_boosting(),
+        "Extra Trees": extra_trees(),
     }
 
 
@@ -128,6 +124,13 @@ def grid_search(estimator, grid: list, folded: DataFrame, folds: int = 3, parall
     return validator.fit(folded)
 
 
+def best_point(validator) -> dict[str, float]:
+    """Parameters and mean score of the best point of a fitted grid search."""
+    scores = validator.avgMetrics
+    best = max(range(len(scores)), key=scores.__getitem__)
+    return {p.name: float(v) for p, v in validator.getEstimatorParamMaps()[best].items()} | {"f1_macro": float(scores[best])}
+
+
 class ReviewTerms(Transformer, HasInputCol, HasOutputCol, DefaultParamsReadable, DefaultParamsWritable):
     """Raw text to its words and word pairs, as a stage that can be saved with a model."""
 

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import sys
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 
 from pyspark import cloudpickle
 from pyspark.ml.functions import vector_to_array
@@ -28,16 +28,17 @@ def with_sentiment_columns(predicted: DataFrame, keys: list[str]) -> DataFrame:
     )
 
 
-def score_batch(batch: DataFrame, text_column: str, model) -> DataFrame:
+def score_batch(batch: DataFrame, text_column: str, model, keys: Sequence[str] = ()) -> DataFrame:
     """Score a table with a fitted review model; works on batch and streaming tables.
 
     The model holds text processing, vectorizer and classifier, so that serving
-    treats text as training did.
+    treats text as training did. Every row gives one row, with the columns
+    ``keys`` first; a null text is scored as an empty one and stays null.
     """
-    shown = batch.select("*", F.col(f"`{text_column}`").cast("string").alias("text")) if text_column != "text" else batch
-    shown = shown.where(F.col("text").isNotNull())
-    return with_sentiment_columns(model.transform(shown), ["text"]).select(
-        F.col("text").alias("Original_Text"), F.col("sentiment").alias("Sentiment"),
+    given = F.col(f"`{text_column}`").cast("string")
+    shown = batch.select(*keys, given.alias("original"), F.coalesce(given, F.lit("")).alias("text"))
+    return with_sentiment_columns(model.transform(shown), [*keys, "original"]).select(
+        *keys, F.col("original").alias("Original_Text"), F.col("sentiment").alias("Sentiment"),
         F.col("confidence").alias("Confidence"), *[F.col(f"prob_{s.lower()}").alias(f"Prob_{s}") for s in SENTIMENTS],
     )
 

@@ -150,16 +150,16 @@ def selected_reviews(
 
 def rating_summaries(
     exploded: DataFrame, top_n: int | None = TOP_CATEGORIES, min_reviews: int = MIN_CATEGORY_REVIEWS,
-    cap: int | None = REVIEWS_PER_RATING, n: int = SUMMARY_SENTENCES, salts: int | None = None, categories=None,
+    cap: int | None = REVIEWS_PER_RATING, n: int = SUMMARY_SENTENCES, salts: int = 16, categories=None,
     summarise=None,
 ) -> DataFrame:
     """Flat summaries: one row per selected category and rating 1..5.
 
+    ``categories`` (at most ``top_n`` of them, None: any number) replace the selection.
     ``summarise(reviews, keys)`` replaces the extractive summary if given.
     """
     chosen = chosen_categories(exploded, top_n, min_reviews) if categories is None else categories
-    salts = salts or (1 if cap else 16)
-    reviews = selected_reviews(exploded, chosen, top_n if categories is None else None, cap)
+    reviews = selected_reviews(exploded, chosen, top_n, cap)
     texts = summarise(reviews, GROUP) if summarise else extractive_summary(reviews, GROUP, n, salts)
     flat = chosen.select("category", "total_reviews", F.inline(rating_rows(cap)))
     return flat.join(texts, list(GROUP), "left").select(

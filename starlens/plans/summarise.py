@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from starlens.constants import MIN_CATEGORY_REVIEWS, REVIEWS_PER_RATING, TOP_CATEGORIES
 from starlens.functions.text import slug
 from starlens.operators.categories import explode_categories
-from starlens.operators.chunks import prefix_model, two_level_summary
+from starlens.operators.chunks import two_level_summary
 from starlens.operators.filters import category_contains, category_is
 from starlens.operators.summaries import chosen_categories, rating_summaries
 from starlens.session import stage
@@ -31,16 +31,16 @@ def selection(
 def flat_summaries(
     reviews: DataFrame, top_n: int | None = TOP_CATEGORIES, min_reviews: int = MIN_CATEGORY_REVIEWS,
     cap: int | None = REVIEWS_PER_RATING, category: str | None = None, contains: str | None = None,
-    model_factory=None,
+    model_factory=None, two_level: bool = False,
 ) -> DataFrame:
     """``category, category_slug, total_reviews, rating, review_count, sampled, summary``.
 
-    ``reviews`` are normalised rows with a ``review_id``. A model factory
-    switches from extractive to two-level summaries.
+    ``reviews`` are normalised rows with a ``review_id``. A model factory, or
+    ``two_level``, switches from extractive to two-level summaries.
     """
     exploded = explode_categories(reviews)
     chosen = selection(exploded, top_n, min_reviews, category, contains)
-    summarise = (lambda df, keys: two_level_summary(df, keys, model_factory)) if model_factory else None
+    summarise = (lambda df, keys: two_level_summary(df, keys, model_factory)) if model_factory or two_level else None
     flat = rating_summaries(
         exploded, top_n if not category else None, min_reviews, cap, categories=chosen, summarise=summarise
     )
@@ -61,7 +61,7 @@ def documents(flat: DataFrame) -> DataFrame:
 
 def summarise_files(
     spark: SparkSession, source: str, target: str, sample_rows: int | None = None, use_extractive: bool = True,
-    model_factory=prefix_model, **options,
+    model_factory=None, **options,
 ) -> DataFrame:
     """The whole job; returns the written documents.
 
@@ -70,7 +70,7 @@ def summarise_files(
     """
     reviews = normalize_schema(read_reviews(spark, source, sample_rows))
     numbered = stage(reviews.withColumn("review_id", F.monotonically_increasing_id()), "reviews")
-    flat = flat_summaries(numbered, model_factory=None if use_extractive else model_factory, **options)
+    flat = flat_summaries(numbered, model_factory=None if use_extractive else model_factory, two_level=not use_extractive, **options)
     result = stage(documents(flat), "documents")
     write_summaries(result, target)
     return result

@@ -86,13 +86,13 @@ def training_weights(train: DataFrame, mode: str, boost: float = NEUTRAL_BOOST)
     """Add ``weight``: copies, times the balanced (or boosted) class weight of the over-sampled set."""
     if mode == "copies":
         return train.withColumn("weight", F.col("copies").cast("double"))
-    sizes = train.groupBy("sentiment").agg(F.sum("copies").alias("n"))
-    classes = Window.partitionBy(F.lit(1))  # one row per class
-    balanced = F.sum("n").over(classes) / (F.count("*").over(classes) * F.col("n"))
     if mode == "boosted":
         # The boosted weights are those of the set before over-sampling.
         weights = class_weights(train, boost).select("sentiment", F.col("weight").alias("w"))
     else:
+        sizes = train.groupBy("sentiment").agg(F.sum("copies").alias("n"))
+        classes = Window.partitionBy(F.lit(1))  # one row per class
+        balanced = F.sum("n").over(classes) / (F.count("*").over(classes) * F.col("n"))
         weights = sizes.select("sentiment", balanced.alias("w"))
     return train.join(F.broadcast(weights), "sentiment").withColumn("weight", F.col("copies") * F.col("w")).drop("w")
 
@@ -111,8 +111,20 @@ def fit_family(name: str, estimator, train: DataFrame, boost: float = NEUTRAL_BO
     return estimator.fit(training_weights(train, WEIGHTING[name], boost))
 
 
-def compare_models(corpus: Corpus, scale: float = 1.0, names=None) -> DataFrame:
-    """Metrics of all families with both vectorizers.
+def bounded_rows(train: DataFrame, limit: int | None) -> DataFrame:
+    """About ``limit`` training rows at most, by a hash of their id; all of them without a limit."""
+    if limit is None:
+        return train
+    slots = 1 << 20
+    share = min(slots, slots * limit // max(1, train.count()))
+    return train.where(F.pmod(F.xxhash64(F.col("review_id").cast("string")), F.lit(slots)) < share)
+
+
+def compare_models(corpus: Corpus, names=None, fit_rows: int | None = None) -> DataFrame:
+    """Metrics of all families (or those in ``names``) with both vectorizers.
+
+    ``fit_rows`` bounds the labelled rows that the models are fitted on; every
+    model has its full number of trees, rounds and iterations.
 
     One fit per model; each reads the staged vectors, and the metrics of all
     models come from one aggregation over the union of their predictions.
@@ -120,7 +132,8 @@ def compare_models(corpus: Corpus, scale: float = 1.0, names=None) -> DataFrame:
     frames, ordinal = [], 0
     for vectorizer in VECTORIZERS:
         train, test = ml_tables(corpus, vectorizer)
-        for name, estimator in model_families(train.count(), scale).items():
+        train = bounded_rows(train, fit_rows)
+        for name, estimator in model_families(train.count()).items():
             if names is None or name in names:
                 predicted = as_predictions(fit_family(name, estimator, train).transform(test))
                 frames.append(predicted.select(

@@ -70,12 +70,3 @@ def stage(df: DataFrame, name: str, schema=None) -> DataFrame:
 
 def driver_tables(spark: SparkSession, folder: str, *names: str) -> list[DataFrame]:
     return [spark.read.parquet(os.path.join(folder, f"{name}.parquet")) for name in names]
-
-
-def spread(scan: DataFrame, key: str) -> DataFrame:
-    """Spread a scan of few splits over all cores before costly work per row.
-
-    A large input has more splits than cores and passes through unchanged.
-    """
-    cores = scan.sparkSession.sparkContext.defaultParallelism
-    return scan if scan.rdd.getNumPartitions() >= cores else scan.repartition(cores, key)

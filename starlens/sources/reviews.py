@@ -14,7 +14,7 @@ from starlens.constants import (
 )
 from starlens.functions.labels import whole_rating
 from starlens.functions.text import strip
-from starlens.session import driver_tables, spread
+from starlens.session import driver_tables
 
 
 def quoted(name: str):
@@ -49,7 +49,7 @@ def normalize_schema(df: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
     text, rating = first_present(df.columns, TEXT_COLUMNS), first_present(df.columns, RATING_COLUMNS)
     missing = [names[0] for names, found in ((TEXT_COLUMNS, text), (RATING_COLUMNS, rating)) if not found]
     if missing:
-        raise KeyError(f"Missing required columns: {missing}")
+        raise KeyError(f"no column serves as {' or '.join(missing)}")
     categories, title = first_present(df.columns, CATEGORY_COLUMNS), first_present(df.columns, TITLE_COLUMNS)
     picked = [quoted(name) for name in keep] + [
         strip(quoted(text).cast("string")).alias("text"),
@@ -113,17 +113,12 @@ def raw_reviews(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-def labelled_reviews(spark: SparkSession, folder: str, costly: bool = False) -> DataFrame:
+def labelled_reviews(spark: SparkSession, folder: str) -> DataFrame:
     """Documents with quality labels, seen as a rated three-class data set.
 
     Low quality counts as one star, toxic as four, the rest as five; so Neutral
     is the smallest class at every scale, as over-sampling demands.
-
-    ``costly`` says that the texts will be processed, so that a scan of few
-    splits is worth spreading.
     """
     documents, labels = driver_tables(spark, folder, "documents", "labels")
-    if costly:
-        documents = spread(documents.select("doc_id", "text"), "doc_id")
     rating = F.when(F.col("quality") == 0, 1).when(F.col("toxic") == 1, 4).otherwise(5)
     return documents.join(labels, "doc_id").select(F.col("doc_id").alias("review_id"), "text", rating.alias("rating"))

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
@@ -14,7 +16,7 @@ def arriving_reviews(spark: SparkSession, folder: str, schema, files_per_trigger
 
 
 def score_arriving(
-    reviews: DataFrame, text_column: str, model, target: str, checkpoint: str, available_now: bool = True
+    reviews: DataFrame, text_column: str, model, target: str, checkpoint: str, available_now: bool = True, keys: Sequence[str] = ()
 ) -> StreamingQuery:
     """Score a stream and append to Parquet.
 
@@ -22,7 +24,7 @@ def score_arriving(
     checkpoint and the file sink together write every row exactly once.
     """
     writer = (
-        score_batch(reviews, text_column, model).writeStream.format("parquet").outputMode("append")
+        score_batch(reviews, text_column, model, keys).writeStream.format("parquet").outputMode("append")
         .option("path", target).option("checkpointLocation", checkpoint)
     )
     return (writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="1 minute")).start()

@@ -192,3 +192,48 @@ def test_external_model_failures(spark):
     got = {r.review_id: r for r in scoring.external_scores(df, scoring.length_stub).collect()}
     assert (got[6].label, got[6].score, got[6].sentiment) == ("NEUTRAL", 0.5, "Neutral")
     assert (got[7].label, got[8].label) == ("POSITIVE", "LABEL_0") and len(got) == 14
+
+
+def test_csv_headers_follow_the_encoding(spark, tmp_path):
+    (tmp_path / "a.csv").write_text("catégorie,note,,note\nété,1,x,2\n", encoding="latin-1")
+    (tmp_path / "b.csv").write_text("catégorie,note\nhiver,3\n", encoding="utf-8")
+    (tmp_path / "empty.csv").write_text("", encoding="utf-8")
+    got = csv_files.read_reviews(spark, str(tmp_path), multi_line=False)
+    assert {"catégorie", "note", "note1", "_c2", "note3"} <= set(got.columns)
+    assert sorted(x["catégorie"] for x in got.collect()) == ["hiver", "été"]
+    assert csv_files.column_names('"a,b",A,a,') == ["a,b", "A1", "a2", "_c3"]
+
+
+def test_two_level_summaries_with_failing_models(spark):
+    sentence = "The {0} {1} sentence number {1} is long enough to be kept in here."
+    reviews = spark.createDataFrame(
+        [(c, 5, i, sentence.format(c, i)) for c in ("calm", "loud", "short") for i in range(1 if c == "short" else 9)],
+        "category string, rating int, review_id long, text string")
+
+    def model_factory():
+        def model(text):
+            if "loud" in text and len(text) > 300 or "number 0" in text:
+                raise ValueError("not accepted")
+            return f"<{len(text)}>"
+        return model
+
+    def summaries(**options):
+        return {x["category"]: x["summary"] for x in chunks.two_level_summary(reviews, limit=200, **options).collect()}
+
+    given = summaries(model_factory=model_factory)
+    assert given["short"] == sentence.format("short", 0)  # the model fails on the chunk, so its first characters stay
+    assert given["calm"].startswith("<") and given["calm"] != "<0>"  # unified by the model
+    own = summaries()
+    assert own["short"] == sentence.format("short", 0)
+    assert own["calm"].count("sentence number") == 6 and own["loud"].count("sentence number") == 6  # the best six of all
+
+
+def test_scores_keep_rows_and_keys(spark):
+    class Model:
+        def transform(self, df):
+            from pyspark.ml.functions import array_to_vector
+            return df.withColumn("probability", array_to_vector(F.array(F.lit(0.2), F.lit(0.3), F.lit(0.5)))).withColumn("prediction", F.lit(2.0))
+
+    batch = spark.createDataFrame([(1, "a", "x"), (2, None, "y"), (3, "a", "z")], "id long, body string, text string")
+    got = scoring.score_batch(batch, "body", Model(), ["id"]).orderBy("id").collect()
+    assert [(x["id"], x["Original_Text"], x["Sentiment"]) for x in got] == [(1, "a", "Positive"), (2, None, "Positive"), (3, "a", "Positive")]

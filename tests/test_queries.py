@@ -8,15 +8,16 @@ import pytest
 from pyspark.sql import functions as F
 
 import __spark_entry__ as contract
+from starlens.checks import oracles
 from starlens.operators import metrics, models, naive_bayes
 from starlens.plans import training
 from starlens.sources.reviews import labelled_reviews
 
-TABLES = ("documents", "labels", "conversations", "benchmark", "pages")
+TABLES = ("documents", "labels", "conversations", "benchmark", "pages", "embeddings")
 SLOW = {"catalogue_read", "class_distribution", "accuracy_by_model", "accuracy_histogram", "best_model", "best_tfidf_model",
         "combined_results", "scored_csv", "mean_probabilities", "neutral_diagnostics", "confusion_table", "class_metrics",
         "summary_metrics", "first_features", "worst_neutral", "nb_predict_boosted", "scored_summary"}
-CHECKED = sorted(set(contract.oracle_sql()) - SLOW)
+CHECKED = sorted(set(oracles.oracle_sql()) - SLOW)
 
 
 @pytest.fixture(scope="module")
