@@ -104,14 +104,14 @@ def add(*lists: Column) -> Column:
     return out
 
 
-def level(rows: DataFrame, key: str, above: str | None, size: int, name: str, overall: list[float] | None = None) -> DataFrame:
-    """(key, above, prior): smoothed shares of the languages by key; the prior of the level above is joined by the caller's column ``prior``."""
+def level(rows: DataFrame, *keys: str, size: int) -> DataFrame:
+    """(keys, counts): the documents of each language, as the texts suggest it, by host or domain."""
     counts = F.array(*(F.sum((F.col("guess") == k).cast("long")).cast("double") for k in range(size)))
-    keys = [key] if above is None else [key, above]
-    return rows.where(F.col(key).isNotNull()).groupBy(*keys).agg(counts.alias("counts"))
+    return rows.where(F.col(keys[0]).isNotNull()).groupBy(*keys).agg(counts.alias("counts"))
 
 
-def smoothed(counts: Column, wider: Column, size: int) -> Column:
+def smoothed(counts: Column, wider: Column) -> Column:
+    """Shares out of counts, with the shares of the wider level as prior."""
     total = F.aggregate(counts, F.lit(0.0), lambda a, x: a + x)
     return F.zip_with(counts, wider, lambda n, p: (n + LEVEL_PRIOR * p) / (total + LEVEL_PRIOR))
 
@@ -160,8 +160,9 @@ def identify(docs: DataFrame, evidence: DataFrame | None = None, key: str = "doc
     n = sum(totals)
     overall = F.array(*(F.lit((t + 1) / (n + size)) for t in totals))
     seen = rows.where(F.col("guess").isNotNull())
-    domains = level(seen, "domain", None, size, "domain").select("domain", smoothed(F.col("counts"), overall, size).alias("wider"))
-    hosts = level(seen, "host", "domain", size, "host").join(domains, "domain").select("host", "domain", F.transform(smoothed(F.col("counts"), F.col("wider"), size), lambda p: F.log(p)).alias("host_logs"))
+    domains = level(seen, "domain", size=size).select("domain", smoothed(F.col("counts"), overall).alias("wider"))
+    own = smoothed(F.col("counts"), F.col("wider"))
+    hosts = level(seen, "host", "domain", size=size).join(domains, "domain").select("host", "domain", F.transform(own, lambda p: F.log(p)).alias("host_logs"))
     hosts = stage(hosts, "language-hosts")
     out = rows.join(sized(hosts), ["host", "domain"], "left")
     for evidence_key in ("declared", "suffix"):

@@ -43,6 +43,9 @@ TOGETHER = 1 << 22
 ENTRY = np.dtype([("doc", "<i8"), ("known", "u1"), ("first", "<u8"), ("tokens", "<u8"), ("frame", "<u4")])
 BREAK = np.zeros(256, bool)
 BREAK[[9, 10, 11, 12, 13, 32]] = True
+SIGN, LETTER = np.zeros(256, bool), np.zeros(256, bool)
+SIGN[[ord(x) for x in ".,;:!?"]] = True
+LETTER[[*range(65, 91), *range(97, 123)]] = True
 #: Pieces in each of the two generations whose ids a worker remembers.
 REMEMBERED = 400_000
 
@@ -130,9 +133,11 @@ class Reader:
             yield doc if known else None, first, plain[at : at + 4 * tokens]
 
 
-def pieces(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Bytes as they are, and which of them are no ASCII white space."""
-    return data, ~BREAK[data]
+def pieces(data: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Bytes as they are, which of them are no ASCII white space, and signs between a letter and white space, which are pieces of their own."""
+    inside = ~BREAK[data]
+    signs = SIGN[data[1:-1]] & LETTER[data[:-2]] & ~inside[2:]
+    return data, inside, np.flatnonzero(signs) + 1
 
 
 def packed(ids: list[int]) -> bytes:
@@ -213,10 +218,15 @@ class Encoder:
         raw = found.data.tobytes()
         keys = [raw[a:b] for a, b in zip(found.begin[at].tolist(), found.end[at].tolist(), strict=True)]
         self.memory.turn()
-        fresh = self.memory.missing(set(keys))
-        if fresh:
-            self.learn(fresh)
-        coded = list(map(self.memory.known.__getitem__, keys))
+        known = self.memory.known
+        coded = list(map(known.get, keys))
+        unknown = [i for i, x in enumerate(coded) if x is None]
+        if unknown:
+            fresh = self.memory.missing({keys[i] for i in unknown})
+            if fresh:
+                self.learn(fresh)
+            for i in unknown:
+                coded[i] = known[keys[i]]
         size = np.array([len(x) // 4 for x in coded])
         start = np.cumsum(size) - size
         size, start = size[which], start[which]  # of every piece in the text's order

@@ -17,8 +17,10 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 #: Vectors to a block of candidates and of queries.
-CANDIDATES = 16_384
+CANDIDATES = 8_192
 QUERIES = 1_024
+#: Tasks, at most, among which the blocks of candidates are dealt.
+TASKS = 10_000
 #: Dimensions added between two prunings.
 STEP = 8
 #: Quantised components are held within this bound either way, so that products fit 64 bits.
@@ -143,6 +145,8 @@ def exact_top_k(vectors: DataFrame, is_query: Column, k: int = 20, key: str = "v
     sides = packed(asked, queries, "queries", m).select(
         F.col("width").alias("q_width"), F.col("keys").alias("q_keys"), F.col("vals").alias("q_vals"), F.explode(F.sequence(F.lit(0), F.lit(against - 1))).alias("q_block")
     )
+    tasks = min(against, TASKS)  # a given number, because the work hangs on the pairs of blocks and not on their bytes
+    sides, blocks = sides.repartition(tasks, "q_block"), blocks.repartition(tasks, "block")
     pairs = sides.join(blocks, (sides["q_block"] == blocks["block"]) & (sides["q_width"] == blocks["width"])).select("width", "q_keys", "q_vals", "keys", "vals")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -121,20 +121,23 @@ def run_hashes(low: np.ndarray, begin: np.ndarray, end: np.ndarray, head: int) -
 
 
 def words_of(texts: pa.Array, head: int = 0, separate=folded) -> Words:
-    """All words of an array of texts; use ``slices`` for arrays of any size."""
+    """All words of an array of texts; use ``slices`` for arrays of any size.
+
+    ``separate`` gives the bytes to compare, which of them belong to words, and perhaps places where one word ends and the next begins.
+    """
     data, offsets = text_bytes(texts)
     parts: list[tuple[np.ndarray, ...]] = []
     at = 0
     while at < len(data):
         to = min(at + CHUNK, len(data))
-        low, inside = separate(data[at:to])
+        low, inside, *more = separate(data[at:to])
         if to < len(data):  # cut between words; a longer run without a break is cut where the chunk ends
             gaps = np.flatnonzero(~inside)
             edges = offsets[(offsets > at) & (offsets < to)] - at
             cut = max(int(gaps[-1]) if len(gaps) else 0, int(edges[-1]) if len(edges) else 0)
             if cut:
                 to, low, inside = at + cut, low[:cut], inside[:cut]
-        begin, end = spans(inside, offsets[(offsets >= at) & (offsets <= to)] - at)
+        begin, end = spans(inside, np.concatenate([offsets[(offsets >= at) & (offsets <= to)] - at, *(x[x < to - at] for x in more)]))
         parts.append((*run_hashes(low, begin, end, head), begin + at, end + at))
         at = to
     if not parts:
