@@ -75,7 +75,7 @@ def noun_lemma(word: Column, lexicon: dict[str, str] | None = None) -> Column:
 
 def processed_tokens(text: Column) -> Column:
     """Raw text to lemmas of its content words, in order."""
-    return F.transform(content_words(tokens(clean_text(text))), noun_lemma)
+    return F.transform(content_words(tokens(clean_text(text))), lambda word: noun_lemma(word))
 
 
 def processed_text(text: Column) -> Column:
