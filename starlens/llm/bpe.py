@@ -26,9 +26,9 @@ from starlens.llm.words import slices, worker_memory
 #: Fixed value of the byte-level vocabularies: the pattern that cuts a text into words.
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 #: Words in each of the two generations whose ids a worker remembers.
-REMEMBERED = 300_000
+REMEMBERED = 120_000
 #: Bytes of text that are encoded together; the same words are looked up once.
-TOGETHER = 1 << 22
+TOGETHER = 1 << 21
 NEVER = np.iinfo(np.int64).max
 
 
