@@ -6,17 +6,25 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from starlens.session import stage
 
 #: Labelled rows that a fit uses at most, on average; 12 bytes each when sent to the executors.
 LABELLED_ROWS = 200_000
+#: Rows of texts that a worker is given at once.
+BATCH_ROWS = 1_000
 #: Rows up to which a table of a few numbers a row is sent to all executors.
 SMALL_ROWS = 100_000
 
 
+def small_batches(spark: SparkSession) -> SparkSession:
+    """Arrow batches of at most ``BATCH_ROWS`` rows, so that those of long texts fit the workers; lasts for the session."""
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
+    return spark
+
+
 def known(df: DataFrame, text: str = "text") -> DataFrame:
     """Null texts as empty ones."""
     return df.withColumn(text, F.coalesce(F.col(text), F.lit("")))

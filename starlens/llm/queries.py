@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from starlens.llm.bpe import bpe_decode, bpe_encode, digests
+from starlens.llm.common import small_batches
 from starlens.llm.contamination import contaminated
 from starlens.llm.jaccard import near_duplicates
 from starlens.llm.language import identify, page_evidence
@@ -22,7 +23,7 @@ from starlens.llm.warc import BLOCKS, DATE, ENTITIES, NO_TEXT, derivatives, resp
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    return spark.read.parquet(os.path.join(folder, f"{name}.parquet"))
+    return small_batches(spark).read.parquet(os.path.join(folder, f"{name}.parquet"))
 
 
 def remainder(key: str, by: int) -> Column:
