@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from starlens.llm.bpe import bpe_decode, bpe_encode
-from starlens.llm.common import sized, without
+from starlens.llm.common import sized, small_batches, without
 from starlens.llm.contamination import contaminated
 from starlens.llm.jaccard import near_duplicates
 from starlens.llm.language import identify, page_evidence
@@ -25,7 +25,7 @@ VOCABULARY = "byte_bpe_50k.json"
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet"))
+    return small_batches(spark).read.parquet(os.path.join(sf_dir, f"{name}.parquet"))
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -36,6 +36,7 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def one_of_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keeps the first document, in the order of the files, of each class of near copies."""
+    small_batches(spark)
     numbered = stage(docs.withColumn("near_row", F.monotonically_increasing_id()), "numbered")
     found = near_duplicates(numbered, key="near_row")
     dropped = stage(found.where(F.col("class_id") != F.col("near_row")).select("near_row"), "near-copies")
@@ -50,6 +51,7 @@ def decontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 def without_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Replaces personal data by its kind in brackets; ``n_chars`` follows the text."""
+    small_batches(spark)
     clean = redacted(personal_data(docs))
     if "n_chars" in docs.columns:
         clean = clean.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
@@ -58,6 +60,7 @@ def without_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
 
 def tokenised(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """(doc_id, lang, source, n_tokens, token_ids, ids_sha256, decoded_sha256): ids as little-endian unsigned 32-bit integers, and a round trip."""
+    small_batches(spark)
     vocabulary = public_tokenizers.path(VOCABULARY)
     coded = bpe_encode(docs.select("doc_id", "lang", "source", "text"), vocabulary).drop("text")
     decoded = bpe_decode(coded, vocabulary)
