@@ -238,24 +238,29 @@ def loaded(file: bytes) -> ByteBpe:
     return memory[key]
 
 
-def bpe_encode(docs: DataFrame, vocabulary: str, text: str = "text", ids: str = "token_ids") -> DataFrame:
+def bpe_encode(docs: DataFrame, vocabulary: str, text: str = "text", ids: str = "token_ids", decoded: str | None = None) -> DataFrame:
     """All columns of ``docs`` with the ids of each whole text, as little-endian unsigned 32-bit integers in a binary column, and ``n_tokens``.
 
     ``vocabulary`` is a file of the driver; its content goes to the executors. Null texts count as empty: no ids.
-    Strings of added tokens in a text become their ids, as in the tokenizers library. Columns that are called as the new ones are replaced.
+    Strings of added tokens in a text become their ids, as in the tokenizers library. With ``decoded`` the ids are also decoded, in the same
+    workers, into a column of that name. Columns that are called as the new ones are replaced.
     """
     with open(vocabulary, "rb") as file:
         sent = docs.sparkSession.sparkContext.broadcast(file.read())
-    kept = docs.drop(ids, "n_tokens")
+    fresh = {ids: "binary", "n_tokens": "long"} | ({decoded: "string"} if decoded else {})
+    kept = docs.drop(*fresh)
     names = kept.columns
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
         texts = batch[text]
-        coded = loaded(sent.value).encode((texts.fill_null("") if texts.null_count else texts).to_pylist())
+        model = loaded(sent.value)
+        coded = model.encode((texts.fill_null("") if texts.null_count else texts).to_pylist())
         new = [pa.array(coded, pa.binary()), pa.array([len(x) // 4 for x in coded], pa.int64())]
-        return pa.RecordBatch.from_arrays([*(batch[c] for c in names), *new], names=[*names, ids, "n_tokens"])
+        if decoded:
+            new.append(pa.array([model.decode(x) for x in coded], pa.string()))
+        return pa.RecordBatch.from_arrays([*(batch[c] for c in names), *new], names=[*names, *fresh])
 
-    return kept.mapInArrow(per_slice(lambda texts: slices(texts, TOGETHER), run, text), f"{kept.schema.toDDL()}, {ids} binary, n_tokens long")
+    return kept.mapInArrow(per_slice(lambda texts: slices(texts, TOGETHER), run, text), ", ".join([kept.schema.toDDL(), *(f"{c} {kind}" for c, kind in fresh.items())]))
 
 
 def bpe_decode(coded: DataFrame, vocabulary: str, ids: str = "token_ids", text: str = "decoded") -> DataFrame:
