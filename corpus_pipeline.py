@@ -13,7 +13,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from starlens.llm.bpe import bpe_decode, bpe_encode
+from starlens.llm.bpe import bpe_encode
 from starlens.llm.common import sized, small_batches, without
 from starlens.llm.contamination import contaminated
 from starlens.llm.jaccard import near_duplicates
@@ -62,8 +62,7 @@ def tokenised(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """(doc_id, lang, source, n_tokens, token_ids, ids_sha256, decoded_sha256): ids as little-endian unsigned 32-bit integers, and a round trip."""
     small_batches(spark)
     vocabulary = public_tokenizers.path(VOCABULARY)
-    coded = bpe_encode(docs.select("doc_id", "lang", "source", "text"), vocabulary).drop("text")
-    decoded = bpe_decode(coded, vocabulary)
+    decoded = bpe_encode(docs.select("doc_id", "lang", "source", "text"), vocabulary, decoded="decoded")
     return decoded.select("doc_id", "lang", "source", "n_tokens", "token_ids", F.sha2("token_ids", 256).alias("ids_sha256"), F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"))
 
 
