@@ -31,9 +31,9 @@ from starlens.sources import reviews as src
 from starlens.streaming import score_files
 
 GROUP = summ.GROUP
-# Labelled rows, about, that the query models and the grid searches are fitted on; trees, rounds, depths, terms and grid points are the full ones.
-FIT_ROWS = 150
-GRID_ROWS = 60
+# Labelled rows that the query models and the grid searches are fitted on at most; trees, rounds, depths, terms and grid points are the full ones.
+FIT_ROWS = 5_000
+GRID_ROWS = 5_000
 # Queries that fit hundreds of trees or dozens of models; they come last.
 LONG = ("linear_svm", "random_forest", "gradient_boosting", "boosted_trees", "feature_importances", "forest_diagnostics", "boosted_refit",
         "model_matrix", "grid_forest", "grid_boosted")
@@ -337,9 +337,17 @@ def forest_diagnostics(spark, d):
     return rep.mean_probabilities(rows)
 
 
+def grid_result(validator, test):
+    """(name, value): parameters and score of the best point, and the confusion matrix of the best model, fitted anew, over the whole test set."""
+    point = mod.best_point(validator)
+    cells = met.confusion_matrix(mod.as_predictions(validator.bestModel.transform(test)))
+    found = test.sparkSession.createDataFrame(sorted(point.items()), "name string, value double")
+    return found.unionByName(cells.select(F.concat_ws("_", F.lit("n"), F.lower("actual"), F.lower("predicted")).alias("name"), F.col("n").cast("double").alias("value")))
+
+
 def grid_search(kind):
     def run(spark, d):
-        train, _ = trn.ml_tables(corpus(spark, d), "TF-IDF")
+        train, test = trn.ml_tables(corpus(spark, d), "TF-IDF")
         folded = stage(smp.cross_folds(trn.training_weights(trn.bounded_rows(train, GRID_ROWS), "boosted")).coalesce(1), "folds", None)
         if kind == "forest":
             estimator = mod.random_forest()
@@ -347,8 +355,7 @@ def grid_search(kind):
         else:
             estimator = mod.boosted_trees()
             grid = mod.boosted_grid(estimator)
-        point = mod.best_point(mod.grid_search(estimator, grid, folded))
-        return spark.createDataFrame(sorted(point.items()), "name string, value double")
+        return grid_result(mod.grid_search(estimator, grid, folded), test)
     return run
 
 

@@ -15,7 +15,7 @@ from starlens.operators.features import feature_rows, ml_vectors, vocabulary, wi
 from starlens.operators.filters import usable, with_processed_tokens, with_sentiment
 from starlens.operators.metrics import summary_metrics
 from starlens.operators.models import WEIGHTING, as_predictions, model_families
-from starlens.operators.sampling import class_weights, stratified_split, with_copies
+from starlens.operators.sampling import class_weights, quota_cut, stratified_split, with_copies, within_cut
 from starlens.session import stage
 
 VECTORIZERS = ("Count", "TF-IDF")
@@ -111,13 +111,13 @@ def fit_family(name: str, estimator, train: DataFrame, boost: float = NEUTRAL_BO
     return estimator.fit(training_weights(train, WEIGHTING[name], boost))
 
 
-def bounded_rows(train: DataFrame, limit: int | None) -> DataFrame:
-    """About ``limit`` training rows at most, by a hash of their id; all of them without a limit."""
-    if limit is None:
+def bounded_rows(train: DataFrame, limit: int | None, label: str = "sentiment", row_id: str = "review_id") -> DataFrame:
+    """At most ``limit`` training rows and one a class, the same share of every class, rounded up; all of them without a limit or if they are fewer."""
+    total = train.count() if limit is not None else 0
+    if limit is None or total <= limit:
         return train
-    slots = 1 << 20
-    share = min(slots, slots * limit // max(1, train.count()))
-    return train.where(F.pmod(F.xxhash64(F.col("review_id").cast("string")), F.lit(slots)) < share)
+    cuts = quota_cut(train, label, lambda n: F.ceil(n * F.lit(limit) / F.lit(total)), row_id)
+    return train.where(within_cut(cuts, F.col(label), F.col(row_id)))
 
 
 def compare_models(corpus: Corpus, names=None, fit_rows: int | None = None) -> DataFrame:
