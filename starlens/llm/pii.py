@@ -3,7 +3,7 @@
 The base patterns find emails, addresses, cards and phone numbers; they are the seeds. The words around a seed
 induce lexical patterns; a graph of patterns and instances (the identifier-like strings that stand in them) is scored in rounds: a pattern is as
 good as the share of known instances in all its places in the corpus, an instance is as good as the patterns that hold it, taken
-as independent. Instances that end above ``ACCEPT`` are added; base spans always stay.
+as independent. Instances above ``ACCEPT`` induce patterns in the next round as seeds do; those that end above it are added; base spans always stay.
 """
 
 from __future__ import annotations
@@ -30,7 +30,10 @@ LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz012345678
 DOMAIN = re.compile(r"[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
 MARK = re.compile(r"[0-9@]")
 SPACE = re.compile(r"\s")
-#: Different seeds that a pattern needs, rounds of scoring, and the least score of a good pattern and of a new identifier.
+GROUPS = re.compile(r"(?<![0-9])[0-9]++(?:[ -][0-9]++)+")
+#: Digits of groups with spaces between them, at most; more are a row of numbers. Single runs have no such bound.
+JOINED = 34
+#: Different seeds or accepted identifiers that a pattern needs, rounds of scoring, and the least score of a good pattern and of a new identifier.
 SUPPORT, ROUNDS, GOOD, ACCEPT = 3, 3, 0.5, 0.6
 #: Patterns whose places are counted in one pass over the corpus; more take more passes.
 PATTERN_BLOCK = 500_000
@@ -73,8 +76,34 @@ def base_spans(text: str) -> list[tuple[int, int, int]]:
     return sorted(out)
 
 
+def joined_groups(text: str, edges: list[tuple[int, int]]) -> list[tuple[int, int]]:
+    """Groups of digits joined by single spaces, or spaces and hyphens, outside of the spans; runs at their ends that hold letters are left off."""
+    out, k = [], 0
+    for m in GROUPS.finditer(text):
+        a, b = m.span()
+        left, right = a, b
+        while left and not text[left - 1].isspace() and not text[left - 1].isalnum():
+            left -= 1
+        while right < len(text) and not text[right].isspace() and not text[right].isalnum():
+            right += 1
+        if left and not text[left - 1].isspace():
+            a = text.find(" ", a, b) + 1 or b
+        if right < len(text) and not text[right].isspace():
+            b = text.rfind(" ", a, b)
+        if b <= a or text.find(" ", a, b) < 0:
+            continue
+        while k < len(edges) and edges[k][1] <= a:
+            k += 1
+        if (k >= len(edges) or edges[k][0] >= b) and b - a >= 5 and 3 <= sum(c not in " -" for c in text[a:b]) <= JOINED:
+            out.append((a, b))
+    return out
+
+
 def other_slots(text: str, taken: list[tuple[int, int, int]]) -> list[tuple[int, int]]:
-    """Identifier-like strings outside of the spans: runs without white space, trimmed of signs, with three digits or an @."""
+    """Identifier-like strings outside of the spans: runs without white space, trimmed of signs, with three digits or an @; then joined groups of digits.
+
+    The runs inside of joined groups stay slots of their own.
+    """
     out, end, at = [], 0, 0
     edges = sorted((a, b) for a, _, b in taken)
     k = 0
@@ -98,7 +127,7 @@ def other_slots(text: str, taken: list[tuple[int, int, int]]) -> list[tuple[int,
         value = text[a:b]
         if len(value) >= 5 and ("@" in value or sum(c.isdigit() for c in value) >= 3):
             out.append((a, b))
-    return out
+    return out + joined_groups(text, edges)
 
 
 def pattern_hashes(before2: np.ndarray, before: np.ndarray, after: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -181,28 +210,38 @@ def ordinary_places(docs: DataFrame, text: str, patterns: DataFrame) -> DataFram
 
 
 def bootstrapped(slots: DataFrame, docs: DataFrame, text: str, support: int = SUPPORT, rounds: int = ROUNDS) -> DataFrame:
-    """(instance, kind, score) of identifiers that only their contexts give away."""
+    """(instance, kind, score) of identifiers that only their contexts give away.
+
+    Each round chooses the patterns anew: those of ``support`` seeds or identifiers accepted so far. Places of a pattern are counted once.
+    """
     edges = slots.select("instance", "kind", F.explode("patterns").alias("pattern")).groupBy("pattern", "instance").agg(F.max("kind").alias("kind"))
-    fit = edges.where("kind >= 0").groupBy("pattern").agg(F.count(F.lit(1)).alias("seeds")).where(F.col("seeds") >= support).select("pattern")
-    patterns = stage(fit, "pii-patterns")
-    edges = stage(edges.join(sized(patterns), "pattern"), "pii-edges")
-    seeds = edges.where("kind >= 0").groupBy("instance").agg(F.max("kind").alias("kind")).withColumn("score", F.lit(1.0))
-    size = edges.groupBy("pattern").agg(F.count(F.lit(1)).alias("n")).join(ordinary_places(docs, text, patterns), "pattern", "left")
-    size = stage(size.select("pattern", (F.col("n") + F.coalesce("n_other", F.lit(0)) + 1).alias("size")), "pii-pattern-sizes")
+    # a pattern of fewer instances can never be chosen
+    held = stage(edges.groupBy("pattern").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= support), "pii-patterns")
+    edges = stage(edges.join(sized(held.select("pattern")), "pattern"), "pii-edges")
     members = edges.select("pattern", "instance")
+    seeds = edges.where("kind >= 0").groupBy("instance").agg(F.max("kind").alias("kind")).withColumns({"score": F.lit(1.0), "seed": F.lit(True)})
     scores = stage(seeds, "pii-scores")
+    seeds = scores
+    size = None
     for _ in range(rounds):
+        sure = scores.where(F.col("seed") | (F.col("score") >= ACCEPT)).select("instance")
+        fit = stage(members.join(sure, "instance").groupBy("pattern").agg(F.count(F.lit(1)).alias("sure")).where(F.col("sure") >= support).select("pattern"), "pii-fit")
+        fresh = fit if size is None else stage(fit.join(size, "pattern", "left_anti"), "pii-fresh")
+        if size is None or not fresh.isEmpty():
+            more = held.join(sized(fresh), "pattern").join(ordinary_places(docs, text, fresh), "pattern", "left")
+            more = stage(more.select("pattern", (F.col("n") + F.coalesce("n_other", F.lit(0)) + 1).alias("size")), "pii-pattern-sizes")
+            size = more if size is None else size.unionByName(more)
         good = (
             members.join(scores, "instance").groupBy("pattern", "kind").agg(F.sum("score").alias("mass"))
-            .join(size, "pattern").select("pattern", "kind", (F.col("mass") / F.col("size")).alias("trust")).where(F.col("trust") >= GOOD)
+            .join(size, "pattern").join(fit, "pattern", "left_semi").select("pattern", "kind", (F.col("mass") / F.col("size")).alias("trust")).where(F.col("trust") >= GOOD)
         )
         found = (
             members.join(good, "pattern").groupBy("instance", "kind").agg((1 - F.exp(F.sum(F.log1p(-F.least(F.col("trust"), F.lit(0.999)))))).alias("score"))
             .groupBy("instance").agg(F.max(F.struct("score", (-F.col("kind")).alias("k"))).alias("best"))
-            .select("instance", (-F.col("best.k")).alias("kind"), F.col("best.score").alias("score")).join(seeds.select("instance"), "instance", "left_anti")
+            .select("instance", (-F.col("best.k")).alias("kind"), F.col("best.score").alias("score"), F.lit(False).alias("seed")).join(seeds.select("instance"), "instance", "left_anti")
         )
         scores = stage(seeds.unionByName(found), "pii-scores")
-    return scores.where(F.col("score") < 1.0).where(F.col("score") >= ACCEPT)
+    return scores.where(~F.col("seed") & (F.col("score") >= ACCEPT)).drop("seed")
 
 
 def personal_data(docs: DataFrame, text: str = "text") -> DataFrame:
