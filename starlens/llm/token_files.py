@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 
 from starlens.llm.bpe import byte_letters
 from starlens.llm.common import Memory
-from starlens.llm.words import slices, words_of, worker_memory
+from starlens.llm.words import CHUNK, slices, text_bytes, words_of, worker_memory
 from starlens.session import stage, staging_path
 
 #: Fixed values of the seekable layout.
@@ -148,6 +148,17 @@ def packed(ids: list[int]) -> bytes:
     return out.tobytes()
 
 
+def unbroken(texts: pa.Array) -> list[int]:
+    """Rows with a run without ASCII white space that fills a chunk of ``words_of``, which would cut it."""
+    data, offsets = text_bytes(texts)
+    out = []
+    for i in np.flatnonzero(np.diff(offsets) >= CHUNK - 2).tolist():
+        gaps = np.flatnonzero(BREAK[data[offsets[i] : offsets[i + 1]]])
+        if np.diff(np.concatenate([[-1], gaps, [offsets[i + 1] - offsets[i]]])).max() >= CHUNK - 1:
+            out.append(i)
+    return out
+
+
 class Encoder:
     """The tokenizers library, asked once for each piece of text between ASCII white space.
 
@@ -211,6 +222,11 @@ class Encoder:
         """The ids of each text as little-endian unsigned 32-bit integers."""
         if not self.by_piece:
             return self.ask(texts.to_pylist())
+        long = unbroken(texts)
+        if long:
+            apart = dict(zip(long, self.ask([texts[i].as_py() for i in long]), strict=True))
+            others = self.encode(pa.array(["" if i in apart else x for i, x in enumerate(texts.to_pylist())], texts.type))
+            return [apart.get(i, x) for i, x in enumerate(others)]
         found = words_of(texts, separate=pieces)
         if not len(found.hashes):
             return [b""] * len(texts)
