@@ -24,7 +24,7 @@ from starlens.operators.summaries import (
 )
 from starlens.session import stage
 
-# Joined partials that a model is given at most; longer ones are unified by the extractive summary.
+# Characters of joined partials that a model is given at once; groups of more are unified in several levels.
 UNIFIED_CHARS = 200_000
 
 # Executors get the functions by value and need no copy of the package.
@@ -161,33 +161,45 @@ def partial_summaries(chunked: DataFrame, model_factory, keys: Sequence[str] = G
 
 
 def unified_by_model(partials: DataFrame, model_factory, keys: Sequence[str], limit: int = UNIFIED_CHARS) -> DataFrame:
-    """``keys, unified``: the model on the joined partials of each group; null where it fails or they exceed ``limit``."""
+    """``keys, unified``: the model on the joined partials of each group; null where it fails.
+
+    Partials of more than ``limit`` characters are joined in runs of at most that size (or of two), the model
+    is applied to each run, and its results are the partials of the next level, until one remains.
+    """
     keys = list(keys)
-    size = F.sum(F.length("partial") + 1)
-    short = partials.groupBy(*keys).agg(size.alias("chars"), F.count("*").alias("n")).where((F.col("chars") <= limit) & (F.col("n") > 1)).select(*keys)
-    ordered = F.array_sort(F.collect_list(F.struct("chunk_no", "partial")))
-    joined = partials.join(short, keys).groupBy(*keys).agg(F.array_join(F.transform(ordered, lambda e: e["partial"]), " ").alias("joined"))
+    types = {f.name: f.dataType.simpleString() for f in partials.schema}
+    schema = ", ".join(f"{k} {types[k]}" for k in keys) + ", chunk_no bigint, partial string"
 
     def run(batches):
         model = model_factory()
 
-        def unify(text):
+        def unify(text, n):
             try:
-                return str(model(text))
+                return text if n == 1 or text is None else str(model(text))
             except Exception:
                 return None
 
         for batch in batches:
-            yield batch[keys].assign(unified=[unify(x) for x in batch["joined"]])
-
-    types = {f.name: f.dataType.simpleString() for f in joined.schema}
-    return joined.mapInPandas(run, ", ".join(f"{k} {types[k]}" for k in keys) + ", unified string")
+            yield batch[[*keys, "chunk_no"]].assign(partial=[unify(x, n) for x, n in zip(batch["partial"], batch["n"])])
+
+    level = partials.select(*keys, "chunk_no", "partial").dropna(subset=keys)
+    length = F.coalesce(F.length("partial"), F.lit(0)) + 1
+    while True:
+        sizes = level.groupBy(*keys).agg(F.sum(length).alias("chars"), F.max(length).alias("most"), F.count("*").alias("n")).where("n > 1")
+        runs = stage(sizes.select(*keys, F.when(F.col("chars") <= limit, F.col("n")).otherwise(F.greatest(F.lit(2), F.floor(limit / F.col("most")))).cast("bigint").alias("run")), "runs")
+        if runs.isEmpty():
+            return level.select(*keys, F.col("partial").alias("unified"))
+        ordered = F.array_sort(F.collect_list(F.struct("chunk_no", "partial")))
+        text = F.when(F.count("partial") == F.count("*"), F.array_join(F.transform(ordered, lambda e: e["partial"]), " "))
+        placed = level.join(runs, keys, "left").withColumn("place", F.floor(F.col("chunk_no") / F.coalesce("run", F.lit(1))).cast("bigint"))
+        joined = placed.groupBy(*keys, "place").agg(text.alias("partial"), F.count("*").alias("n")).withColumnRenamed("place", "chunk_no")
+        level = stage(joined.mapInPandas(run, schema), "unified")
 
 
 def two_level_summary(
     reviews: DataFrame, keys: Sequence[str] = GROUP, model_factory=None, limit: int = CHUNK_CHARS, salts: int = 16
 ) -> DataFrame:
-    """Summarise each chunk, then unify: a single partial stays, several are given to the model once more.
+    """Summarise each chunk, then unify: a single partial stays, several are given to the model once more, in levels if they are long.
 
     Without a model every chunk gets its extractive summary, of all its sentences, and several partials are unified in the same way; so they
     are if the model fails on them. A model that fails on a chunk is replaced by the first characters of that chunk.
