@@ -542,6 +542,7 @@ QUERIES = {
     "summary_one_category": lambda s, d: flat(s, d, category="SRC7"),
     "chunks": chunk_sizes,
     "two_level_summary": two_level,
+    "two_level_extractive": lambda s, d: flat(s, d, two_level=True),
     "summary_job": summary_job,
 }
 
