@@ -11,6 +11,7 @@ from __future__ import annotations
 import gzip
 import uuid
 from collections.abc import Iterator
+from html.entities import html5
 
 import pyarrow as pa
 from pyspark import TaskContext
@@ -20,11 +21,16 @@ from pyspark.sql import functions as F
 from starlens.llm.token_files import file_system
 from starlens.session import stage, staging_path
 
-#: Elements whose content is no text, those that end a line, and the entities that are decoded.
+#: Elements whose content is no text, those that end a line, and the entities that the SQL decodes; all others that HTML names are decoded too.
 HIDDEN = ["script", "style", "noscript", "template", "svg", "head"]
 NO_TEXT = "|".join(["<!--.*?-->", *(rf"<{x}(?:\s[^>]*)?>.*?</{x}\s*>" for x in HIDDEN)])
 BLOCKS = "address|article|aside|blockquote|br|dd|div|dl|dt|fieldset|figcaption|figure|footer|form|h[1-6]|header|hr|li|main|nav|ol|p|pre|section|table|tbody|td|tfoot|th|thead|tr|ul"
 ENTITIES = [("&nbsp;", "\u00a0"), ("&copy;", "©"), ("&middot;", "·"), ("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&apos;", "'"), ("&amp;", "&")]
+NAMES = dict(html5)
+COMMON_NAMES = {f"{x};": NAMES[f"{x};"] for x in ("amp", "nbsp", "quot", "lt", "gt", "copy", "middot", "apos")}
+SHORT = "|".join(sorted((x for x in NAMES if not x.endswith(";")), key=len, reverse=True))
+REFERENCE = rf"^(?:#[0-9]+;?|#[xX][0-9A-Fa-f]+;?|[A-Za-z][A-Za-z0-9]*;|(?:{SHORT}))"
+NO_MORE = "(?:(?<=;)|(?![=A-Za-z0-9]))"
 DATE = "1970-01-01T00:00:00Z"
 EOL = "\r\n"
 
@@ -37,10 +43,33 @@ def plain_text(html: str | Column) -> Column:
     return tidy(decoded(x))
 
 
-def decoded(x: Column) -> Column:
-    for name, value in ENTITIES:
-        x = F.replace(x, F.lit(name), F.lit(value))
-    return x
+def decoded(x: Column, attribute: bool = False) -> Column:
+    """Character references by number and by name, each read once; in an attribute a name without semicolon must not go on with = or a letter or digit."""
+    parts = F.split(x, "&")
+    rest = F.transform(F.slice(parts, F.lit(2), F.greatest(F.size(parts) - 1, F.lit(0))), lambda part: after_sign(part, attribute))
+    return F.when(F.contains(x, F.lit("&")), F.concat(parts[0], F.array_join(rest, ""))).otherwise(x)
+
+
+def character(code: Column) -> Column:
+    """The character of a number; numbers of none give U+FFFD, and 128 to 159 those of Windows-1252, as in HTML."""
+    windows = F.array(*(F.lit(bytes([x]).decode("cp1252", "ignore") or chr(x)) for x in range(128, 160)))
+    bad = (code == 0) | (code > 0x10FFFF) | code.between(0xD800, 0xDFFF)
+    plain = F.decode(F.unhex(F.lpad(F.hex(code), 8, "0")), "UTF-32")
+    return F.when(bad, F.lit("\ufffd")).when(code.between(128, 159), F.get(windows, (code - 128).cast("int"))).otherwise(plain)
+
+
+def after_sign(part: Column, attribute: bool) -> Column:
+    """What stands for an ampersand and the text behind it, which has no other one."""
+    found = F.regexp_extract(part, REFERENCE + (NO_MORE if attribute else ""), 0)
+    name = F.rtrim(F.lower(found), F.lit(";"))
+    digits = F.regexp_replace(name, "^#x?0*(?=.)", "")
+    code = F.when(F.length(digits) > 7, F.lit(0x110000)).when(name.startswith("#x"), F.conv(digits, 16, 10).cast("long")).otherwise(digits.cast("long"))
+    value = F.when(found == "", F.lit("&")).when(name.startswith("#"), character(code))
+    for known, sign in COMMON_NAMES.items():
+        value = value.when(found == known, F.lit(sign))
+    table = F.create_map(*(F.lit(v) for pair in NAMES.items() for v in pair))
+    value = value.otherwise(F.coalesce(F.try_element_at(table, found), F.concat(F.lit("&"), found)))
+    return F.concat(value, F.substr(part, F.length(found) + 1))
 
 
 def tidy(x: Column) -> Column:
@@ -55,7 +84,8 @@ def title(html: str | Column) -> Column:
 
 def links(html: str | Column) -> Column:
     """The targets of all links, in order, repeated ones too."""
-    return F.transform(F.regexp_extract_all(html, F.lit(r"(?i)<a\s[^>]*?href\s*=\s*[\"']([^\"']*)[\"']"), 1), decoded)
+    value = F.regexp_extract_all(html, F.lit(r"""(?i)<a\s[^>]*?href\s*=\s*("[^"]*"|'[^']*'|[^\s"'<>=`][^\s>]*)"""), 1)
+    return F.transform(value, lambda x: decoded(F.when(x.rlike("^[\"']"), F.substr(x, F.lit(2), F.length(x) - 2)).otherwise(x), attribute=True))
 
 
 def identifier(*parts: str | Column) -> Column:
