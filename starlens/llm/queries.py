@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from starlens.llm.bpe import bpe_decode, bpe_encode, digests
 from starlens.llm.common import small_batches
 from starlens.llm.contamination import contaminated
+from starlens.llm.fill_middle import fill_in_middle, restored
 from starlens.llm.jaccard import near_duplicates
 from starlens.llm.language import identify, page_evidence
 from starlens.llm.pii import KINDS, personal_data, written
@@ -145,6 +146,28 @@ SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DE
 FROM p QUALIFY rank <= 20
 """
 
+def op12_fill_in_middle(spark: SparkSession, folder: str) -> DataFrame:
+    made = fill_in_middle(table(spark, folder, "documents").select("doc_id", "text"))
+    whole = F.col("form") != "plain"
+    digest = lambda x: F.sha2(x.cast("binary"), 256)
+    return made.select(
+        "doc_id", "n", "form", F.when(whole, F.col("prefix_chars")).alias("prefix_chars"), F.when(whole, F.col("middle_chars")).alias("middle_chars"),
+        digest(F.col("output")).alias("output_sha256"), digest(restored(F.col("output"), F.col("form"))).alias("restored_sha256"),
+    )
+
+
+FILL_IN_MIDDLE_SQL = """
+WITH d AS (SELECT doc_id, coalesce(text, '') AS text, sha256('1:' || coalesce(CAST(doc_id AS VARCHAR), '')) AS x FROM documents),
+h AS (SELECT *, length(text) AS n, CAST('0x' || substr(x, 1, 8) AS BIGINT) AS h1, CAST('0x' || substr(x, 9, 8) AS BIGINT) AS h2,
+  CAST('0x' || substr(x, 17, 8) AS BIGINT) AS h3, CAST('0x' || substr(x, 25, 8) AS BIGINT) AS h4 FROM d),
+c AS (SELECT *, least(h1 % (n + 1), h2 % (n + 1)) AS a, greatest(h1 % (n + 1), h2 % (n + 1)) AS b,
+  CASE WHEN text = '' OR contains(text, '<P>') OR contains(text, '<S>') OR contains(text, '<M>') OR h3 % 100 >= 90 THEN 'plain' WHEN h4 % 100 < 20 THEN 'spm' ELSE 'psm' END AS form FROM h),
+o AS (SELECT *, CASE form WHEN 'plain' THEN text WHEN 'psm' THEN '<P>' || substring(text, 1, a) || '<S>' || substring(text, b + 1) || '<M>' || substring(text, a + 1, b - a)
+  ELSE '<S>' || substring(text, b + 1) || '<P>' || substring(text, 1, a) || '<M>' || substring(text, a + 1, b - a) END AS output FROM c)
+SELECT doc_id, CAST(n AS BIGINT) AS n, form, CASE WHEN form <> 'plain' THEN a END AS prefix_chars, CASE WHEN form <> 'plain' THEN b - a END AS middle_chars,
+  sha256(output) AS output_sha256, sha256(text) AS restored_sha256 FROM o
+"""
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_toxicity": op1_toxicity,
     "op2_quality": op2_quality,
@@ -156,9 +179,11 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_warc": op8_warc,
     "op9_contamination": op9_contamination,
     "op10_top_k": op10_top_k,
+    "op12_fill_in_middle": op12_fill_in_middle,
 }
 
 ORACLES: dict[str, str] = {
     "op8_warc": warc_sql(),
     "op10_top_k": TOP_K_SQL,
+    "op12_fill_in_middle": FILL_IN_MIDDLE_SQL,
 }
