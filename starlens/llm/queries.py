@@ -15,6 +15,7 @@ from starlens.llm.contamination import contaminated
 from starlens.llm.fill_middle import fill_in_middle, restored
 from starlens.llm.jaccard import near_duplicates
 from starlens.llm.language import identify, page_evidence
+from starlens.llm.negatives import hard_negatives
 from starlens.llm.pii import KINDS, personal_data, written
 from starlens.llm.quality import THRESHOLD, fit_quality, quality_scores
 from starlens.llm.token_files import read_token_files, write_token_files
@@ -168,6 +169,28 @@ SELECT doc_id, CAST(n AS BIGINT) AS n, form, CASE WHEN form <> 'plain' THEN a EN
   sha256(output) AS output_sha256, sha256(text) AS restored_sha256 FROM o
 """
 
+def op13_hard_negatives(spark: SparkSession, folder: str) -> DataFrame:
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    vectors = table(spark, folder, "embeddings").select("vec_id", "embedding", label.alias("label"))
+    return hard_negatives(vectors, F.col("vec_id") % 100 == 0)
+
+
+HARD_NEGATIVES_SQL = """
+WITH r AS (SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+    list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS e
+  FROM embeddings WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL AND len(embedding) > 0
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+v AS (SELECT * FROM r QUALIFY row_number() OVER (PARTITION BY vec_id ORDER BY label, e) = 1),
+s AS (SELECT a.vec_id AS anchor_id, c.vec_id, a.label = c.label AS same, CAST(list_dot_product(CAST(a.e AS DOUBLE[]), CAST(c.e AS DOUBLE[])) AS BIGINT) AS score
+  FROM v a JOIN v c ON a.vec_id <> c.vec_id AND len(a.e) = len(c.e) WHERE a.vec_id % 100 = 0),
+p AS (SELECT anchor_id, vec_id AS positive_id, score AS positive_score FROM s WHERE same
+  QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5)
+SELECT anchor_id, positive_id, CAST(row_number() OVER (PARTITION BY anchor_id, positive_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank,
+  vec_id AS negative_id, positive_score, score AS negative_score
+FROM p JOIN s USING (anchor_id) WHERE NOT same AND 30 * positive_score <= 100 * score AND 100 * score <= 90 * positive_score
+QUALIFY rank <= 10
+"""
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_toxicity": op1_toxicity,
     "op2_quality": op2_quality,
@@ -180,10 +203,12 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_contamination": op9_contamination,
     "op10_top_k": op10_top_k,
     "op12_fill_in_middle": op12_fill_in_middle,
+    "op13_hard_negatives": op13_hard_negatives,
 }
 
 ORACLES: dict[str, str] = {
     "op8_warc": warc_sql(),
     "op10_top_k": TOP_K_SQL,
     "op12_fill_in_middle": FILL_IN_MIDDLE_SQL,
+    "op13_hard_negatives": HARD_NEGATIVES_SQL,
 }
