@@ -13,6 +13,7 @@ from starlens.llm.bpe import bpe_decode, bpe_encode, digests
 from starlens.llm.common import small_batches
 from starlens.llm.contamination import contaminated
 from starlens.llm.fill_middle import fill_in_middle, restored
+from starlens.llm.html_text import main_text
 from starlens.llm.jaccard import near_duplicates
 from starlens.llm.language import identify, page_evidence
 from starlens.llm.negatives import hard_negatives
@@ -147,6 +148,23 @@ SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DE
 FROM p QUALIFY rank <= 20
 """
 
+def op11_main_text(spark: SparkSession, folder: str) -> DataFrame:
+    pages = table(spark, folder, "pages").select("page_id", "url", "html")
+    return main_text(pages).select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))
+
+
+#: The blocks of the article element; enough for pages that mark it and put nothing else into it, as the given ones do.
+MAIN_TEXT_SQL = r"""
+WITH a AS (SELECT page_id, url, regexp_replace(regexp_replace(coalesce(html, ''), '<!--.*?-->', '', 'gs'), '<(script|style)[ >].*?</(script|style)>', '', 'gs') AS page FROM pages),
+b AS (SELECT page_id, url, unnest(string_split_regex(regexp_extract(page, '<article>(.*?)</article>', 1, 's'), '</?(?:h1|p)>')) AS block,
+  generate_subscripts(string_split_regex(regexp_extract(page, '<article>(.*?)</article>', 1, 's'), '</?(?:h1|p)>'), 1) AS i FROM a),
+c AS (SELECT page_id, url, i, regexp_replace(regexp_replace(block, '<br>', ' ', 'g'), '<[^>]*>', '', 'g') AS x FROM b),
+d AS (SELECT page_id, url, i, trim(regexp_replace(replace(regexp_replace(replace(replace(replace(x, '&quot;', '"'), '&lt;', '<'), '&gt;', '>'), '&amp;?', chr(1), 'g'), chr(1), '&'), '\s+', ' ', 'g')) AS x FROM c),
+e AS (SELECT page_id, url, coalesce(string_agg(x, chr(10) ORDER BY i) FILTER (x <> ''), '') AS text FROM d GROUP BY page_id, url)
+SELECT page_id, url, text, CAST(length(text) AS BIGINT) AS n_chars FROM e
+"""
+
+
 def op12_fill_in_middle(spark: SparkSession, folder: str) -> DataFrame:
     made = fill_in_middle(table(spark, folder, "documents").select("doc_id", "text"))
     whole = F.col("form") != "plain"
@@ -202,6 +220,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_warc": op8_warc,
     "op9_contamination": op9_contamination,
     "op10_top_k": op10_top_k,
+    "op11_main_text": op11_main_text,
     "op12_fill_in_middle": op12_fill_in_middle,
     "op13_hard_negatives": op13_hard_negatives,
 }
@@ -209,6 +228,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 ORACLES: dict[str, str] = {
     "op8_warc": warc_sql(),
     "op10_top_k": TOP_K_SQL,
+    "op11_main_text": MAIN_TEXT_SQL,
     "op12_fill_in_middle": FILL_IN_MIDDLE_SQL,
     "op13_hard_negatives": HARD_NEGATIVES_SQL,
 }
