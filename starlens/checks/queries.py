@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from dataclasses import replace
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
@@ -299,63 +300,59 @@ def baseline_and_tuned(spark, d):
     return (named.where(metrics["model"] == plain).drop("ordinal"), named.where(metrics["model"] != plain).drop("ordinal"))
 
 
+def bounded_train(spark, d, limit=FIT_ROWS):
+    """The corpus, its bounded training rows and its test rows, with TF-IDF vectors."""
+    c = corpus(spark, d)
+    train, test = trn.ml_tables(c, "TF-IDF")
+    return c, trn.bounded_rows(train, limit), test
+
+
 def family_predictions(name):
     def run(spark, d):
-        c = corpus(spark, d)
-        train, test = trn.ml_tables(c, "TF-IDF")
-        if name != "Naive Bayes":
-            train = trn.bounded_rows(train, FIT_ROWS)
+        _, train, test = bounded_train(spark, d, None if name == "Naive Bayes" else FIT_ROWS)
         estimator = mod.model_families(train.count())[name]
+        if isinstance(estimator, mod.Boosted):
+            estimator = replace(estimator, by_level=False)
         return mod.as_predictions(trn.fit_family(name, estimator, train).transform(test))
     return run
 
 
-def forest(spark, d, boost=None, learner=None):
-    c = corpus(spark, d)
-    train, test = trn.ml_tables(c, "TF-IDF")
-    weighted = trn.training_weights(trn.bounded_rows(train, FIT_ROWS), "boosted" if boost else "balanced", boost or 1.0)
-    return c, (learner or mod.random_forest()).fit(weighted), test
-
-
 def feature_importances(spark, d):
-    c, model, _ = forest(spark, d)
+    c, train, _ = bounded_train(spark, d)
+    model = trn.fit_family("Random Forest", mod.random_forest(), train)
     return trn.top_importances(model, c.vocab).select("term", F.round("importance", 6).alias("importance"))
 
 
 def boosted_refit(spark, d):
     """Both learners fitted anew with the Neutral class boosted twice."""
-    parts = []
-    for name, learner in (("Random Forest", mod.random_forest()), ("XGBoost", mod.boosted_trees(200, 6, 0.1))):
-        _, model, test = forest(spark, d, NEUTRAL_BOOST * NEUTRAL_REBOOST, learner)
-        parts.append(met.confusion_matrix(mod.as_predictions(model.transform(test))).withColumn("model", F.lit(name)))
+    _, train, test = bounded_train(spark, d)
+    table = mod.training_table(trn.training_weights(train, "boosted", NEUTRAL_BOOST * NEUTRAL_REBOOST))
+    forest, boosted = replace(mod.random_forest(), row_weights=True), mod.boosted_trees(200, 6, 0.1)
+    models = mod.fit_tables([(table, forest), (table, boosted)], by_level=False)
+    parts = [met.confusion_matrix(mod.as_predictions(m.transform(test))).withColumn("model", F.lit(name)) for name, m in zip(("Random Forest", "XGBoost"), models, strict=True)]
     return parts[0].unionByName(parts[1])
 
 
 def forest_diagnostics(spark, d):
-    _, model, test = forest(spark, d)
+    _, train, test = bounded_train(spark, d)
+    model = trn.fit_family("Random Forest", mod.random_forest(), train)
     rows = sco.with_sentiment_columns(model.transform(test).withColumnRenamed("sentiment", "actual"), ["review_id", "actual"])
     return rep.mean_probabilities(rows)
 
 
-def grid_result(validator, test):
+def grid_result(found, test):
     """(name, value): parameters and score of the best point, and the confusion matrix of the best model, fitted anew, over the whole test set."""
-    point = mod.best_point(validator)
-    cells = met.confusion_matrix(mod.as_predictions(validator.bestModel.transform(test)))
-    found = test.sparkSession.createDataFrame(sorted(point.items()), "name string, value double")
-    return found.unionByName(cells.select(F.concat_ws("_", F.lit("n"), F.lower("actual"), F.lower("predicted")).alias("name"), F.col("n").cast("double").alias("value")))
+    cells = met.confusion_matrix(mod.as_predictions(found.model.transform(test)))
+    point = test.sparkSession.createDataFrame(sorted(found.best_point().items()), "name string, value double")
+    return point.unionByName(cells.select(F.concat_ws("_", F.lit("n"), F.lower("actual"), F.lower("predicted")).alias("name"), F.col("n").cast("double").alias("value")))
 
 
 def grid_search(kind):
     def run(spark, d):
-        train, test = trn.ml_tables(corpus(spark, d), "TF-IDF")
-        folded = stage(smp.cross_folds(trn.training_weights(trn.bounded_rows(train, GRID_ROWS), "boosted")).coalesce(1), "folds", None)
-        if kind == "forest":
-            estimator = mod.random_forest()
-            grid = mod.forest_grid(estimator)
-        else:
-            estimator = mod.boosted_trees()
-            grid = mod.boosted_grid(estimator)
-        return grid_result(mod.grid_search(estimator, grid, folded), test)
+        _, train, test = bounded_train(spark, d, GRID_ROWS)
+        folded = stage(smp.cross_folds(trn.training_weights(train, "boosted")), "folds")
+        found = mod.forest_grid(folded) if kind == "forest" else mod.boosted_grid(folded, by_level=False)
+        return grid_result(found, test)
     return run
 
 

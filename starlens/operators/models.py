@@ -1,18 +1,17 @@
-"""Classifier families on MLlib, with the parameters of the comparison."""
+"""Classifier families with the parameters of the comparison: MLlib's where it has the method, else the trees and machines of this package."""
 
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import dataclass, replace
 
+import numpy as np
+import pyarrow as pa
 from pyspark import keyword_only
 from pyspark.ml import Pipeline, Transformer
-from pyspark.ml.classification import (
-    GBTClassifier, LinearSVC, LogisticRegression, NaiveBayes, OneVsRest, RandomForestClassifier,
-)
-from pyspark.ml.evaluation import Evaluator
+from pyspark.ml.classification import LogisticRegression, NaiveBayes
 from pyspark.ml.feature import CountVectorizer
 from pyspark.ml.param.shared import HasInputCol, HasOutputCol
-from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
 from pyspark.ml.util import DefaultParamsReadable, DefaultParamsWritable
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -20,10 +19,15 @@ from pyspark.sql import functions as F
 from starlens.constants import MAX_DOCUMENT_SHARE, MIN_DOCUMENTS, SEED, SENTIMENTS, VOCABULARY_SIZE
 from starlens.functions.labels import label_name
 from starlens.functions.text import ngrams, processed_tokens
+from starlens.operators.ensembles import BoostedModel, Boosting, FirstOrder, Fit, ForestModel, Gini, SecondOrder, boost, boost_side_by_side, forest
 from starlens.operators.metrics import summary_metrics
+from starlens.operators.svm import LinearSvm
+from starlens.operators.trees import Binned, Block, binned
+from starlens.session import received, sent
 
 COLUMNS = {"featuresCol": "features", "labelCol": "label", "weightCol": "weight"}
-MAX_DEPTH = 30  # the deepest tree MLlib grows
+#: More levels than any tree has.
+ANY_DEPTH = 1 << 30
 
 
 def naive_bayes():
@@ -36,35 +40,96 @@ def logistic_regression(rows: int, iterations: int = 1000):
                               standardization=False, **COLUMNS)
 
 
-def linear_svm(rows: int, iterations: int = 10000):
-    svc = LinearSVC(maxIter=iterations, regParam=1.0 / max(rows, 1), standardization=False, **COLUMNS)
-    return OneVsRest(classifier=svc, parallelism=len(SENTIMENTS), **COLUMNS)
+def linear_svm() -> LinearSvm:
+    return LinearSvm()
 
 
-def random_forest(trees: int = 400, depth: int = MAX_DEPTH):
-    return RandomForestClassifier(numTrees=trees, maxDepth=depth, seed=SEED, **COLUMNS)
+def training_table(train: DataFrame) -> Binned:
+    """The binned form of rows with ``review_id, label, features`` and, if they are there, ``copies``, ``weight`` and ``fold``."""
+    have = lambda name: F.col(name) if name in train.columns else F.lit(1)
+    fold = [F.col("fold")] if "fold" in train.columns else []
+    return binned(train.select(
+        F.xxhash64("review_id").alias("key"), F.col("label").cast("int").alias("label"), have("copies").cast("int").alias("copies"),
+        have("weight").cast("double").alias("weight"), "features", *fold,
+    ))
 
 
-def boosted_trees(rounds: int = 200, depth: int = 8, rate: float = 0.2):
-    gbt = GBTClassifier(maxIter=rounds, maxDepth=depth, stepSize=rate, seed=SEED, **COLUMNS)
-    return OneVsRest(classifier=gbt, parallelism=len(SENTIMENTS), **COLUMNS)
+@dataclass(frozen=True)
+class Boosted:
+    """Softmax boosting; ``second_order`` for gradients and Hessians with the rows' weights, else residuals with their copies.
 
+    ``by_level`` grows on any number of rows with one job a level; without it a task grows the whole model, on at most ``ensembles.TASK_ROWS`` rows.
+    """
 
-def gradient_boosting(rounds: int = 100, depth: int = 6, rate: float = 0.1):
-    return boosted_trees(rounds, depth, rate)
+    rounds: int
+    depth: int
+    rate: float
+    second_order: bool = True
+    by_level: bool = True
 
+    def learner(self, table: Binned, fits: Sequence[Fit] = ()) -> Boosting:
+        fits = fits or [Fit(self.depth, self.rate)]
+        if self.second_order:
+            return SecondOrder(fits, np.zeros(len(SENTIMENTS)))
+        return FirstOrder(fits, np.log(np.maximum(table.copies / max(table.copies.sum(), 1), 1e-15)))
 
-def extra_trees(trees: int = 100, depth: int = 10):
-    """Nearest forest in MLlib: every tree sees all rows, splits see a random feature subset."""
-    return RandomForestClassifier(numTrees=trees, maxDepth=depth, bootstrap=False, featureSubsetStrategy="sqrt",
-                                  seed=SEED, **COLUMNS)
+    def fit_table(self, table: Binned) -> BoostedModel:
+        learner = self.learner(table)
+        return (boost(table, learner, self.rounds) if self.by_level else boost_side_by_side([(table, learner, self.rounds)]))[0]
 
+    def fit(self, train: DataFrame) -> BoostedModel:
+        return self.fit_table(training_table(train))
 
-# Which row weight a model family trains with: plain copies of over-sampled rows, these
-# times balanced class weights, or these times weights with the Neutral class boosted.
+
+def boosted_trees(rounds: int = 200, depth: int = 8, rate: float = 0.2) -> Boosted:
+    return Boosted(rounds, depth, rate)
+
+
+def gradient_boosting(rounds: int = 100, depth: int = 6, rate: float = 0.1) -> Boosted:
+    return Boosted(rounds, depth, rate, second_order=False)
+
+
+@dataclass(frozen=True)
+class Forest:
+    """Trees on bootstrap draws, or extremely randomised ones on all rows.
+
+    Classes are balanced within each tree's draw, or weigh what the rows' ``weight`` says with ``row_weights``.
+    """
+
+    trees: int
+    depth: int = ANY_DEPTH
+    least_split: int = 2
+    least_leaf: int = 1
+    extra: bool = False
+    row_weights: bool = False
+
+    def fit_table(self, table: Binned) -> ForestModel:
+        weights = table.weights / np.maximum(table.copies, 1) if self.row_weights else None
+        fits = [Fit(self.depth, least=self.least_leaf)] * self.trees
+        learner = Gini(tree_seeds(self.trees), fits, not self.extra, self.extra, self.least_split)
+        return forest(table, learner, max(1, int(table.bins.size ** 0.5)), weights)
+
+    def fit(self, train: DataFrame) -> ForestModel:
+        return self.fit_table(training_table(train))
+
+
+def tree_seeds(count: int) -> list[int]:
+    return [SEED * 1_000_003 + i for i in range(count)]
+
+
+def random_forest(trees: int = 400, depth: int | None = None) -> Forest:
+    return Forest(trees, depth or ANY_DEPTH)
+
+
+def extra_trees(trees: int = 100, depth: int = 10) -> Forest:
+    return Forest(trees, depth, extra=True)
+
+
+# Which row weight a model family trains with: plain copies of over-sampled rows, these times balanced class weights, or these times
+# weights with the Neutral class boosted. Forests balance the copies themselves.
 WEIGHTING = {
-    "Naive Bayes": "copies", "Logistic Regression": "balanced", "SVM": "balanced", "Random Forest": "balanced",
-    "XGBoost": "boosted", "Gradient Boosting": "copies", "Extra Trees": "balanced",
+    "Naive Bayes": "copies", "Logistic Regression": "balanced", "SVM": "balanced", "Random Forest": "copies",
+    "XGBoost": "boosted", "Gradient Boosting": "copies", "Extra Trees": "copies",
 }
 
 
@@ -73,7 +138,7 @@ def model_families(rows: int) -> dict:
     return {
         "Naive Bayes": naive_bayes(),
         "Logistic Regression": logistic_regression(rows),
-        "SVM": linear_svm(rows),
+        "SVM": linear_svm(),
         "Random Forest": random_forest(),
         "XGBoost": boosted_trees(),
         "Gradient Boosting": gradient_boosting(),
@@ -81,54 +146,131 @@ def model_families(rows: int) -> dict:
     }
 
 
+def fit_tables(jobs: Sequence[tuple[Binned, Boosted | Forest]], by_level: bool = True) -> list:
+    """Models of several families on binned tables, in order; without ``by_level`` the boosted ones grow side by side in one job."""
+    models = {}
+    if not by_level:
+        places = [i for i, (_, family) in enumerate(jobs) if isinstance(family, Boosted)]
+        if places:
+            grown = boost_side_by_side([(jobs[i][0], jobs[i][1].learner(jobs[i][0]), jobs[i][1].rounds) for i in places])
+            models = dict(zip(places, grown, strict=True))
+    return [models[i] if i in models else family.fit_table(table) for i, (table, family) in enumerate(jobs)]
+
+
 def as_predictions(predicted: DataFrame) -> DataFrame:
     return predicted.select(
         "review_id", F.col("sentiment").alias("actual"), label_name(F.col("prediction")).alias("predicted")
     )
 
 
-class MacroF1(Evaluator):
-    """Macro F1 of a prediction table (MLlib's own ``f1`` is the weighted one)."""
-
-    def _evaluate(self, dataset: DataFrame) -> float:
-        row = summary_metrics(as_predictions(dataset)).first()
-        return float(row["f1_macro"])
-
-    def isLargerBetter(self) -> bool:
-        return True
-
-
-def boosted_grid(estimator: OneVsRest, rounds: Sequence[int] = (100, 200), depths: Sequence[int] = (4, 6, 8),
-                 rates: Sequence[float] = (0.05, 0.1, 0.2)) -> list:
-    """Parameter maps for the learner inside a one-vs-rest estimator, which passes them on to it."""
-    inner = estimator.getClassifier()
-    return (
-        ParamGridBuilder().addGrid(inner.maxIter, list(rounds)).addGrid(inner.maxDepth, list(depths))
-        .addGrid(inner.stepSize, list(rates)).build()
-    )
-
-
-def forest_grid(estimator: RandomForestClassifier, trees: Sequence[int] = (200, 400),
-                depths: Sequence[int] = (MAX_DEPTH, 20), leaves: Sequence[int] = (1, 2)) -> list:
-    """Unlimited depth and 40 both mean the deepest trees MLlib grows; a minimum split size does not exist there."""
-    return (
-        ParamGridBuilder().addGrid(estimator.numTrees, list(trees)).addGrid(estimator.maxDepth, list(depths))
-        .addGrid(estimator.minInstancesPerNode, list(leaves)).build()
-    )
-
-
-def grid_search(estimator, grid: list, folded: DataFrame, folds: int = 3, parallelism: int = 4):
-    """Cross-validation by macro F1 over a given ``fold`` column."""
-    validator = CrossValidator(estimator=estimator, estimatorParamMaps=grid, evaluator=MacroF1(), numFolds=folds,
-                               foldCol="fold", parallelism=parallelism)
-    return validator.fit(folded)
-
-
-def best_point(validator) -> dict[str, float]:
-    """Parameters and mean score of the best point of a fitted grid search."""
-    scores = validator.avgMetrics
-    best = max(range(len(scores)), key=scores.__getitem__)
-    return {p.name: float(v) for p, v in validator.getEstimatorParamMaps()[best].items()} | {"f1_macro": float(scores[best])}
+# --- grid searches ----------------------------------------------------------------------
+
+
+@dataclass
+class GridResult:
+    """Mean macro F1 over the folds of each point, and the model of the best point on all rows (the first of equal scores)."""
+
+    points: list[dict[str, float]]
+    scores: list[float]
+    model: object
+
+    @property
+    def best(self) -> int:
+        return int(np.argmax(self.scores))
+
+    def best_point(self) -> dict[str, float]:
+        return self.points[self.best] | {"f1_macro": self.scores[self.best]}
+
+
+def fold_scores(table: Binned, variants: dict[int, list]) -> list[float]:
+    """Mean macro F1 of each point; ``variants`` has, for each held-out fold, one function from binned cells to classes for each point."""
+    task = sent(table.blocks.sparkSession, (table.bins, variants))
+    names = list(SENTIMENTS)
+
+    def run(batches):
+        bins, known = received(task)
+        for batch in batches:
+            for i in range(batch.num_rows):
+                block = Block(batch, i, bins)
+                cells = block.dense()
+                for fold, points in known.items():
+                    at = np.flatnonzero(block.fold == fold)
+                    cache: dict = {}
+                    for number, point in enumerate(points):
+                        guess = point(cells[at], cache)
+                        columns = [np.full(len(at), number), np.full(len(at), fold)]
+                        yield pa.RecordBatch.from_arrays(
+                            [*(pa.array(c.astype(np.int32)) for c in columns), pa.array([names[k] for k in block.label[at]], pa.string()), pa.array([names[k] for k in guess], pa.string())],
+                            names=["point", "fold", "actual", "predicted"],
+                        )
+
+    predictions = table.blocks.mapInArrow(run, "point int, fold int, actual string, predicted string")
+    scores = summary_metrics(predictions, ("point", "fold")).groupBy("point").agg(F.avg("f1_macro").alias("score"))
+    found = {row.point: row.score for row in scores.collect()}
+    return [float(found[i]) for i in range(len(found))]
+
+
+@dataclass
+class StagedRounds:
+    """Classes by a boosted model after some of its rounds."""
+
+    model: BoostedModel
+    rounds: int
+
+    def __call__(self, cells: np.ndarray, cache: dict) -> np.ndarray:
+        return self.model.probabilities(cells, self.rounds).argmax(axis=1)
+
+
+@dataclass
+class StagedForest:
+    """Classes by the first trees of a forest, cut at a depth and a least number of rows to split; walks are shared between points."""
+
+    name: tuple
+    model: ForestModel
+    trees: int
+    depth: int
+
+    def __call__(self, cells: np.ndarray, cache: dict) -> np.ndarray:
+        walk = (*self.name, self.depth)
+        if walk not in cache:
+            cache[walk] = self.model.trees.value[self.model.trees.walk(cells, depth=self.depth)]
+        return cache[walk][:, : self.trees].mean(axis=1).argmax(axis=1)
+
+
+def boosted_grid(train: DataFrame, rounds: Sequence[int] = (100, 200), depths: Sequence[int] = (4, 6, 8), rates: Sequence[float] = (0.05, 0.1, 0.2), by_level: bool = True) -> GridResult:
+    """All points over a given ``fold`` column: a fit of many rounds holds those of fewer, so there is one fit for each depth, rate and fold, all side by side on one binned table."""
+    table = training_table(train)
+    folds = [row.fold for row in train.select("fold").distinct().orderBy("fold").collect()]
+    shapes = [(depth, rate) for depth in depths for rate in rates]
+    family = Boosted(max(rounds), max(depths), max(rates), by_level=by_level)
+    learner = family.learner(table, [Fit(depth, rate, fold) for depth, rate in shapes for fold in folds])
+    models = boost(table, learner, max(rounds)) if by_level else boost_side_by_side([(table, learner, max(rounds))])
+    points = [{"rounds": float(n), "depth": float(depth), "rate": float(rate)} for n in rounds for depth, rate in shapes]
+    variants = {fold: [StagedRounds(models[i * len(folds) + f], n) for n in rounds for i in range(len(shapes))] for f, fold in enumerate(folds)}
+    scores = fold_scores(table, variants)
+    best = points[int(np.argmax(scores))]
+    return GridResult(points, scores, replace(family, rounds=int(best["rounds"]), depth=int(best["depth"]), rate=best["rate"]).fit_table(table))
+
+
+def forest_grid(train: DataFrame, trees: Sequence[int] = (200, 400), depths: Sequence[int | None] = (None, 20, 40), splits: Sequence[int] = (2, 5), leaves: Sequence[int] = (1, 2)) -> GridResult:
+    """All points over a given ``fold`` column: smaller, shallower and earlier stopped forests are part of the largest, so all trees of all leaf sizes and folds grow in one set."""
+    table = training_table(train)
+    folds = [row.fold for row in train.select("fold").distinct().orderBy("fold").collect()]
+    most = max(trees)
+    shapes = [(leaf, fold) for leaf in leaves for fold in folds]
+    fits = [Fit(ANY_DEPTH, fold=fold, least=leaf) for leaf, fold in shapes for _ in range(most)]
+    features = max(1, int(table.bins.size ** 0.5))
+    whole = forest(table, Gini(tree_seeds(most) * len(shapes), fits, True, least_split=min(splits)), features)
+    models = {}
+    for i, shape in enumerate(shapes):
+        part = ForestModel(whole.trees.part(np.arange(i * most, (i + 1) * most)), table.bins)
+        models |= {(*shape, split): part.stopped(least_split=split).walkable() for split in splits}
+    grid = [(n, depth or ANY_DEPTH, split, leaf) for n in trees for depth in depths for split in splits for leaf in leaves]
+    points = [{"trees": float(n), "depth": float(0 if depth == ANY_DEPTH else depth), "least_split": float(split), "least_leaf": float(leaf)} for n, depth, split, leaf in grid]
+    variants = {fold: [StagedForest((leaf, split), models[leaf, fold, split], n, depth) for n, depth, split, leaf in grid] for fold in folds}
+    scores = fold_scores(table, variants)
+    n, depth, split, leaf = grid[int(np.argmax(scores))]
+    return GridResult(points, scores, Forest(n, depth, split, leaf).fit_table(table))
 
 
 class ReviewTerms(Transformer, HasInputCol, HasOutputCol, DefaultParamsReadable, DefaultParamsWritable):

@@ -11,10 +11,11 @@ from pyspark.sql import functions as F
 from starlens.constants import NEUTRAL_BOOST, NEUTRAL_REBOOST, VOCABULARY_SIZE
 from starlens.functions.labels import label_code
 from starlens.operators import naive_bayes
+from starlens.operators.ensembles import TASK_ROWS
 from starlens.operators.features import feature_rows, ml_vectors, vocabulary, with_terms
 from starlens.operators.filters import usable, with_processed_tokens, with_sentiment
 from starlens.operators.metrics import summary_metrics
-from starlens.operators.models import WEIGHTING, as_predictions, model_families
+from starlens.operators.models import WEIGHTING, Boosted, Forest, as_predictions, fit_tables, model_families, training_table
 from starlens.operators.sampling import class_weights, quota_cut, stratified_split, with_copies, within_cut
 from starlens.session import stage
 
@@ -124,23 +125,33 @@ def compare_models(corpus: Corpus, names=None, fit_rows: int | None = None) -> D
     """Metrics of all families (or those in ``names``) with both vectorizers.
 
     ``fit_rows`` bounds the labelled rows that the models are fitted on; every
-    model has its full number of trees, rounds and iterations.
+    model has its full number of trees, rounds and iterations. Trees read one
+    binned table per vectorizer; with a bound that a task may hold, the boosted
+    models of both vectorizers grow side by side.
 
-    One fit per model; each reads the staged vectors, and the metrics of all
-    models come from one aggregation over the union of their predictions.
+    The metrics of all models come from one aggregation over the union of their
+    predictions.
     """
-    frames, ordinal = [], 0
-    for vectorizer in VECTORIZERS:
+    tables, fitted, jobs = [], {}, []
+    for v, vectorizer in enumerate(VECTORIZERS):
         train, test = ml_tables(corpus, vectorizer)
         train = bounded_rows(train, fit_rows)
-        for name, estimator in model_families(train.count()).items():
-            if names is None or name in names:
-                predicted = as_predictions(fit_family(name, estimator, train).transform(test))
-                frames.append(predicted.select(
-                    F.lit(vectorizer).alias("vectorizer"), F.lit(name).alias("model"), F.lit(ordinal).alias("ordinal"),
-                    "actual", "predicted",
-                ))
-            ordinal += 1
+        tables.append(test)
+        families = {n: f for n, f in model_families(train.count()).items() if names is None or n in names}
+        grown = {n: f for n, f in families.items() if isinstance(f, (Boosted, Forest))}
+        if grown:
+            table = training_table(training_weights(train, "boosted"))
+            jobs += [((v, name), table, family) for name, family in grown.items()]
+        fitted |= {(v, name): fit_family(name, family, train) for name, family in families.items() if name not in grown}
+    by_level = fit_rows is None or fit_rows > TASK_ROWS
+    models = fit_tables([(table, family) for _, table, family in jobs], by_level)
+    fitted |= {place: model for (place, _, _), model in zip(jobs, models, strict=True)}
+    frames, order = [], list(WEIGHTING)
+    for (v, name), model in sorted(fitted.items(), key=lambda x: (x[0][0], order.index(x[0][1]))):
+        ordinal = v * len(order) + order.index(name)
+        frames.append(as_predictions(model.transform(tables[v])).select(
+            F.lit(VECTORIZERS[v]).alias("vectorizer"), F.lit(name).alias("model"), F.lit(ordinal).alias("ordinal"), "actual", "predicted",
+        ))
     return summary_metrics(reduce(DataFrame.unionByName, frames), MODEL_KEYS)
 
 

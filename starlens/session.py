@@ -3,11 +3,18 @@
 from __future__ import annotations
 
 import os
+import pickle
 import tempfile
 import uuid
 
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession
 
+import starlens
+
+# Functions of this package travel to the workers by value, which need not have it installed.
+cloudpickle.register_pickle_by_value(starlens)
+
 SETTINGS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
@@ -35,6 +42,15 @@ def local_session(cores: int | str = 8, shuffle_partitions: int = 8, memory: str
     return session
 
 
+def sent(spark: SparkSession, value):
+    """A broadcast of a value of this package's classes, for ``received`` in the workers."""
+    return spark.sparkContext.broadcast(cloudpickle.dumps(value))
+
+
+def received(broadcast):
+    return pickle.loads(broadcast.value)
+
+
 def staging_root(spark: SparkSession) -> str:
     """The shared folder for intermediate tables: ``spark.checkpoint.dir``.
 

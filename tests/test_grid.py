@@ -18,11 +18,20 @@ def test_grid_has_point_score_and_whole_matrix(spark, tables):
     corpus = training.prepare(labelled_reviews(spark, tables))
     train, test = training.ml_tables(corpus, "TF-IDF")
     assert queries.GRID_ROWS >= 1000 and queries.FIT_ROWS >= 1000
-    folded = sampling.cross_folds(training.training_weights(training.bounded_rows(train, queries.GRID_ROWS), "boosted")).coalesce(1).cache()
+    folded = sampling.cross_folds(training.training_weights(training.bounded_rows(train, queries.GRID_ROWS), "boosted")).cache()
     assert folded.count() == corpus.train.count()
-    learner = models.random_forest(2, 3)
-    validator = models.grid_search(learner, models.forest_grid(learner, trees=(2,), depths=(2, 3), leaves=(1,)), folded)
-    found = {x["name"]: x["value"] for x in queries.grid_result(validator, test).collect()}
     cells = {f"n_{a}_{b}".lower() for a in SENTIMENTS for b in SENTIMENTS}
-    assert set(found) == cells | {"numTrees", "maxDepth", "minInstancesPerNode", "f1_macro"}
-    assert sum(found[c] for c in cells) == test.count() == corpus.test.count()
+    forest = models.forest_grid(folded, trees=(2,), depths=(2, 3), splits=(2,), leaves=(1,))
+    boosted = models.boosted_grid(folded, rounds=(1, 2), depths=(2,), rates=(0.5,), by_level=False)
+    for result, names in ((forest, {"trees", "depth", "least_split", "least_leaf"}), (boosted, {"rounds", "depth", "rate"})):
+        found = {x["name"]: x["value"] for x in queries.grid_result(result, test).collect()}
+        assert set(found) == cells | names | {"f1_macro"}
+        assert sum(found[c] for c in cells) == test.count() == corpus.test.count()
+
+
+def test_every_family_is_compared(spark, tables):
+    """All families in order with both vectorizers, small learners in their places."""
+    corpus = training.prepare(labelled_reviews(spark, tables))
+    out = training.compare_models(corpus, names=["Naive Bayes", "SVM", "Extra Trees"], fit_rows=60).orderBy("ordinal").collect()
+    assert [(r.vectorizer, r.model) for r in out] == [(v, m) for v in training.VECTORIZERS for m in ("Naive Bayes", "SVM", "Extra Trees")]
+    assert all(0 <= r.accuracy <= 1 and 0 <= r.f1_macro <= 1 for r in out)

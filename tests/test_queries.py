@@ -81,12 +81,4 @@ def test_forest_and_evaluator(corpus):
     predicted = fitted.transform(test)
     table = metrics.confusion_matrix(models.as_predictions(predicted))
     assert table.agg(F.sum("n")).first()[0] == corpus.test.count()
-    assert 0 <= models.MacroF1().evaluate(predicted) <= 1
     assert training.top_importances(fitted, corpus.vocab).count() <= 20
-
-
-def test_grid_reaches_the_inner_learner(corpus):
-    estimator = models.boosted_trees()
-    grid = models.boosted_grid(estimator, rounds=(1,), depths=(2,), rates=(0.5,))
-    inner = estimator.copy(grid[0]).getClassifier()
-    assert (inner.getMaxIter(), inner.getMaxDepth(), inner.getStepSize()) == (1, 2, 0.5)
