@@ -11,6 +11,7 @@ from starlens.constants import (
     NEUTRAL_REBOOST, PAD_ID, PARTIAL_CHARS, REVIEWS_PER_RATING, SAMPLE_ROWS, SENTIMENTS, SEP_ID, SPACE_CLASS,
     SPLIT_WORDS, STOP_WORDS, TOP_CATEGORIES, UNK_ID, VOCABULARY_SIZE, WHITESPACE,
 )
+from starlens.operators.lemmas import DETACHMENTS, LEAST_FORM, LEAST_LEMMA, LEAST_TEXTS
 
 STOP = "(" + ", ".join("'" + w.replace("'", "''") + "'" for w in STOP_WORDS) + ")"
 CLASSES = "(VALUES ('Negative', 0), ('Neutral', 1), ('Positive', 2))"
@@ -49,6 +50,21 @@ def lemma(w):
       ELSE regexp_replace({w}, 's$', '') END"""
 
 
+def lexicon_sql():
+    """CTEs: words with the number of their texts, and the forms that change with their lemmas."""
+    rules = " UNION ALL ".join(
+        f"SELECT word, regexp_replace(word, '{ending}$', '{new}') AS c FROM known WHERE ends_with(word, '{ending}')"
+        + (f" AND length(word) >= {LEAST_FORM} AND NOT ends_with(word, 'ss')" if ending == "s" else "") for ending, new in DETACHMENTS
+    )
+    fixed = ", ".join(f"('{form}', '{base}')" for form, base in IRREGULAR_NOUNS.items())
+    return f"""known AS (SELECT word, count(DISTINCT doc_id) AS n_texts FROM (SELECT doc_id, unnest({content('text')}) AS word FROM documents) WHERE word <> '' GROUP BY word),
+      tried AS ({rules} UNION ALL SELECT word, word FROM known),
+      irregular AS (SELECT * FROM (VALUES {fixed}) AS v(word, lemma)),
+      regular AS (SELECT t.word, first(t.c ORDER BY length(t.c), t.c) AS lemma FROM tried t JOIN known k ON k.word = t.c AND k.n_texts >= {LEAST_TEXTS}
+        WHERE length(t.c) >= {LEAST_LEMMA} AND t.word NOT IN (SELECT word FROM irregular) GROUP BY t.word),
+      changed AS (SELECT k.word, coalesce(i.lemma, r.lemma, k.word) AS lemma, k.n_texts FROM known k LEFT JOIN irregular i USING (word) LEFT JOIN regular r USING (word))"""
+
+
 def processed(x):
     return f"list_transform({content(x)}, lambda w: {lemma('w')})"
 
@@ -359,6 +375,10 @@ def oracle_sql() -> dict[str, str]:
         "tokens": f"SELECT doc_id AS review_id, array_to_string({words('text')}, '|') AS tokens FROM documents",
         "content_words": f"SELECT doc_id AS review_id, array_to_string({content('text')}, '|') AS words FROM documents",
         "lemmas": f"SELECT word, {lemma('word')} AS lemma, count(*) AS n FROM (SELECT unnest({words('text')}) AS word FROM documents) GROUP BY word",
+        "lemma_lookup": with_(lexicon_sql(), "SELECT word, lemma, n_texts FROM changed"),
+        "processed_lookup": with_(f"{lexicon_sql()}, placed AS (SELECT doc_id, unnest({content('text')}) AS word, generate_subscripts({content('text')}, 1) AS i FROM documents)",
+            "SELECT d.doc_id AS review_id, coalesce(p.t, '') AS processed_text FROM documents d LEFT JOIN "
+            "(SELECT doc_id, string_agg(lemma, ' ' ORDER BY i) AS t FROM placed JOIN changed USING (word) GROUP BY doc_id) p USING (doc_id)"),
         "processed_text": f"SELECT doc_id AS review_id, array_to_string({processed('text')}, ' ') AS processed_text FROM documents",
         "slugs": with_(f"{EXPLODED}, named AS (SELECT DISTINCT '  ' || category || ' & Co., ' || rating || '!! ' AS name FROM exploded)", f"SELECT name, {slug('name')} AS slug FROM named"),
         "sentences": f"SELECT doc_id AS review_id, CAST(unnest(range(len(l))) AS INTEGER) AS pos, unnest(l) AS sentence FROM (SELECT doc_id, {sentence_list('text')} AS l FROM documents)",

@@ -17,6 +17,7 @@ from starlens.operators import categories as cat
 from starlens.operators import chunks as chk
 from starlens.operators import features as feat
 from starlens.operators import filters as flt
+from starlens.operators import lemmas as lem
 from starlens.operators import metrics as met
 from starlens.operators import models as mod
 from starlens.operators import naive_bayes as nb
@@ -356,6 +357,24 @@ def grid_search(kind):
     return run
 
 
+def content(column="text"):
+    return content_words(tokens(clean_text(F.col(column))))
+
+
+def lemma_lookup(spark, d):
+    """Every content word of the documents with its lemma by detachment and look-up among the words of the documents."""
+    words = stage(lem.distinct_words(texts(spark, d), content()), "words")
+    table = lem.lemma_table(words, words.where(F.col("n_texts") >= lem.LEAST_TEXTS))
+    return words.join(table, F.col("word") == F.col("form"), "left").select("word", F.coalesce("lemma", "word").alias("lemma"), "n_texts")
+
+
+def processed_lookup(spark, d):
+    """Processed texts with these lemmas."""
+    documents = texts(spark, d)
+    ready = lem.with_lemmas(documents.select("review_id", content().alias("words")), lem.learned_lemmas(documents, content()), "words")
+    return ready.select("review_id", F.array_join("words", " ").alias("processed_text"))
+
+
 def fitted_review_model(spark, d):
     reviews = labelled(spark, d).withColumn("label", label_code(F.col("sentiment")).cast("double")) \
         .withColumn("weight", F.lit(1.0))
@@ -440,6 +459,8 @@ QUERIES = {
         "review_id", F.array_join(content_words(tokens(clean_text(F.col("text")))), "|").alias("words")),
     "lemmas": lambda s, d: texts(s, d).select(F.explode(tokens(clean_text(F.col("text")))).alias("word")).groupBy("word")
         .agg(F.count("*").alias("n")).select("word", noun_lemma(F.col("word")).alias("lemma"), "n"),
+    "lemma_lookup": lemma_lookup,
+    "processed_lookup": processed_lookup,
     "processed_text": lambda s, d: texts(s, d).select("review_id", processed_text(F.col("text")).alias("processed_text")),
     "slugs": category_slugs,
     "sentences": sentence_rows,

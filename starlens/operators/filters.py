@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 
 from starlens.constants import MIN_REVIEW_CHARS, UNKNOWN
 from starlens.functions.labels import sentiment_of
-from starlens.functions.text import clean_text, processed_tokens, slug
+from starlens.functions.text import clean_text, content_words, processed_tokens, slug, tokens
+from starlens.operators.lemmas import with_lemmas
 
 
 def with_sentiment(reviews: DataFrame) -> DataFrame:
@@ -35,8 +36,13 @@ def with_cleaned_text(reviews: DataFrame) -> DataFrame:
     return kept(reviews, "cleaned_text", clean_text(F.col("text")), lambda t: F.length(t) > 0)
 
 
-def with_processed_tokens(reviews: DataFrame, source: str = "text") -> DataFrame:
-    """Add ``tokens`` (lemmas of the content words) and keep the rows that have any."""
+def with_processed_tokens(reviews: DataFrame, source: str = "text", lemmas: DataFrame | None = None) -> DataFrame:
+    """Add ``tokens`` (lemmas of the content words) and keep the rows that have any.
+
+    Lemmas come from a table of ``lemmas.lemma_table``, or without one from the suffix rules of ``noun_lemma``.
+    """
+    if lemmas is not None:
+        return with_lemmas(kept(reviews, "tokens", content_words(tokens(clean_text(F.col(source)))), lambda t: F.size(t) > 0), lemmas)
     return kept(reviews, "tokens", processed_tokens(F.col(source)), lambda t: F.size(t) > 0)
 
 
