@@ -375,6 +375,11 @@ def oracle_sql() -> dict[str, str]:
         "tokens": f"SELECT doc_id AS review_id, array_to_string({words('text')}, '|') AS tokens FROM documents",
         "content_words": f"SELECT doc_id AS review_id, array_to_string({content('text')}, '|') AS words FROM documents",
         "lemmas": f"SELECT word, {lemma('word')} AS lemma, count(*) AS n FROM (SELECT unnest({words('text')}) AS word FROM documents) GROUP BY word",
+        "stream_summary": with_(f"{RATED}, timed AS (SELECT DISTINCT review_id, sentiment, 1704067200 + review_id * 3600 AS t FROM rated WHERE sentiment IS NOT NULL), "
+            "days AS (SELECT t - t % 86400 AS window_start, sentiment, count(*) AS n FROM timed GROUP BY ALL), "
+            "totals AS (SELECT window_start, sum(n) AS total FROM days GROUP BY window_start)",
+            f"SELECT t.window_start, c.s AS sentiment, coalesce(d.n, 0) AS n, round(100.0 * CAST(coalesce(d.n, 0) AS DOUBLE) / total, 1) AS pct "
+            f"FROM totals t CROSS JOIN {CLASSES} AS c(s, code) LEFT JOIN days d ON d.window_start = t.window_start AND d.sentiment = c.s"),
         "lemma_lookup": with_(lexicon_sql(), "SELECT word, lemma, n_texts FROM changed"),
         "processed_lookup": with_(f"{lexicon_sql()}, placed AS (SELECT doc_id, unnest({content('text')}) AS word, generate_subscripts({content('text')}, 1) AS i FROM documents)",
             "SELECT d.doc_id AS review_id, coalesce(p.t, '') AS processed_text FROM documents d LEFT JOIN "

@@ -30,7 +30,7 @@ from starlens.plans import training as trn
 from starlens.session import driver_tables, stage, staging_path
 from starlens.sources import csv_files, summary_files
 from starlens.sources import reviews as src
-from starlens.streaming import score_files
+from starlens.streaming import running_summary, score_files
 
 GROUP = summ.GROUP
 # Labelled rows that the query models and the grid searches are fitted on at most; trees, rounds, depths, terms and grid points are the full ones.
@@ -399,6 +399,24 @@ def stream_scores(spark, d):
     return spark.read.parquet(target)
 
 
+def timed_reviews(spark, d):
+    """Rated reviews that arrive one an hour, in the order of their ids."""
+    hour = F.timestamp_seconds(F.lit(1_704_067_200) + F.col("review_id") * 3600)
+    return rated(spark, d).select("review_id", hour.alias("arrived"), "sentiment")
+
+
+def stream_summary(spark, d):
+    """Counts by day and sentiment, kept by a query that is stopped after half of the files and started again."""
+    folder, target, log = staging_path(spark, "arrive"), staging_path(spark, "counts"), staging_path(spark, "log")
+    given = stage(timed_reviews(spark, d), "timed")
+    middle = given.agg(F.percentile_approx("review_id", 0.5)).first()[0] or 0
+    for part in (F.col("review_id") <= middle, F.col("review_id") > middle):
+        given.where(part).write.mode("append").parquet(folder)
+        arriving = score_files.arriving_reviews(spark, folder, given.schema, 1)
+        running_summary.keep_summary(arriving, "arrived", target, log, lateness="30 days", keys=["review_id"]).awaitTermination()
+    return running_summary.running_shares(running_summary.running_counts(spark, target)).withColumn("window_start", F.unix_timestamp("window_start"))
+
+
 # --- summaries --------------------------------------------------------------------------
 
 
@@ -547,6 +565,7 @@ QUERIES = {
     "score_batch": saved_model_scores,
     "external_scores": lambda s, d: sco.external_scores(texts(s, d), sco.length_stub),
     "stream_scores": stream_scores,
+    "stream_summary": stream_summary,
     # summaries
     "sentence_corpus": lambda s, d: summ.sentence_corpus(exploded(s, d)).groupBy(*GROUP).agg(
         F.count("*").alias("n_sentences"), F.sum(F.length("sentence")).alias("n_chars")),
