@@ -126,13 +126,13 @@ LABELLED = f"""labelled AS (
 
 
 def split_of(table, carried=""):
-    return f"""split AS (
+    return f"""split AS MATERIALIZED (
   SELECT review_id, sentiment{carried}, CASE WHEN place <= round(CAST(0.2 AS DOUBLE) * n) THEN 'test' ELSE 'train' END AS split FROM (
     SELECT *, row_number() OVER (PARTITION BY sentiment ORDER BY {key()}, review_id) AS place,
       count(*) OVER (PARTITION BY sentiment) AS n FROM {table}))"""
 
 
-COPIES = f"""train AS (
+COPIES = f"""train AS MATERIALIZED (
   SELECT *, 1 + CASE WHEN sentiment <> 'Neutral' THEN 0
       ELSE (neg - neu) // neu + CASE WHEN place <= (neg - neu) % neu THEN 1 ELSE 0 END END AS copies FROM (
     SELECT *, row_number() OVER (PARTITION BY sentiment ORDER BY {key()}, review_id) AS place,
@@ -143,7 +143,7 @@ COPIES = f"""train AS (
 # Training ids without looking at the texts, and with them.
 TRAIN_IDS = f"{LABELLED}, {split_of('labelled')}, {COPIES}"
 
-READY = f"""{LABELLED}, ready AS (
+READY = f"""{LABELLED}, ready AS MATERIALIZED (
   SELECT review_id, sentiment, tokens FROM (SELECT *, {processed('text')} AS tokens FROM labelled) WHERE len(tokens) > 0)"""
 
 CORPUS = f"""{READY}, {split_of('ready', ', tokens')}, {COPIES}, tf AS MATERIALIZED (
@@ -163,8 +163,8 @@ TFIDF = """weights AS (
     SELECT review_id, term, idx, (1 + ln(tf)) * idf AS w FROM tf JOIN vocab USING (term)))"""
 
 
-def bayes(kind="Count", boost=1.0, tag=""):
-    """Model and scored test rows; the tag keeps several models apart in one statement."""
+def bayes(kind="Count", boost=1.0, tag="", smoothed=0):
+    """Model and scored test rows; the tag keeps several models apart in one statement. ``smoothed`` is added to the class counts of the priors."""
     value = "CAST(tf AS DOUBLE)" if kind == "Count" else "value"
     rows = "tf JOIN vocab USING (term)" if kind == "Count" else "weights"
     share = f"copies * CASE WHEN sentiment = 'Neutral' THEN CAST({boost} AS DOUBLE) ELSE 1 END"
@@ -172,7 +172,7 @@ def bayes(kind="Count", boost=1.0, tag=""):
   SELECT term, c.s, coalesce(sum(v * {share}) FILTER (WHERE sentiment = c.s), 0) AS total
   FROM x{tag} JOIN train USING (review_id) CROSS JOIN {CLASSES} AS c(s, code) GROUP BY term, c.s), liken{tag} AS (
   SELECT term, s, ln((total + 1) / (sum(total) OVER (PARTITION BY s) + count(*) OVER (PARTITION BY s))) AS lp FROM sums{tag}), prior{tag} AS (
-  SELECT sentiment AS s, ln(sum({share}) / sum(sum({share})) OVER ()) AS lp FROM train GROUP BY sentiment), joint{tag} AS (
+  SELECT sentiment AS s, ln((sum({share}) + {smoothed}) / (sum(sum({share})) OVER () + 3 * {smoothed})) AS lp FROM train GROUP BY sentiment), joint{tag} AS (
   SELECT t.review_id, t.sentiment AS actual, p.s, p.lp + coalesce(sum(x.v * l.lp), 0) AS ll
   FROM (SELECT * FROM split WHERE split = 'test') t CROSS JOIN prior{tag} p
   LEFT JOIN x{tag} x ON x.review_id = t.review_id AND EXISTS (SELECT 1 FROM liken{tag} q WHERE q.term = x.term)
@@ -441,6 +441,7 @@ def oracle_sql() -> dict[str, str]:
             "FROM (SELECT * FROM liken UNION ALL SELECT '', s, lp FROM prior) GROUP BY term"),
         "nb_predict": with_(SCORED, "SELECT * FROM scored"),
         "nb_predict_tfidf": with_(f"{CORPUS}, {TFIDF}, {bayes('TF-IDF')}", "SELECT * FROM scored"),
+        "ml_naive_bayes": with_(f"{CORPUS}, {TFIDF}, {bayes('TF-IDF', smoothed=1.0)}", "SELECT review_id, actual, sentiment AS predicted FROM scored"),
         "nb_predict_boosted": with_(f"{CORPUS}, {bayes('Count', NEUTRAL_BOOST)}", "SELECT * FROM scored"),
         "summary_metrics": with_(f"{PREDICTED}, {measures('predictions')}", "SELECT round(accuracy, 6) AS accuracy, round(wp, 6) AS precision, round(wr, 6) AS recall, round(wf, 6) AS f1, round(mf, 6) AS f1_macro FROM overall"),
         "class_metrics": with_(f"{PREDICTED}, {measures('predictions')}", "SELECT sentiment, round(p, 6) AS precision, round(r, 6) AS recall, round(f, 6) AS f1, support FROM rates"),
