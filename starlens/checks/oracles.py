@@ -320,6 +320,21 @@ def two_level():
 {flat_of()}"""
 
 
+def two_level_extractive():
+    """Extractive summaries of the chunks of each group, and of these where a group has several."""
+    first = packed(f"{EXPLODED}, {chosen()}, {sampled()}, {corpus_of('sampled')}")
+    by_chunk = "corpus AS (SELECT category || chr(31) || chunk_no AS category, rating, i AS review_id, 0 AS pos, sentence FROM walk JOIN ordered USING (category, rating, i))"
+    of_partials = (f"corpus AS (SELECT category, rating, chunk_no AS review_id, unnest(l) AS sentence, unnest(range(len(l))) AS pos "
+                   f"FROM (SELECT *, {sentence_list('partial')} AS l FROM partials))")
+    return f"""{first}, partials AS MATERIALIZED (
+  WITH {by_chunk}, {DISTINCT}, {SENTENCE_SCORES}, {SUMMARY}
+  SELECT split_part(category, chr(31), 1) AS category, rating, CAST(split_part(category, chr(31), 2) AS BIGINT) AS chunk_no, summary AS partial FROM summaries), unified AS MATERIALIZED (
+  WITH {of_partials}, {DISTINCT}, {SENTENCE_SCORES}, {SUMMARY} SELECT * FROM summaries), summaries AS (
+  SELECT category, rating, CASE WHEN n = 1 THEN single ELSE coalesce(u.summary, '') END AS summary
+  FROM (SELECT category, rating, count(*) AS n, min(partial) AS single FROM partials GROUP BY category, rating) LEFT JOIN unified u USING (category, rating)),
+{flat_of()}"""
+
+
 # --- the queries ------------------------------------------------------------------------
 
 
@@ -362,7 +377,8 @@ def oracle_sql() -> dict[str, str]:
             "UNION ALL SELECT 'pages', 'page_id', '', count(page_id) FROM pages",
         "union_sources": with_(union, "SELECT * FROM both_sources"),
         "source_counts": with_(union, "SELECT data_source, count(*) AS n FROM both_sources GROUP BY data_source"),
-        "catalogue_read": with_(summary_sql(), "SELECT category, category_slug, total_reviews, rating, review_count, sampled, length(summary) AS summary_chars FROM flat"),
+        "catalogue_read": with_(summary_sql(), "SELECT category, category_slug, total_reviews, rating, review_count, sampled, length(summary) AS summary_chars, md5(summary) AS summary_md5 FROM flat"),
+        "catalogue_entry": with_(summary_sql(), f"{FLAT} WHERE category_slug = (SELECT category_slug FROM flat ORDER BY total_reviews DESC, category LIMIT 1)"),
         "scored_csv": with_(SCORED, "SELECT review_id, sentiment, confidence FROM scored"),
         "sentiment_labels": with_(RATED, "SELECT review_id, rating, sentiment FROM rated"),
         "rating_coercion": with_(RAW, "SELECT review_id, CAST(round_even(TRY_CAST(rating AS DOUBLE), 0) AS INTEGER) AS whole, "
@@ -472,6 +488,8 @@ def oracle_sql() -> dict[str, str]:
         "chunks": with_(packed(f"{NORMAL}, grouped AS (SELECT CASE WHEN review_id % 3 = 0 THEN 'third' ELSE 'rest' END AS category, rating, review_id, text FROM normal), {corpus_of('grouped')}"),
             "SELECT category, rating, chunk_no, md5(chunk) AS chunk_md5, length(chunk) AS n_chars FROM packed"),
         "two_level_summary": with_(two_level(), FLAT),
-        "summary_job": with_(f"{EXPLODED}, {chosen(SRC, 5)}", f"SELECT category, total_reviews, {slug('category')} AS category_slug, CAST(5 AS INTEGER) AS n_ratings FROM chosen"),
+        "summary_job": with_(summary_sql(SRC, 5), "SELECT category, total_reviews, category_slug, CAST(count(*) AS INTEGER) AS n_ratings, "
+            "string_agg(rating || ':' || review_count || ':' || sampled || ':' || md5(summary), ' ' ORDER BY rating) AS ratings FROM flat GROUP BY category, total_reviews, category_slug"),
+        "two_level_extractive": with_(two_level_extractive(), FLAT),
     }
     return sql

@@ -178,15 +178,32 @@ def detected_columns(spark, d):
     return src.union_sources(frames)
 
 
-def catalogue_read(spark, d):
-    """Write summaries and catalogue, read them back, and open one category by its slug."""
+def written_summaries(spark, d):
     folder = staging_path(spark, "summaries")
     summary_files.write_summaries(plan.documents(plan.flat_summaries(spread_normal(spark, d))), folder)
+    return folder
+
+
+def catalogue_entry(spark, d):
+    """Open the largest category of the written catalogue by its slug."""
+    folder = written_summaries(spark, d)
+    largest = summary_files.read_catalogue(spark, folder).orderBy(F.desc("total_reviews"), "category").first()
+    entry = summary_files.read_summaries(spark, folder, largest.category_slug if largest else "")
+    return entry.select("category", "category_slug", "total_reviews", F.explode("ratings").alias("rating", "r")).select(
+        "category", "category_slug", "total_reviews", F.col("rating").cast("int").alias("rating"),
+        F.col("r.count").alias("review_count"), F.col("r.sampled").alias("sampled"), F.col("r.summary").alias("summary"),
+    )
+
+
+def catalogue_read(spark, d):
+    """Write summaries and catalogue, and read them back."""
+    folder = written_summaries(spark, d)
     index = summary_files.read_catalogue(spark, folder)
     detail = summary_files.read_summaries(spark, folder).select("category", F.explode("ratings").alias("rating", "r"))
     return index.join(detail, "category").select(
         "category", "category_slug", "total_reviews", F.col("rating").cast("int").alias("rating"),
         F.col("r.count").alias("review_count"), F.col("r.sampled").alias("sampled"), F.length("r.summary").cast("bigint").alias("summary_chars"),
+        F.md5("r.summary").alias("summary_md5"),
     )
 
 
@@ -443,7 +460,8 @@ def summary_job(spark, d):
     folder = staging_path(spark, "job")
     raw(spark, d).write.options(**csv_files.WRITE_OPTIONS).csv(f"{folder}/in")
     result = plan.summarise_files(spark, f"{folder}/in", f"{folder}/out", contains="src", top_n=5)
-    return result.select("category", "total_reviews", "category_slug", F.size("ratings").alias("n_ratings"))
+    parts = F.transform(F.array_sort(F.map_entries("ratings")), lambda e: F.concat_ws(":", e["key"], e["value"]["count"], e["value"]["sampled"], F.md5(e["value"]["summary"])))
+    return result.select("category", "total_reviews", "category_slug", F.size("ratings").alias("n_ratings"), F.array_join(parts, " ").alias("ratings"))
 
 
 def flat(spark, d, **options):
@@ -462,6 +480,7 @@ QUERIES = {
     "union_sources": union_rows,
     "source_counts": lambda s, d: rep.source_counts(union_rows(s, d)),
     "catalogue_read": catalogue_read,
+    "catalogue_entry": catalogue_entry,
     "scored_csv": scored_csv,
     # projections
     "sentiment_labels": lambda s, d: rated(s, d).select("review_id", "rating", "sentiment"),
