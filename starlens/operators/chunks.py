@@ -1,23 +1,21 @@
 """Greedy packing of sentences into chunks, and two-level summaries.
 
 Packing is sequential: where a chunk starts depends on all sentences before.
-To keep a large group out of one task, each group is cut into ordered blocks;
-a block is reduced to the map "fill level on entry -> fill level on exit", the
-small maps of a group are composed, and the blocks are then packed at once.
+To keep a large group out of one task, each group is cut into ordered blocks of
+a fixed number of sentences; a block is reduced to the map "fill level on entry
+-> fill level on exit", the small maps of a group are composed as a tree, and
+the blocks are then packed at once.
 """
 
 from __future__ import annotations
 
-import sys
 from collections.abc import Callable, Sequence
 
 import numpy as np
 import pandas as pd
-from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-import starlens
 from starlens.constants import CHUNK_CHARS, PARTIAL_CHARS
 from starlens.operators.summaries import (
     GROUP, SENTENCE, best_sentences, distinct_sentences, extractive_summary, join_in_order, sentence_corpus, sentence_scores,
@@ -27,9 +25,8 @@ from starlens.session import stage
 # Characters of joined partials that a model is given at once; groups of more are unified in several levels.
 UNIFIED_CHARS = 200_000
 
-# Executors get the functions by value and need no copy of the package.
-cloudpickle.register_pickle_by_value(starlens)
-cloudpickle.register_pickle_by_value(sys.modules[__name__])
+# Sentences to a block, and blocks to a branch of the tree, as powers of two.
+BLOCK_BITS, BRANCH_BITS = 13, 10
 
 
 def boundaries(lengths: np.ndarray, limit: int) -> tuple[np.ndarray, np.ndarray]:
@@ -58,10 +55,26 @@ def block_map(block: pd.DataFrame, limit: int) -> tuple[list, list, list, int]:
     return upto[:shown].tolist(), leave[:shown].tolist(), starts[:shown].tolist(), int(upto[-1])
 
 
-def compose(blocks: pd.DataFrame, limit: int) -> pd.DataFrame:
+def joined_map(blocks: pd.DataFrame, limit: int) -> tuple[list, list, list, int]:
+    """What consecutive blocks do together, in the form of ``block_map``."""
+    upto, leave, starts, size = np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.int64), 0
+    for block in blocks.sort_values("block").itertuples():
+        next_upto, next_leave, next_starts = (np.asarray(x, np.int64) for x in (block.upto, block.leave, block.starts))
+        first = np.searchsorted(next_upto, limit - leave, side="right")
+        inside = first < len(next_upto)
+        at = np.where(inside, first, 0)
+        whole = len(upto) > 1 and upto[-1] > limit  # every entry level has started a chunk by now
+        leave, starts = np.where(inside, next_leave[at], leave + block.chars), starts + np.where(inside, next_starts[at], 0)
+        if not whole:
+            upto, leave, starts = (np.concatenate(x) for x in ((upto, size + next_upto), (leave, next_leave), (starts, next_starts)))
+        size += int(block.chars)
+    return upto.tolist(), leave.tolist(), starts.tolist(), size
+
+
+def compose(blocks: pd.DataFrame, limit: int, level: int = -1, chunk: int = 0) -> pd.DataFrame:
     """Fill level and chunk number on entry to each block of one group; level -1 means nothing open."""
     blocks = blocks.sort_values("block")
-    level, chunk, entry = -1, 0, []
+    entry = []
     for upto, leave, starts, size in zip(blocks["upto"], blocks["leave"], blocks["starts"], blocks["chars"]):
         entry.append((level, chunk))
         if level < 0:
@@ -96,32 +109,41 @@ def number_block(block: pd.DataFrame, limit: int) -> pd.DataFrame:
     return block.drop(columns=["level", "chunk", "chars"]).assign(chunk_no=first_chunk + np.cumsum(marks))
 
 
-def chunk_numbers(corpus: DataFrame, keys: Sequence[str] = GROUP, limit: int = CHUNK_CHARS) -> DataFrame:
-    """Add ``chunk_no`` (from 0 per group) to the sentences of each group."""
+def chunk_numbers(corpus: DataFrame, keys: Sequence[str] = GROUP, limit: int = CHUNK_CHARS, block_bits: int = BLOCK_BITS, branch_bits: int = BRANCH_BITS) -> DataFrame:
+    """Add ``chunk_no`` (from 0 per group) to the sentences of each group.
+
+    A task holds the lengths of one block, the maps of one branch, or of a group one map for each of its branches.
+    """
     keys = list(keys)
-    # A range partition is a run of consecutive sentences; written out, its number stays fixed.
-    ranged = corpus.repartitionByRange(*keys, *SENTENCE).withColumn("block", F.spark_partition_id())
-    ranged = stage(ranged.withColumn("chars", F.length("sentence")), "sentences")
+    # Range partitions are runs of consecutive sentences, and row numbers within them cut these into blocks; written out, both stay fixed.
+    ranged = corpus.repartitionByRange(*keys, *SENTENCE).sortWithinPartitions(*keys, *SENTENCE)
+    ranged = stage(ranged.withColumn("block", F.shiftright(F.monotonically_increasing_id(), block_bits)).withColumn("chars", F.length("sentence")), "sentences")
     types = {f.name: f.dataType.simpleString() for f in ranged.schema}
     key_types = ", ".join(f"{k} {types[k]}" for k in keys)
+    map_types = f"{key_types}, block bigint, upto array<bigint>, leave array<bigint>, starts array<bigint>, chars bigint"
+    columns = [*keys, "block", "upto", "leave", "starts", "chars"]
 
-    def reduce_block(key, block):
-        upto, leave, starts, chars = block_map(block, limit)
-        return pd.DataFrame([[*key, upto, leave, starts, chars]], columns=[*keys, "block", "upto", "leave", "starts", "chars"])
+    def one_row(key, values):
+        return pd.DataFrame([[*key, *values]], columns=columns)
 
-    maps = ranged.select(*keys, "block", *SENTENCE, "chars").groupBy(*keys, "block").applyInPandas(
-        reduce_block,
-        f"{key_types}, block int, upto array<bigint>, leave array<bigint>, starts array<bigint>, chars bigint",
-    )
-    entries = maps.groupBy(*keys).applyInPandas(
-        lambda blocks: compose(blocks, limit), f"{key_types}, block int, level bigint, chunk bigint"
-    )
+    maps = stage(ranged.select(*keys, "block", *SENTENCE, "chars").groupBy(*keys, "block").applyInPandas(
+        lambda key, block: one_row(key, block_map(block, limit)), map_types
+    ), "block-maps").withColumn("branch", F.shiftright("block", branch_bits))
+    branches = maps.groupBy(*keys, "branch").applyInPandas(lambda key, blocks: one_row(key, joined_map(blocks, limit)), map_types)
+    begins = branches.groupBy(*keys).applyInPandas(lambda blocks: compose(blocks, limit), f"{key_types}, block bigint, level bigint, chunk bigint")
+    begins = begins.withColumnsRenamed({"block": "branch", "level": "first_level", "chunk": "first_chunk"})
+
+    def within(blocks):
+        first = blocks.iloc[0]
+        return compose(blocks[columns], limit, int(first["first_level"]), int(first["first_chunk"]))
+
+    entries = maps.join(begins, [*keys, "branch"]).groupBy(*keys, "branch").applyInPandas(within, f"{key_types}, block bigint, level bigint, chunk bigint")
     sentence_types = ", ".join(f"{c} {types[c]}" for c in SENTENCE)
     # Sentence texts stay in Spark; Python sees lengths and hands back numbers.
     numbers = (
         ranged.select(*keys, "block", *SENTENCE, "chars").join(entries, [*keys, "block"])
         .groupBy(*keys, "block").applyInPandas(
-            lambda block: number_block(block, limit), f"{key_types}, block int, {sentence_types}, chunk_no bigint"
+            lambda block: number_block(block, limit), f"{key_types}, block bigint, {sentence_types}, chunk_no bigint"
         )
     )
     return ranged.drop("chars").join(numbers, [*keys, "block", *SENTENCE]).drop("block")

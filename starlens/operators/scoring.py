@@ -2,22 +2,16 @@
 
 from __future__ import annotations
 
-import sys
 from collections.abc import Callable, Sequence
 
-from pyspark import cloudpickle
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-import starlens
 from starlens.constants import FAILED_LABEL, FAILED_SCORE, SENTIMENTS
 from starlens.functions.labels import label_name, normalised_label
 from starlens.functions.text import scored_part
 
-cloudpickle.register_pickle_by_value(starlens)
-cloudpickle.register_pickle_by_value(sys.modules[__name__])
-
 
 def with_sentiment_columns(predicted: DataFrame, keys: list[str]) -> DataFrame:
     """Model output to the row layout of a scored review."""

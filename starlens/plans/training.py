@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 from dataclasses import dataclass
-from functools import reduce
+from functools import partial, reduce
+from multiprocessing.pool import ThreadPool
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -121,18 +123,19 @@ def bounded_rows(train: DataFrame, limit: int | None, label: str = "sentiment",
     return train.where(within_cut(cuts, F.col(label), F.col(row_id)))
 
 
-def compare_models(corpus: Corpus, names=None, fit_rows: int | None = None) -> DataFrame:
+def compare_models(corpus: Corpus, names=None, fit_rows: int | None = None, parallelism: int = 6) -> DataFrame:
     """Metrics of all families (or those in ``names``) with both vectorizers.
 
     ``fit_rows`` bounds the labelled rows that the models are fitted on; every
     model has its full number of trees, rounds and iterations. Trees read one
     binned table per vectorizer; with a bound that a task may hold, the boosted
-    models of both vectorizers grow side by side.
+    models of both vectorizers grow side by side. ``parallelism`` fits run at
+    once, as their many small jobs leave most of a cluster idle.
 
     The metrics of all models come from one aggregation over the union of their
     predictions.
     """
-    tables, fitted, jobs = [], {}, []
+    tables, single, jobs = [], {}, []
     for v, vectorizer in enumerate(VECTORIZERS):
         train, test = ml_tables(corpus, vectorizer)
         train = bounded_rows(train, fit_rows)
@@ -142,10 +145,15 @@ def compare_models(corpus: Corpus, names=None, fit_rows: int | None = None) -> D
         if grown:
             table = training_table(training_weights(train, "boosted"))
             jobs += [((v, name), table, family) for name, family in grown.items()]
-        fitted |= {(v, name): fit_family(name, family, train) for name, family in families.items() if name not in grown}
+        single |= {(v, name): partial(fit_family, name, family, train) for name, family in families.items() if name not in grown}
     by_level = fit_rows is None or fit_rows > TASK_ROWS
-    models = fit_tables([(table, family) for _, table, family in jobs], by_level)
-    fitted |= {place: model for (place, _, _), model in zip(jobs, models, strict=True)}
+    boosted = [job for job in jobs if isinstance(job[2], Boosted)]
+    single |= {place: partial(family.fit_table, table) for place, table, family in jobs if isinstance(family, Forest)}
+    spark = corpus.vocab.sparkSession
+    with ThreadPool(parallelism) as pool:
+        together = pool.apply_async(inheritable_thread_target(spark)(lambda: fit_tables([(table, family) for _, table, family in boosted], by_level)))
+        fitted = dict(zip(single, pool.map(inheritable_thread_target(spark)(lambda fit: fit()), single.values(), chunksize=1), strict=True))
+        fitted |= {place: model for (place, _, _), model in zip(boosted, together.get(), strict=True)}
     frames, order = [], list(WEIGHTING)
     for (v, name), model in sorted(fitted.items(), key=lambda x: (x[0][0], order.index(x[0][1]))):
         ordinal = v * len(order) + order.index(name)

@@ -10,10 +10,6 @@ import uuid
 from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession
 
-import starlens
-
-# Functions of this package travel to the workers by value, which need not have it installed.
-cloudpickle.register_pickle_by_value(starlens)
 
 SETTINGS = {
     "spark.sql.adaptive.enabled": "true",

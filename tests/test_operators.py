@@ -137,6 +137,35 @@ def test_chunk_blocks_compose_to_greedy_packing(seed):
     assert got == greedy(lengths, limit)
 
 
+@pytest.mark.parametrize("seed", range(8))
+def test_branches_of_blocks_compose_as_the_blocks(seed):
+    """Maps joined branch by branch, and once more, lead to the same entries; blocks of one long sentence included."""
+    rng = random.Random(seed)
+    limit = rng.choice([5, 20, 60])
+    lengths = [rng.randint(1, 2 * limit if seed % 2 else limit) for _ in range(150)]
+    cuts = sorted({0, 150, *rng.sample(range(1, 150), 60)})
+    parts = [pd.DataFrame({"review_id": range(a, b), "pos": 0, "chars": lengths[a:b]}) for a, b in zip(cuts, cuts[1:])]
+    columns = ["block", "upto", "leave", "starts", "chars"]
+    maps = pd.DataFrame([(i, *chunks.block_map(p, limit)) for i, p in enumerate(parts)], columns=columns)
+    whole = chunks.compose(maps, limit).set_index("block")
+    width = rng.choice([2, 7])
+    branches = pd.DataFrame([(i, *chunks.joined_map(g, limit)) for i, g in maps.groupby(maps["block"] // width)], columns=columns)
+    begins = chunks.compose(branches, limit).set_index("block")
+    for i, group in maps.groupby(maps["block"] // width):
+        entries = chunks.compose(group, limit, int(begins.loc[i].level), int(begins.loc[i].chunk)).set_index("block")
+        assert entries.equals(whole.loc[entries.index])
+
+
+def test_small_blocks_and_branches_in_spark(spark):
+    rng = random.Random(2)
+    rows = [(c, 1, i // 5, i % 5, "x" * rng.randint(1, 900)) for c in "ab" for i in range(300)]
+    df = spark.createDataFrame(rows, "category string, rating int, review_id bigint, pos int, sentence string").repartition(3)
+    got = {(r.category, r.review_id, r.pos): r.chunk_no for r in chunks.chunk_numbers(df, block_bits=3, branch_bits=2).collect()}
+    for c in "ab":
+        assert [got[c, i // 5, i % 5] for i in range(300)] == greedy([len(r[4]) for r in rows if r[0] == c], 3500)
+    assert chunks.chunk_numbers(df.where("rating > 1")).count() == 0
+
+
 def test_chunks_in_spark(spark):
     rng = random.Random(1)
     rows = [("c", 1, i // 5, i % 5, "x" * rng.randint(1, 900)) for i in range(400)]
