@@ -33,6 +33,8 @@ COSINE, COVERED, PARAPHRASED = 0.35, 0.75, 0.6
 LEAST_WORDS, ITEM_BLOCK = 5, 4000
 #: Sizes of the windows that are compared with an item, in halves of its own: insertions make its place up to twice as long.
 HALVES = (2, 3, 4)
+#: Windows of one width that are measured together.
+WINDOWS = 8192
 #: Entries of each row of the random matrix.
 SPARSE = 3
 
@@ -167,7 +169,7 @@ class Items:
 
     def __init__(self, ids: list[int], texts: list[str], answers: list[str | None], latent: np.ndarray):
         words = hashed(pa.array(texts, pa.string()))
-        self.ids, self.words, self.terms, self.answers, self.masks = [], [], [], [], []
+        self.ids, self.words, self.terms, self.counted, self.answers, self.masks = [], [], [], [], [], []
         rows: dict[int, list[np.ndarray]] = {}
         self.members: dict[int, list[int]] = {}
         for i, (item, text, answer) in enumerate(zip(ids, texts, answers, strict=True)):
@@ -182,6 +184,7 @@ class Items:
             self.ids.append(item)
             self.words.append(own.tolist())
             self.terms.append(np.unique(Rows(own, words.first).terms))
+            self.counted.append(np.unique(own, return_counts=True))
             self.answers.append(asked.tolist())
             masks: dict[int, int] = {}
             for k, h in enumerate(own.tolist()):
@@ -193,8 +196,6 @@ class Items:
         """The share of the item's words that the text has in their order, and whether it has the answer's words in theirs."""
         n = len(self.words[item])
         masks = self.masks[item]
-        if sum(1 for h in text if h in masks) < PARAPHRASED * n:
-            return 0.0, False
         covered = common_subsequence(masks, n, text) / n
         answer = self.answers[item]
         if not answer:
@@ -230,64 +231,115 @@ def common_subsequence(masks: dict[int, int], n: int, text: list[int]) -> int:
     return n - row.bit_count()
 
 
-def possible(words: Rows, terms: np.ndarray, items: Items, item: np.ndarray, row: np.ndarray, begin: np.ndarray, end: np.ndarray) -> np.ndarray:
-    """Which candidates, in the order of their items, have enough words of the item around them to be verified; a bound by hashed terms that loses none."""
-    out = np.zeros(len(item), bool)
+def enough_words(words: Rows, terms: np.ndarray, items: Items, item: int, low: np.ndarray, high: np.ndarray, share: float) -> np.ndarray:
+    """Which stretches of words have ``share`` of the item's words in common with it, each as often as the item has it: a bound of the common subsequence that loses none."""
+    own, times = items.counted[item]
     held = np.zeros(TERMS + 1, bool)
-    edges = np.flatnonzero(np.append(True, item[1:] != item[:-1])).tolist()
-    for a, b in zip(edges, [*edges[1:], len(item)], strict=True):
-        own, size = items.terms[item[a]], len(items.words[item[a]])
-        low = np.maximum(words.first[row[a:b]], begin[a:b] - size // 2)
-        high = np.minimum(words.first[row[a:b] + 1], end[a:b] + size // 2)
-        first = int(low.min())
-        held[own] = True
-        upto = np.append(0, np.cumsum(held[terms[first : int(high.max())]]))
-        held[own] = False
-        out[a:b] = upto[high - first] - upto[low - first] >= PARAPHRASED * size
+    held[items.terms[item]] = True
+    at = np.flatnonzero(held[terms[: len(words.words)]])
+    first, last = np.searchsorted(at, low), np.searchsorted(at, high)
+    need = share * len(items.words[item])
+    out = last - first >= need
+    some = np.flatnonzero(out)
+    for start in range(0, len(some), 4096):
+        part = some[start : start + 4096]
+        counts = last[part] - first[part]
+        edges = np.concatenate([[0], np.cumsum(counts)])
+        found = words.words[at[np.arange(edges[-1]) - np.repeat(edges[:-1] - first[part], counts)]]
+        code = np.minimum(np.searchsorted(own, found), len(own) - 1)
+        key = (np.repeat(np.arange(len(part)), counts) * len(own) + code)[own[code] == found]
+        common = np.minimum(np.bincount(key, minlength=len(part) * len(own)).reshape(len(part), -1), times).sum(axis=1)
+        out[part] = common >= need
     return out
 
 
-def candidates(words: Rows, latent: np.ndarray, items: Items, least: float) -> Iterator[tuple[int, int, int, int, float]]:
-    """(row, item, first word, last word, cosine) of all windows near an item, words counted in the part; of windows of one size in a row that are near one item, each that is no farther than its neighbours."""
+def near_windows(words: Rows, latent: np.ndarray, items: Items, least: float, padded: np.ndarray) -> np.ndarray:
+    """(row, item, first word, last word) and the cosine of all windows near an item; of windows of one size in a row that are near one item, each that is no farther than its neighbours.
+
+    The windows of one width are made and measured once, for all items that look at this width.
+    """
     counts = np.diff(words.first)
     per_row = -(-counts // BLOCK)
     block_first = np.concatenate([[0], np.cumsum(per_row)])
     n = int(block_first[-1])
+    none = np.zeros((5, 0))
     if not n:
-        return
+        return none
     rows = np.repeat(np.arange(len(counts)), per_row)
-    starts = np.repeat(words.first[:-1], per_row) + (np.arange(n) - np.repeat(block_first[:-1], per_row)) * BLOCK
+    place = np.arange(n) - block_first[:-1][rows]
+    starts = words.first[:-1][rows] + place * BLOCK
     last = block_first[1:][rows]
     row_end = words.first[1:][rows]
-    padded = np.append(words.terms, TERMS)  # the last latent vector is zero
     sums = np.zeros((n, latent.shape[1]), np.float32)
     for k in range(BLOCK):
         sums += latent[padded[np.where(starts + k < row_end, starts + k, -1)]]
-    total = np.zeros((n + 1, sums.shape[1]))
-    np.cumsum(sums, axis=0, dtype=np.float64, out=total[1:])
-    place = np.arange(n) - block_first[:-1][rows]
-    for blocks, directions, half in ((k, v, h) for k, v in items.directions.items() for h in HALVES):
-        width = -(-blocks * half // 2)
-        stride = 1 << max(0, blocks.bit_length() - 5)
-        stop = np.minimum(np.arange(n) + width, last)
-        whole, final = stop - np.arange(n) == width, last - np.arange(n) == width
-        use = np.flatnonzero(whole & ((place % stride == 0) | final) | (place == 0))  # a row shorter than the window has one
-        for low in range(0, len(use), 8192):
-            mine = use[low : low + 8192]
-            window = (total[stop[mine]] - total[mine]).astype(np.float32)
-            window /= np.maximum(np.linalg.norm(window, axis=1, keepdims=True), 1e-12)
-            cosine = window @ directions
-            at, k = np.nonzero((cosine >= least).T)[::-1]
-            if not len(at):
+    asked: dict[tuple[int, int], list[int]] = {}
+    for blocks in items.directions:
+        for half in HALVES:
+            asked.setdefault((-(-blocks * half // 2), 1 << max(0, blocks.bit_length() - 5)), []).append(blocks)
+    looked = [
+        (width, stride, np.concatenate([items.members[b] for b in sizes]), np.concatenate([items.directions[b] for b in sizes], axis=1))
+        for (width, stride), sizes in sorted(asked.items())
+    ]
+    widest = looked[-1][0] if looked else 0
+    whole = np.zeros((len(counts), sums.shape[1]), np.float32)
+    some = np.flatnonzero(per_row)
+    whole[some] = np.add.reduceat(sums, block_first[some], axis=0)
+    sums = np.concatenate([sums, np.zeros((widest, sums.shape[1]), np.float32)])
+    left = last - np.arange(n)
+    found = [none]
+    for low in range(0, n, WINDOWS):
+        high = min(low + WINDOWS, n)
+        here = np.arange(low, high)
+        window = np.zeros((high - low, sums.shape[1]), np.float32)
+        made = 0
+        for width, stride, members, directions in looked:
+            while made < width:  # a block more for all windows; those that leave their row are not used
+                window += sums[low + made : high + made]
+                made += 1
+            fits = left[low:high] >= width
+            use = fits if stride == 1 else fits & ((place[low:high] % stride == 0) | (left[low:high] == width))
+            short = np.flatnonzero(~fits & (place[low:high] == 0))  # a row shorter than the window is one
+            if len(short):
+                use, kept = use.copy(), window[short]
+                window[short] = whole[rows[low + short]]
+                use[short] = True
+            norm = np.sqrt(np.einsum("ij,ij->i", window, window))
+            product = window @ directions
+            if len(short):
+                window[short] = kept
+            hit = np.flatnonzero(product >= np.where(use, np.maximum(least * norm, 1e-12), np.inf)[:, None])
+            if not len(hit):
                 continue
-            value, block = cosine[at, k], mine[at]
-            new = np.append(True, (k[1:] != k[:-1]) | (at[1:] != at[:-1] + 1) | (rows[block[1:]] != rows[block[:-1]]))
+            at, k = hit // len(members), hit % len(members)
+            order = np.argsort(k, kind="stable")
+            at, k = at[order], k[order]
+            value, block = product[at, k] / norm[at], here[at]
+            new = np.append(True, (k[1:] != k[:-1]) | (at[1:] > at[:-1] + stride) | (rows[block[1:]] != rows[block[:-1]]))
             top = (new | (value >= np.append(0, value[:-1]))) & (np.append(new[1:], True) | (value >= np.append(value[1:], 0)))  # the local maxima of each run
             block, k, value = block[top], k[top], value[top]
-            end = np.where(stop[block] == last[block], row_end[block], starts[np.minimum(stop[block], n - 1)])
-            some = possible(words, padded, items, np.array(items.members[blocks])[k], rows[block], starts[block], end)
-            block, k, value, end = block[some], k[some], value[some], end[some]
-            yield from zip(rows[block].tolist(), [items.members[blocks][x] for x in k.tolist()], starts[block].tolist(), end.tolist(), value.tolist(), strict=True)
+            until = np.minimum(block + width, last[block])
+            ends = np.where(until == last[block], row_end[block], starts[np.minimum(until, n - 1)])
+            found.append(np.stack([rows[block], members[k], starts[block], ends, value]))
+    return np.concatenate(found, axis=1)
+
+
+def candidates(words: Rows, latent: np.ndarray, items: Items, least: float, share: float = PARAPHRASED) -> Iterator[tuple[int, int, int, int, float]]:
+    """(row, item, first word, last word, cosine) of all different stretches around windows near an item that have enough of its words to be verified."""
+    padded = np.append(words.terms, TERMS)  # the last latent vector is zero
+    near = near_windows(words, latent, items, least, padded)
+    near = near[:, np.lexsort((-near[4], near[1]))]
+    row, item, begin, end = near[:4].astype(np.int64)
+    size = np.array([len(x) for x in items.words] or [0])[item]
+    low, high = np.maximum(words.first[row], begin - size // 2), np.minimum(words.first[row + 1], end + size // 2)
+    edges = np.searchsorted(item, np.arange(len(items.ids) + 1))
+    for i in np.flatnonzero(np.diff(edges)).tolist():
+        mine = np.arange(edges[i], edges[i + 1])
+        _, first = np.unique(low[mine] * (len(words.words) + 1) + high[mine], return_index=True)  # the nearest of equal stretches
+        mine = mine[np.sort(first)]
+        mine = mine[enough_words(words, padded, items, i, low[mine], high[mine], share)]
+        for j in mine.tolist():
+            yield int(row[j]), i, int(low[j]), int(high[j]), float(near[4, j])
 
 
 def contaminated(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", text: str = "text", item: str = "item_id", item_text: str = "text", answer: str | None = None, cosine: float = COSINE, covered: float = COVERED, paraphrased: float = PARAPHRASED) -> DataFrame:
@@ -316,13 +368,9 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", tex
             vectors, items = sent.value
             words = unpacked(batch["words"])
             best: dict[tuple[int, int], list] = {}
-            seen: set[tuple[int, int, int, int]] = set()
-            for row, i, begin, end, near in candidates(words, vectors, items, cosine):
-                size = len(items.words[i])
-                low, high = max(words.first[row], begin - size // 2), min(words.first[row + 1], end + size // 2)
-                if best.get((row, i), [0, 0])[1] >= 0.999 or (row, i, int(low), int(high)) in seen:
+            for row, i, low, high, near in candidates(words, vectors, items, cosine, min(covered, paraphrased)):
+                if best.get((row, i), [0, 0])[1] >= 0.999:
                     continue
-                seen.add((row, i, int(low), int(high)))
                 share, answered = items.verify(i, words.words[low:high].tolist())
                 if (share >= covered or share >= paraphrased and answered) and share > best.get((row, i), [0, -1])[1]:
                     best[row, i] = [near, share, answered]
