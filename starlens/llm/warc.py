@@ -18,6 +18,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from starlens.functions.text import let
 from starlens.llm.token_files import file_system
 from starlens.session import stage, staging_path
 
@@ -45,9 +46,11 @@ def plain_text(html: str | Column) -> Column:
 
 def decoded(x: Column, attribute: bool = False) -> Column:
     """Character references by number and by name, each read once; in an attribute a name without semicolon must not go on with = or a letter or digit."""
-    parts = F.split(x, "&")
-    rest = F.transform(F.slice(parts, F.lit(2), F.greatest(F.size(parts) - 1, F.lit(0))), lambda part: after_sign(part, attribute))
-    return F.when(F.contains(x, F.lit("&")), F.concat(parts[0], F.array_join(rest, ""))).otherwise(x)
+    def joined(parts: Column) -> Column:
+        rest = F.transform(F.slice(parts, F.lit(2), F.greatest(F.size(parts) - 1, F.lit(0))), lambda part: after_sign(part, attribute))
+        return F.concat(parts[0], F.array_join(rest, ""))
+
+    return let(x, lambda text: F.when(F.contains(text, F.lit("&")), let(F.split(text, "&"), joined)).otherwise(text))
 
 
 def character(code: Column) -> Column:
@@ -60,16 +63,22 @@ def character(code: Column) -> Column:
 
 def after_sign(part: Column, attribute: bool) -> Column:
     """What stands for an ampersand and the text behind it, which has no other one."""
-    found = F.regexp_extract(part, REFERENCE + (NO_MORE if attribute else ""), 0)
-    name = F.rtrim(F.lower(found), F.lit(";"))
-    digits = F.regexp_replace(name, "^#x?0*(?=.)", "")
-    code = F.when(F.length(digits) > 7, F.lit(0x110000)).when(name.startswith("#x"), F.conv(digits, 16, 10).cast("long")).otherwise(digits.cast("long"))
-    value = F.when(found == "", F.lit("&")).when(name.startswith("#"), character(code))
-    for known, sign in COMMON_NAMES.items():
-        value = value.when(found == known, F.lit(sign))
     table = F.create_map(*(F.lit(v) for pair in NAMES.items() for v in pair))
-    value = value.otherwise(F.coalesce(F.try_element_at(table, found), F.concat(F.lit("&"), found)))
-    return F.concat(value, F.substr(part, F.length(found) + 1))
+
+    def number(found: Column) -> Column:
+        name = F.rtrim(F.lower(found), F.lit(";"))
+        digits = F.regexp_replace(name, "^#x?0*(?=.)", "")
+        code = F.when(F.length(digits) > 7, F.lit(0x110000)).when(name.startswith("#x"), F.conv(digits, 16, 10).cast("long")).otherwise(digits.cast("long"))
+        return let(code, character)
+
+    def value(found: Column) -> Column:
+        sign = F.when(found == "", F.lit("&"))
+        for known, common in COMMON_NAMES.items():
+            sign = sign.when(found == known, F.lit(common))
+        sign = sign.when(found.startswith("#"), number(found)).otherwise(F.coalesce(F.try_element_at(table, found), F.concat(F.lit("&"), found)))
+        return F.concat(sign, F.substr(part, F.length(found) + 1))
+
+    return let(F.regexp_extract(part, REFERENCE + (NO_MORE if attribute else ""), 0), value)
 
 
 def tidy(x: Column) -> Column:
