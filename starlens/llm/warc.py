@@ -25,6 +25,8 @@ from starlens.session import stage, staging_path
 #: Elements whose content is no text, those that end a line, and the entities that the SQL decodes; all others that HTML names are decoded too.
 HIDDEN = ["script", "style", "noscript", "template", "svg", "head"]
 NO_TEXT = "|".join(["<!--.*?-->", *(rf"<{x}(?:\s[^>]*)?>.*?</{x}\s*>" for x in HIDDEN)])
+# The same with the sign in front of all alternatives, so that the search leaps from one to the next.
+HIDDEN_PARTS = rf"(?is)<(?:!--.*?-->|({'|'.join(HIDDEN)})(?:\s[^>]*)?>.*?</\1\s*>)"
 BLOCKS = "address|article|aside|blockquote|br|dd|div|dl|dt|fieldset|figcaption|figure|footer|form|h[1-6]|header|hr|li|main|nav|ol|p|pre|section|table|tbody|td|tfoot|th|thead|tr|ul"
 ENTITIES = [("&nbsp;", "\u00a0"), ("&copy;", "©"), ("&middot;", "·"), ("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&apos;", "'"), ("&amp;", "&")]
 NAMES = dict(html5)
@@ -38,7 +40,7 @@ EOL = "\r\n"
 
 def plain_text(html: str | Column) -> Column:
     """The text of a page: without hidden elements, comments and tags; blocks start lines; white space is reduced."""
-    x = F.regexp_replace(html, f"(?is){NO_TEXT}", " ")
+    x = F.regexp_replace(html, HIDDEN_PARTS, " ")
     x = F.regexp_replace(x, rf"(?i)</?(?:{BLOCKS})(?:\s[^>]*)?/?>", "\n")
     x = F.regexp_replace(x, r"<[A-Za-z/!?][^>]*>", "")
     return tidy(decoded(x))
@@ -82,9 +84,10 @@ def after_sign(part: Column, attribute: bool) -> Column:
 
 
 def tidy(x: Column) -> Column:
-    x = F.regexp_replace(x, "[ \\t\\r\\f\\x0b\\xa0]+", " ")
-    x = F.regexp_replace(x, r" ?\n[ \n]*", "\n")
-    return F.regexp_replace(x, r"^[ \n]+|[ \n]+$", "")
+    """White space reduced to single spaces and line feeds; the patterns leave single spaces between words alone, which are most of it."""
+    x = F.regexp_replace(x, "[\\t\\r\\f\\x0b\\xa0][ \\t\\r\\f\\x0b\\xa0]*+| [ \\t\\r\\f\\x0b\\xa0]++", " ")
+    x = F.regexp_replace(x, r" \n[ \n]*+|\n[ \n]++", "\n")
+    return F.btrim(x, F.lit(" \n"))
 
 
 def title(html: str | Column) -> Column:
