@@ -329,7 +329,7 @@ def family_predictions(name):
     def run(spark, d):
         _, train, test = bounded_train(spark, d, None if name == "Naive Bayes" else FIT_ROWS)
         estimator = mod.model_families(train.count())[name]
-        if isinstance(estimator, mod.Boosted):
+        if isinstance(estimator, (mod.Boosted, mod.Forest)):
             estimator = replace(estimator, by_level=False)
         return mod.as_predictions(trn.fit_family(name, estimator, train).transform(test))
     return run
@@ -337,7 +337,7 @@ def family_predictions(name):
 
 def feature_importances(spark, d):
     c, train, _ = bounded_train(spark, d)
-    model = trn.fit_family("Random Forest", mod.random_forest(), train)
+    model = trn.fit_family("Random Forest", replace(mod.random_forest(), by_level=False), train)
     return trn.top_importances(model, c.vocab).select("term", F.round("importance", 6).alias("importance"))
 
 
@@ -353,7 +353,7 @@ def boosted_refit(spark, d):
 
 def forest_diagnostics(spark, d):
     _, train, test = bounded_train(spark, d)
-    model = trn.fit_family("Random Forest", mod.random_forest(), train)
+    model = trn.fit_family("Random Forest", replace(mod.random_forest(), by_level=False), train)
     rows = sco.with_sentiment_columns(model.transform(test).withColumnRenamed("sentiment", "actual"), ["review_id", "actual"])
     return rep.mean_probabilities(rows)
 
@@ -369,7 +369,7 @@ def grid_search(kind):
     def run(spark, d):
         _, train, test = bounded_train(spark, d, GRID_ROWS)
         folded = stage(smp.cross_folds(trn.training_weights(train, "boosted")), "folds")
-        found = mod.forest_grid(folded) if kind == "forest" else mod.boosted_grid(folded, by_level=False)
+        found = mod.forest_grid(folded, by_level=False) if kind == "forest" else mod.boosted_grid(folded, by_level=False)
         return grid_result(found, test)
     return run
 

@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from starlens.constants import MAX_DOCUMENT_SHARE, MIN_DOCUMENTS, SEED, SENTIMENTS, VOCABULARY_SIZE
 from starlens.functions.labels import label_name
 from starlens.functions.text import ngrams, processed_tokens
-from starlens.operators.ensembles import BoostedModel, Boosting, FirstOrder, Fit, ForestModel, Gini, SecondOrder, boost, boost_side_by_side, forest
+from starlens.operators.ensembles import BoostedModel, Boosting, FirstOrder, Fit, ForestModel, Gini, SecondOrder, boost, boost_side_by_side, forest, forest_side_by_side
 from starlens.operators.metrics import summary_metrics
 from starlens.operators.svm import LinearSvm
 from starlens.operators.trees import Binned, Block, binned
@@ -93,7 +93,7 @@ def gradient_boosting(rounds: int = 100, depth: int = 6, rate: float = 0.1) -> B
 class Forest:
     """Trees on bootstrap draws, or extremely randomised ones on all rows.
 
-    Classes are balanced within each tree's draw, or weigh what the rows' ``weight`` says with ``row_weights``.
+    Classes are balanced within each tree's draw, or weigh what the rows' ``weight`` says with ``row_weights``. ``by_level`` as for ``Boosted``.
     """
 
     trees: int
@@ -102,12 +102,13 @@ class Forest:
     least_leaf: int = 1
     extra: bool = False
     row_weights: bool = False
+    by_level: bool = True
 
     def fit_table(self, table: Binned) -> ForestModel:
         weights = table.weights / np.maximum(table.copies, 1) if self.row_weights else None
         fits = [Fit(self.depth, least=self.least_leaf)] * self.trees
         learner = Gini(tree_seeds(self.trees), fits, not self.extra, self.extra, self.least_split)
-        return forest(table, learner, max(1, int(table.bins.size ** 0.5)), weights)
+        return (forest if self.by_level else forest_side_by_side)(table, learner, max(1, int(table.bins.size ** 0.5)), weights)
 
     def fit(self, train: DataFrame) -> ForestModel:
         return self.fit_table(training_table(train))
@@ -147,14 +148,14 @@ def model_families(rows: int) -> dict:
 
 
 def fit_tables(jobs: Sequence[tuple[Binned, Boosted | Forest]], by_level: bool = True) -> list:
-    """Models of several families on binned tables, in order; without ``by_level`` the boosted ones grow side by side in one job."""
+    """Models of several families on binned tables, in order; without ``by_level`` tasks grow whole trees, the boosted ones side by side in one job."""
     models = {}
     if not by_level:
         places = [i for i, (_, family) in enumerate(jobs) if isinstance(family, Boosted)]
         if places:
             grown = boost_side_by_side([(jobs[i][0], jobs[i][1].learner(jobs[i][0]), jobs[i][1].rounds) for i in places])
             models = dict(zip(places, grown, strict=True))
-    return [models[i] if i in models else family.fit_table(table) for i, (table, family) in enumerate(jobs)]
+    return [models[i] if i in models else replace(family, by_level=by_level).fit_table(table) for i, (table, family) in enumerate(jobs)]
 
 
 def as_predictions(predicted: DataFrame) -> DataFrame:
@@ -252,7 +253,7 @@ def boosted_grid(train: DataFrame, rounds: Sequence[int] = (100, 200), depths: S
     return GridResult(points, scores, replace(family, rounds=int(best["rounds"]), depth=int(best["depth"]), rate=best["rate"]).fit_table(table))
 
 
-def forest_grid(train: DataFrame, trees: Sequence[int] = (200, 400), depths: Sequence[int | None] = (None, 20, 40), splits: Sequence[int] = (2, 5), leaves: Sequence[int] = (1, 2)) -> GridResult:
+def forest_grid(train: DataFrame, trees: Sequence[int] = (200, 400), depths: Sequence[int | None] = (None, 20, 40), splits: Sequence[int] = (2, 5), leaves: Sequence[int] = (1, 2), by_level: bool = True) -> GridResult:
     """All points over a given ``fold`` column: smaller, shallower and earlier stopped forests are part of the largest, so all trees of all leaf sizes and folds grow in one set."""
     table = training_table(train)
     folds = [row.fold for row in train.select("fold").distinct().orderBy("fold").collect()]
@@ -260,7 +261,7 @@ def forest_grid(train: DataFrame, trees: Sequence[int] = (200, 400), depths: Seq
     shapes = [(leaf, fold) for leaf in leaves for fold in folds]
     fits = [Fit(ANY_DEPTH, fold=fold, least=leaf) for leaf, fold in shapes for _ in range(most)]
     features = max(1, int(table.bins.size ** 0.5))
-    whole = forest(table, Gini(tree_seeds(most) * len(shapes), fits, True, least_split=min(splits)), features)
+    whole = (forest if by_level else forest_side_by_side)(table, Gini(tree_seeds(most) * len(shapes), fits, True, least_split=min(splits)), features)
     models = {}
     for i, shape in enumerate(shapes):
         part = ForestModel(whole.trees.part(np.arange(i * most, (i + 1) * most)), table.bins)
@@ -270,7 +271,7 @@ def forest_grid(train: DataFrame, trees: Sequence[int] = (200, 400), depths: Seq
     variants = {fold: [StagedForest((leaf, split), models[leaf, fold, split], n, depth) for n, depth, split, leaf in grid] for fold in folds}
     scores = fold_scores(table, variants)
     n, depth, split, leaf = grid[int(np.argmax(scores))]
-    return GridResult(points, scores, Forest(n, depth, split, leaf).fit_table(table))
+    return GridResult(points, scores, Forest(n, depth, split, leaf, by_level=by_level).fit_table(table))
 
 
 class ReviewTerms(Transformer, HasInputCol, HasOutputCol, DefaultParamsReadable, DefaultParamsWritable):

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 from functools import partial, reduce
 from multiprocessing.pool import ThreadPool
 
@@ -128,8 +128,8 @@ def compare_models(corpus: Corpus, names=None, fit_rows: int | None = None, para
 
     ``fit_rows`` bounds the labelled rows that the models are fitted on; every
     model has its full number of trees, rounds and iterations. Trees read one
-    binned table per vectorizer; with a bound that a task may hold, the boosted
-    models of both vectorizers grow side by side. ``parallelism`` fits run at
+    binned table per vectorizer; with a bound that a task may hold, tasks grow
+    whole trees, and the boosted models of both vectorizers grow side by side. ``parallelism`` fits run at
     once, as their many small jobs leave most of a cluster idle.
 
     The metrics of all models come from one aggregation over the union of their
@@ -148,7 +148,7 @@ def compare_models(corpus: Corpus, names=None, fit_rows: int | None = None, para
         single |= {(v, name): partial(fit_family, name, family, train) for name, family in families.items() if name not in grown}
     by_level = fit_rows is None or fit_rows > TASK_ROWS
     boosted = [job for job in jobs if isinstance(job[2], Boosted)]
-    single |= {place: partial(family.fit_table, table) for place, table, family in jobs if isinstance(family, Forest)}
+    single |= {place: partial(replace(family, by_level=by_level).fit_table, table) for place, table, family in jobs if isinstance(family, Forest)}
     spark = corpus.vocab.sparkSession
     with ThreadPool(parallelism) as pool:
         together = pool.apply_async(inheritable_thread_target(spark)(lambda: fit_tables([(table, family) for _, table, family in boosted], by_level)))
