@@ -30,15 +30,20 @@ def known(df: DataFrame, text: str = "text") -> DataFrame:
     return df.withColumn(text, F.coalesce(F.col(text), F.lit("")))
 
 
+def labelled_rows(labels: DataFrame, key: str, label: str, use: Column) -> DataFrame:
+    """One row per labelled key with the label 0 or 1; keys or labels that are null are left out, of several labels the largest counts."""
+    return (
+        labels.where(F.col(key).isNotNull() & F.col(label).isNotNull() & use)
+        .groupBy(F.col(key).alias("labelled_key")).agg(F.max((F.col(label) > 0).cast("int")).alias("label"))
+    )
+
+
 def label_sample(labels: DataFrame, key: str, label: str, use: Column, limit: int = LABELLED_ROWS) -> DataFrame:
     """One row per labelled key with the label 0 or 1, a hash sample of about ``limit`` rows at most.
 
     Keys or labels that are null are left out; of several labels the largest counts.
     """
-    rows = (
-        labels.where(F.col(key).isNotNull() & F.col(label).isNotNull() & use)
-        .groupBy(F.col(key).alias("labelled_key")).agg(F.max((F.col(label) > 0).cast("int")).alias("label"))
-    )
+    rows = labelled_rows(labels, key, label, use)
     slots = 1 << 20
     share = min(slots, slots * limit // max(1, rows.count()))
     return rows.where(F.pmod(F.xxhash64("labelled_key", F.lit("labelled")), F.lit(slots)) < share)
@@ -88,6 +93,37 @@ def logistic_fit(x: np.ndarray, y: np.ndarray, weight: np.ndarray, ridge: float
     return w
 
 
+def newton(total: Callable[[Callable], np.ndarray], width: int, ridge: float = 1e-2, steps: int = 60) -> np.ndarray:
+    """As ``logistic_fit`` on rows that tasks hold: ``total`` adds up, over all of them, what the function that it is given makes of (x, y)."""
+    penalty = np.full(width + 1, ridge)
+    penalty[0] = 1e-6
+
+    def at(w: np.ndarray) -> tuple[float, np.ndarray, np.ndarray]:
+        def sums(x: np.ndarray, y: np.ndarray) -> np.ndarray:
+            x = np.column_stack([np.ones(len(x)), x])
+            z = x @ w
+            p = 1 / (1 + np.exp(-np.clip(z, -500, 500)))
+            return np.concatenate([[(np.logaddexp(0, z) - y * z).sum()], x.T @ (p - y), ((x * (p * (1 - p))[:, None]).T @ x).ravel()])
+
+        found = total(sums)
+        k = len(w)
+        return float(found[0] + 0.5 * penalty @ (w * w)), found[1 : k + 1] + penalty * w, found[k + 1 :].reshape(k, k) + np.diag(penalty)
+
+    w = np.zeros(width + 1)
+    now, gradient, curve = at(w)
+    for _ in range(steps):
+        step, size = np.linalg.solve(curve, gradient), 1.0
+        after = at(w - step)
+        while size > 1e-4 and after[0] > now:
+            size /= 2
+            after = at(w - size * step)
+        w, before = w - size * step, now
+        now, gradient, curve = after
+        if before - now < 1e-9 * max(1.0, abs(before)):
+            break
+    return w
+
+
 def sigmoid(z: np.ndarray) -> np.ndarray:
     return 1 / (1 + np.exp(-np.clip(z, -60, 60)))
 

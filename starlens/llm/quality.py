@@ -9,6 +9,7 @@ labels best, and scores are scaled so that it lies at ``THRESHOLD``.
 
 from __future__ import annotations
 
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -16,13 +17,19 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from starlens.llm.common import known, label_sample, logistic_fit, per_slice, sigmoid
+from starlens.llm.common import known, labelled_rows, logistic_fit, newton, per_slice, sigmoid, sized
 from starlens.llm.words import Words, mix, slices, spans, text_bytes, run_hashes, words_of
+from starlens.session import received, sent, stage
 
-#: Labelled rows that a fit uses at most, on average; their features (200 bytes a row) come to the driver.
-SAMPLE_ROWS = 30_000
+#: Labelled rows of a group in which pairs are drawn, on average, and rows of the smaller class in each.
+GROUP_ROWS = 4_096
+GROUP_LEAST = 32
+#: Bins of the scores by which the rows around a quantile are found.
+RANK_BINS = 1 << 16
 #: Preference pairs in which each labelled document of the larger class takes part.
 PAIRS_EACH = 2
+#: Added to the label of a row that stands in for itself in another group.
+COPY = 2
 THRESHOLD = 0.7
 SHARE_STEP = 1e-3
 CLASSES = 9
@@ -104,7 +111,10 @@ class QualityModel:
 
     def rank(self, x: np.ndarray) -> np.ndarray:
         """The Bradley-Terry score of each row of features."""
-        return expand((x - self.mean) / self.spread) @ self.weights
+        return self.standard(x) @ self.weights
+
+    def standard(self, x: np.ndarray) -> np.ndarray:
+        return expand((x - self.mean) / self.spread)
 
     def probability(self, x: np.ndarray) -> np.ndarray:
         return sigmoid(self.slope * (self.rank(x) - self.cut) + np.log(THRESHOLD / (1 - THRESHOLD)))
@@ -116,52 +126,148 @@ def expand(z: np.ndarray) -> np.ndarray:
     return np.column_stack([z, np.maximum(z - 1.5, 0), np.maximum(-z - 1.5, 0)])
 
 
-def best_quantile(rank: np.ndarray, label: np.ndarray) -> float:
-    """The quantile of the scores at which the mean accuracy of both labels is highest."""
-    levels = np.linspace(0.002, 0.998, 499)
-    cuts = np.quantile(rank, levels)
-    good, bad = np.sort(rank[label == 1]), np.sort(rank[label == 0])
-    right = (1 - np.searchsorted(good, cuts) / len(good)) + np.searchsorted(bad, cuts) / len(bad)
+def best_cut(cuts: np.ndarray, good: np.ndarray, bad: np.ndarray) -> float:
+    """The cut at which the mean accuracy of both labels is highest; ``good`` and ``bad`` count the scores below each cut, and all."""
+    right = (1 - good[:-1] / good[-1]) + bad[:-1] / bad[-1]
     best = np.flatnonzero(right >= right.max() - 1e-9)
     return float(cuts[best].mean())
 
 
-def fit_quality(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text", label: str = "quality", use: Column | None = None, limit: int = SAMPLE_ROWS) -> QualityModel:
-    """Learn from the labelled rows that ``use`` (over ``labels``) admits, about ``limit`` of them at most.
+def gathered(groups: DataFrame, run: Callable[[np.ndarray, np.ndarray, int], np.ndarray]) -> list[np.ndarray]:
+    """Arrays of numbers that ``run`` makes of features, labels and number of each group, added up or listed by the caller; one a group."""
+    task = sent(groups.sparkSession, run)
+
+    def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        call, total = received(task), None
+        for batch in batches:
+            for x, y, number in zip(batch["x"], batch["y"], batch["number"], strict=True):
+                y = np.frombuffer(y.as_buffer(), np.int8)
+                out = call(np.frombuffer(x.as_buffer(), np.float64).reshape(len(y), -1), y, number.as_py())
+                total = out if total is None else total + out
+        if total is not None:
+            yield pa.RecordBatch.from_arrays([pa.array([np.ascontiguousarray(total, np.float64).tobytes()], pa.binary())], names=["sums"])
+
+    return [np.frombuffer(row.sums, np.float64) for row in groups.mapInArrow(each, "sums binary").collect()]
+
+
+def summed(groups: DataFrame, run: Callable[[np.ndarray, np.ndarray, int], np.ndarray]) -> np.ndarray:
+    return np.sum(gathered(groups, run), axis=0)
+
+
+def grouped_rows(seen: DataFrame, n: int, least: int) -> DataFrame:
+    """(number, x, y) of groups of about ``GROUP_ROWS`` labelled rows, dealt by hash; the rows come in the order of their keys.
+
+    If the smaller class has few rows, each of them is in several groups (negative labels there), so that each group can pair its rows.
+    """
+    count = max(1, n // GROUP_ROWS)
+    times = min(count, -(-GROUP_LEAST * count // least))
+    place = F.xxhash64("k", "x")
+    shifts = F.sequence(F.lit(0), F.when(F.col("rare"), times - 1).otherwise(0))
+    dealt = seen.withColumn("shift", F.explode(shifts)).withColumn("number", F.pmod(place + F.col("shift"), F.lit(count)).cast("int"))
+
+    def pack(key: tuple, rows: pa.Table) -> pa.Table:
+        rows = rows.sort_by([("k", "ascending"), ("shift", "ascending")]).combine_chunks()
+        y = rows["label"].to_numpy().astype(np.int8) + np.where(rows["shift"].to_numpy() > 0, COPY, 0).astype(np.int8)
+        x = rows["x"].combine_chunks().flatten().to_numpy()
+        return pa.table({"number": pa.array([key[0].as_py()], pa.int32()), "x": pa.array([x.tobytes()], pa.binary()), "y": pa.array([y.tobytes()], pa.binary())})
+
+    return stage(dealt.select("number", "k", "label", "x", "shift").groupBy("number").applyInArrow(pack, "number int, x binary, y binary"), "quality-groups")
 
+
+def fit_quality(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text", label: str = "quality", use: Column | None = None) -> QualityModel:
+    """Learn from all labelled rows that ``use`` (over ``labels``) admits.
+
+    The features of labelled documents are staged in groups; each pass adds up a few thousand numbers a task.
     Without labelled rows of both kinds every document scores ``THRESHOLD``.
     """
-    sample = label_sample(labels, key, label, F.lit(True) if use is None else use, limit)
+    known_labels = sized(stage(labelled_rows(labels, key, label, F.lit(True) if use is None else use), "quality-labels"))
     slim = known(docs, text).select(key, text)
-    joined = slim.join(F.broadcast(sample), slim[key] == sample["labelled_key"]).select(key, text, "label")
+    joined = slim.join(known_labels, slim[key] == known_labels["labelled_key"]).select(key, text, "label")
 
     def describe(batch: pa.RecordBatch) -> pa.RecordBatch:
         x = features(batch[text])
         rows = pa.FixedSizeListArray.from_arrays(pa.array(x.ravel()), x.shape[1]).cast(pa.list_(pa.float64()))
         return pa.RecordBatch.from_arrays([batch[key].cast(pa.string()), batch["label"], rows], names=["k", "label", "x"])
 
-    seen = joined.mapInArrow(per_slice(slices, describe, text), "k string, label int, x array<double>").toArrow().sort_by("k").combine_chunks()
-    y = seen["label"].to_numpy()
-    x = pa.concat_arrays(seen["x"].chunks).flatten().to_numpy().reshape(len(y), -1) if len(y) else np.zeros((0, 1))
-    if not len(x) or y.min() == y.max():
+    seen = stage(joined.mapInArrow(per_slice(slices, describe, text), "k string, label int, x array<double>"), "quality-features")
+    sizes = {row.label: row.n for row in seen.groupBy("label").agg(F.count("*").alias("n")).collect()}
+    if len(sizes) < 2:
         k = features(pa.array([""])).shape[1]
         return QualityModel(np.zeros(k), np.ones(k), np.zeros(3 * k))
-    model = QualityModel(x.mean(axis=0), np.maximum(x.std(axis=0), 1e-6), np.zeros(0))
-    z = expand((x - model.mean) / model.spread)
-    model.weights = preferences(z[y == 1], z[y == 0])
-    rank = model.rank(x)
-    model.cut = best_quantile(rank, y)
-    model.slope = max(1e-3, float(logistic_fit(rank[:, None], y.astype(float), np.ones(len(y)))[1]))
+    n, rare = sum(sizes.values()), min(sizes, key=lambda x: (sizes[x], x))
+    groups = grouped_rows(seen.withColumn("rare", F.col("label") == rare), n, sizes[rare])
+    mean = summed(groups, lambda x, y, _: x[y < COPY].sum(axis=0)) / n
+    spread = np.sqrt(summed(groups, lambda x, y, _: ((x[y < COPY] - mean) ** 2).sum(axis=0)) / n)
+    model = QualityModel(mean, np.maximum(spread, 1e-6), np.zeros(0))
+    model.weights = newton(lambda at: summed(groups, lambda x, y, number: at(*differences(model.standard(x), y % COPY, number))), 3 * len(mean), ridge=1.0)[1:]
+    model.cut = best_quantile(groups, model, n)
+    rank = lambda x, y: (model.rank(x[y < COPY])[:, None], (y[y < COPY] > 0).astype(float))
+    model.slope = max(1e-3, float(newton(lambda at: summed(groups, lambda x, y, _: at(*rank(x, y))), 1)[1]))
     return model
 
 
-def preferences(good: np.ndarray, bad: np.ndarray, seed: int = 7) -> np.ndarray:
-    """Weights that make each ``good`` row score above its ``bad`` partners, by logistic loss on differences."""
-    draw = np.random.default_rng(seed)
-    pairs = max(len(good), len(bad))
+def best_quantile(groups: DataFrame, model: QualityModel, n: int) -> float:
+    """The quantile of the scores of all labelled rows at which the mean accuracy of both labels is highest.
+
+    Scores are counted in bins first; only those in the bins around a quantile go to the driver, each value once.
+    """
+    extremes = np.stack(gathered(groups, lambda x, y, _: Extremes(model.rank(x[y < COPY]))))
+    low, high = -extremes[:, 0].max(), extremes[:, 1].max()
+    bin_of = lambda r: np.clip((r - low) * (RANK_BINS / max(high - low, 1e-300)), 0, RANK_BINS - 1).astype(np.int64)
+    upto = np.cumsum(summed(groups, lambda x, y, _: np.bincount(bin_of(model.rank(x[y < COPY])), minlength=RANK_BINS).astype(float)))
+    place = np.linspace(0.002, 0.998, 499) * (n - 1)
+    below = np.floor(place).astype(np.int64)
+    wanted = np.zeros(RANK_BINS, bool)
+    wanted[np.searchsorted(upto, np.concatenate([below, np.minimum(below + 1, n - 1)]), side="right")] = True
+    task = sent(groups.sparkSession, (model, bin_of, wanted))
+
+    def near(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known_model, to_bin, kept = received(task)
+        for batch in batches:
+            for x, y in zip(batch["x"], batch["y"], strict=True):
+                y = np.frombuffer(y.as_buffer(), np.int8)
+                r = known_model.rank(np.frombuffer(x.as_buffer(), np.float64).reshape(len(y), -1)[y < COPY])
+                yield pa.RecordBatch.from_arrays([pa.array(r[kept[to_bin(r)]])], names=["rank"])
+
+    found = groups.mapInArrow(near, "rank double").groupBy("rank").agg(F.count("*").alias("n")).toArrow().sort_by("rank")
+    values, times = found["rank"].to_numpy(), found["n"].to_numpy()
+    bins = bin_of(values)
+    first = np.searchsorted(bins, bins)  # of the same bin
+    running = np.cumsum(times) - times
+    before = np.where(bins > 0, upto[bins - 1], 0) + running - running[first]  # scores below each value
+    at = lambda i: values[np.searchsorted(before, i, side="right") - 1]
+    lower, upper = at(below), at(np.minimum(below + 1, n - 1))
+    cuts = lower + (upper - lower) * (place - below)
+    edges = len(cuts) + 1
+    counts = summed(groups, lambda x, y, _: np.bincount(np.searchsorted(cuts, model.rank(x[y < COPY]), side="right") + edges * (y[y < COPY] > 0), minlength=2 * edges).astype(float))
+    bad, good = np.cumsum(counts.reshape(2, edges), axis=1)
+    return best_cut(cuts, good, bad)
+
+
+class Extremes(np.ndarray):
+    """The least (negative) and largest of some numbers; adding two of them gives that of both."""
+
+    def __new__(cls, numbers: np.ndarray):
+        return np.array([-numbers.min(initial=np.inf), numbers.max(initial=-np.inf)]).view(cls)
+
+    def __add__(self, other):
+        return np.maximum(self, other).view(Extremes)
+
+
+def differences(z: np.ndarray, label: np.ndarray, number: int = 0, seed: int = 7) -> tuple[np.ndarray, np.ndarray]:
+    """Differences of good rows and their bad partners, in either order, and whether the good one comes first; no pairs without rows of both kinds."""
+    good, bad = z[label > 0], z[label == 0]
+    draw = np.random.default_rng(seed + number)
+    pairs = max(len(good), len(bad)) if len(good) and len(bad) else 0
     difference = np.concatenate([good[draw.permutation(np.resize(np.arange(len(good)), pairs))] - bad[draw.permutation(np.resize(np.arange(len(bad)), pairs))] for _ in range(PAIRS_EACH)])
     side = np.where(draw.random(len(difference)) < 0.5, 1.0, -1.0)  # either order of a pair says the same
-    return logistic_fit(difference * side[:, None], (side > 0).astype(float), np.ones(len(side)), ridge=1.0)[1:]
+    return difference * side[:, None], (side > 0).astype(float)
+
+
+def preferences(good: np.ndarray, bad: np.ndarray, seed: int = 7) -> np.ndarray:
+    """Weights that make each ``good`` row score above its ``bad`` partners, by logistic loss on differences."""
+    x, y = differences(np.concatenate([good, bad]), np.repeat([1, 0], [len(good), len(bad)]), seed=seed)
+    return logistic_fit(x, y, np.ones(len(y)), ridge=1.0)[1:]
 
 
 def quality_scores(docs: DataFrame, model: QualityModel, text: str = "text") -> DataFrame:
@@ -169,13 +275,13 @@ def quality_scores(docs: DataFrame, model: QualityModel, text: str = "text") ->
 
     Every text is read whole; null and empty texts score as a text without words. Columns that are called as the new ones are replaced.
     """
-    sent = docs.sparkSession.sparkContext.broadcast(model)
+    given = docs.sparkSession.sparkContext.broadcast(model)
     kept = docs.drop("quality_score", "quality_rank")
     names = kept.columns
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
         x = features(batch[text])
-        new = [pa.array(sent.value.probability(x)), pa.array(sent.value.rank(x))]
+        new = [pa.array(given.value.probability(x)), pa.array(given.value.rank(x))]
         return pa.RecordBatch.from_arrays([*(batch[c] for c in names), *new], names=[*names, "quality_score", "quality_rank"])
 
     return kept.mapInArrow(per_slice(slices, run, text), kept.schema.toDDL() + ", quality_score double, quality_rank double")
