@@ -15,15 +15,8 @@ def test_csv_files_have_bounded_rows(spark, tables, monkeypatch):
     assert queries.csv_read(spark, tables).count() == queries.raw(spark, tables).count()
 
 
-def test_vectorizer_keeps_no_texts_and_agrees_with_mllib(spark):
-    from pyspark.ml.feature import CountVectorizer
-
-    rows = [(["b", "a", "a"],), (["a", "c", "b"],), (["c", "b", "b", "d"],), (["e", "d"],), ([],)]
-    table = spark.createDataFrame(rows, "terms array<string>").cache()
-    theirs = CountVectorizer(inputCol="terms", outputCol="features", vocabSize=3, minDF=2.0, maxDF=0.5).fit(table)
-    ours = models.review_model(models.naive_bayes(), 3, 2.0).getStages()[1]
-    assert not isinstance(ours, CountVectorizer)  # it caches the term lists of all texts
-    ours.max_share = 0.5
-    model = ours.fit(table)
-    assert model.vocabulary == theirs.vocabulary
-    assert model.transform(table).select("features").collect() == theirs.transform(table).select("features").collect()
+def test_models_of_reviews_are_fitted_on_small_parts(spark):
+    table = spark.range(0, 103, 1, 2)
+    parts = models.in_small_parts(table, 10)
+    assert parts.rdd.getNumPartitions() == 11 and parts.count() == 103
+    assert models.in_small_parts(table, 60).rdd.getNumPartitions() == 2
