@@ -191,6 +191,8 @@ class Items:
                 masks[h] = masks.get(h, 0) | 1 << k
             self.masks.append(masks)
         self.directions = {k: np.array(v, dtype=np.float32).T.copy() for k, v in rows.items()}
+        self.vocabulary = np.unique(np.concatenate([own for own, _ in self.counted] or [np.zeros(0, np.uint32)]))
+        self.codes = [np.searchsorted(self.vocabulary, own) for own, _ in self.counted]
 
     def verify(self, item: int, text: list[int]) -> tuple[float, bool]:
         """The share of the item's words that the text has in their order, and whether it has the answer's words in theirs."""
@@ -231,28 +233,53 @@ def common_subsequence(masks: dict[int, int], n: int, text: list[int]) -> int:
     return n - row.bit_count()
 
 
-def enough_words(words: Rows, terms: np.ndarray, items: Items, item: int, low: np.ndarray, high: np.ndarray, share: float) -> np.ndarray:
-    """Which stretches of words have ``share`` of the item's words in common with it, each as often as the item has it: a bound of the common subsequence that loses none."""
-    own, times = items.counted[item]
-    held = np.zeros(TERMS + 1, bool)
-    held[items.terms[item]] = True
-    at = np.flatnonzero(held[terms[: len(words.words)]])
-    first, last = np.searchsorted(at, low), np.searchsorted(at, high)
+class Places:
+    """Where the words of the items, by their number in the vocabulary, are among the words of some documents."""
+
+    def __init__(self, words: np.ndarray, vocabulary: np.ndarray):
+        code = np.searchsorted(vocabulary, words)
+        place = np.flatnonzero(vocabulary[np.minimum(code, len(vocabulary) - 1)] == words)
+        code = code[place]
+        order = np.argsort(code.astype(np.uint16) if len(vocabulary) < 1 << 16 else code, kind="stable")
+        self.place, self.counts = place[order], np.bincount(code, minlength=len(vocabulary))
+        self.last = np.cumsum(self.counts)
+
+    def of(self, codes: np.ndarray) -> list[np.ndarray]:
+        """The places of each of some words."""
+        last = self.last[codes]
+        return [self.place[x:y] for x, y in zip((last - self.counts[codes]).tolist(), last.tolist(), strict=True)]
+
+
+def enough_words(places: Places, items: Items, item: int, low: np.ndarray, high: np.ndarray, share: float) -> np.ndarray:
+    """Which stretches of words have ``share`` of the item's words in common with it, each as often as the item has it: a bound of the common subsequence that loses none.
+
+    The words that are most frequent here are first taken as found, up to half of what is needed, and only the others are looked for; in the stretches that are left all are counted.
+    """
     need = share * len(items.words[item])
-    out = last - first >= need
+    codes, times = items.codes[item], items.counted[item][1]
+    order = np.argsort(-places.counts[codes], kind="stable")
+    codes, times = codes[order], times[order]
+    given = int(np.searchsorted(np.cumsum(times), need / 2, side="right"))
+    rare = np.sort(np.concatenate(places.of(codes[given:])))
+    out = np.searchsorted(rare, high) - np.searchsorted(rare, low) + times[:given].sum() >= need
     some = np.flatnonzero(out)
-    for start in range(0, len(some), 4096):
-        part = some[start : start + 4096]
-        counts = last[part] - first[part]
-        edges = np.concatenate([[0], np.cumsum(counts)])
-        found = words.words[at[np.arange(edges[-1]) - np.repeat(edges[:-1] - first[part], counts)]]
-        code = np.minimum(np.searchsorted(own, found), len(own) - 1)
-        key = (np.repeat(np.arange(len(part)), counts) * len(own) + code)[own[code] == found]
-        common = np.minimum(np.bincount(key, minlength=len(part) * len(own)).reshape(len(part), -1), times).sum(axis=1)
-        out[part] = common >= need
+    if len(some):
+        common = np.zeros(len(some), np.int64)
+        for most, place in zip(times.tolist(), places.of(codes), strict=True):
+            common += np.minimum(np.searchsorted(place, high[some]) - np.searchsorted(place, low[some]), most)
+        out[some] = common >= need
     return out
 
 
+def set_places(flags: np.ndarray) -> np.ndarray:
+    """The places of the few set flags of a table, row by row; eight at a time are passed over if none is set."""
+    flat = flags.ravel()
+    whole = flat[: len(flat) // 8 * 8]
+    some = np.flatnonzero(whole.view(np.uint64))
+    at = np.flatnonzero(whole.reshape(-1, 8)[some])
+    return np.concatenate([some[at >> 3] * 8 + (at & 7), len(whole) + np.flatnonzero(flat[len(whole) :])])
+
+
 def near_windows(words: Rows, latent: np.ndarray, items: Items, least: float, padded: np.ndarray) -> np.ndarray:
     """(row, item, first word, last word) and the cosine of all windows near an item; of windows of one size in a row that are near one item, each that is no farther than its neighbours.
 
@@ -272,7 +299,7 @@ def near_windows(words: Rows, latent: np.ndarray, items: Items, least: float, pa
     row_end = words.first[1:][rows]
     sums = np.zeros((n, latent.shape[1]), np.float32)
     for k in range(BLOCK):
-        sums += latent[padded[np.where(starts + k < row_end, starts + k, -1)]]
+        sums += latent.take(padded[np.where(starts + k < row_end, starts + k, -1)], axis=0)
     asked: dict[tuple[int, int], list[int]] = {}
     for blocks in items.directions:
         for half in HALVES:
@@ -308,11 +335,11 @@ def near_windows(words: Rows, latent: np.ndarray, items: Items, least: float, pa
             product = window @ directions
             if len(short):
                 window[short] = kept
-            hit = np.flatnonzero(product >= np.where(use, np.maximum(least * norm, 1e-12), np.inf)[:, None])
+            hit = set_places(product >= np.where(use, np.maximum(least * norm, 1e-12), np.inf)[:, None])
             if not len(hit):
                 continue
-            at, k = hit // len(members), hit % len(members)
-            order = np.argsort(k, kind="stable")
+            at, k = np.divmod(hit, len(members))
+            order = np.argsort(k.astype(np.uint16), kind="stable")  # of at most ITEM_BLOCK
             at, k = at[order], k[order]
             value, block = product[at, k] / norm[at], here[at]
             new = np.append(True, (k[1:] != k[:-1]) | (at[1:] > at[:-1] + stride) | (rows[block[1:]] != rows[block[:-1]]))
@@ -328,17 +355,18 @@ def candidates(words: Rows, latent: np.ndarray, items: Items, least: float, shar
     """(row, item, first word, last word, cosine) of all different stretches around windows near an item that have enough of its words to be verified."""
     padded = np.append(words.terms, TERMS)  # the last latent vector is zero
     near = near_windows(words, latent, items, least, padded)
-    near = near[:, np.lexsort((-near[4], near[1]))]
     row, item, begin, end = near[:4].astype(np.int64)
     size = np.array([len(x) for x in items.words] or [0])[item]
     low, high = np.maximum(words.first[row], begin - size // 2), np.minimum(words.first[row + 1], end + size // 2)
-    edges = np.searchsorted(item, np.arange(len(items.ids) + 1))
+    order = np.argsort(item.astype(np.uint16), kind="stable")  # of at most ITEM_BLOCK
+    edges = np.concatenate([[0], np.cumsum(np.bincount(item, minlength=len(items.ids)))])
+    places = Places(words.words, items.vocabulary) if len(order) else None
     for i in np.flatnonzero(np.diff(edges)).tolist():
-        mine = np.arange(edges[i], edges[i + 1])
+        mine = order[edges[i] : edges[i + 1]]
+        mine = mine[enough_words(places, items, i, low[mine], high[mine], share)]
+        mine = mine[np.argsort(-near[4, mine], kind="stable")]
         _, first = np.unique(low[mine] * (len(words.words) + 1) + high[mine], return_index=True)  # the nearest of equal stretches
-        mine = mine[np.sort(first)]
-        mine = mine[enough_words(words, padded, items, i, low[mine], high[mine], share)]
-        for j in mine.tolist():
+        for j in mine[np.sort(first)].tolist():
             yield int(row[j]), i, int(low[j]), int(high[j]), float(near[4, j])
 
 
