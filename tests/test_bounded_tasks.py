@@ -20,3 +20,11 @@ def test_models_of_reviews_are_fitted_on_small_parts(spark):
     parts = models.in_small_parts(table, 10)
     assert parts.rdd.getNumPartitions() == 11 and parts.count() == 103
     assert models.in_small_parts(table, 60).rdd.getNumPartitions() == 2
+
+
+def test_long_reviews_make_smaller_parts(spark):
+    table = spark.range(0, 40, 1, 2).selectExpr("id", "if(id < 20, repeat('long text ', 100), null) as text")
+    parts = models.in_small_parts(table, 30, text="text", chars=2_000)
+    assert parts.rdd.getNumPartitions() == 10 and parts.count() == 40
+    assert models.in_small_parts(table, 30, text="text", chars=20_000).rdd.getNumPartitions() == 2
+    assert models.in_small_parts(table.where("id < 0"), 30, text="text").rdd.getNumPartitions() == 2
