@@ -28,7 +28,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from starlens.llm.bpe import byte_letters
-from starlens.llm.common import Memory
 from starlens.llm.words import CHUNK, slices, text_bytes, words_of, worker_memory
 from starlens.session import stage, staging_path
 
@@ -41,13 +40,18 @@ LEVEL = 1
 TOGETHER = 1 << 22
 #: The listing of one document: id, whether it has one, first token in the file, tokens, frame.
 ENTRY = np.dtype([("doc", "<i8"), ("known", "u1"), ("first", "<u8"), ("tokens", "<u8"), ("frame", "<u4")])
-BREAK = np.zeros(256, bool)
-BREAK[[9, 10, 11, 12, 13, 32]] = True
-SIGN, LETTER = np.zeros(256, bool), np.zeros(256, bool)
-SIGN[[ord(x) for x in ".,;:!?"]] = True
-LETTER[[*range(65, 91), *range(97, 123)]] = True
-#: Pieces in each of the two generations whose ids a worker remembers.
-REMEMBERED = 400_000
+#: What a byte is to ``pieces``: anything else, ASCII white space, a sign, a letter.
+OTHER, BREAK, SIGN, LETTER = range(4)
+KIND = np.full(256, OTHER, np.uint8)
+KIND[[9, 10, 11, 12, 13, 32]] = BREAK
+KIND[[ord(x) for x in ".,;:!?"]] = SIGN
+KIND[[*range(65, 91), *range(97, 123)]] = LETTER
+#: Signs that are one token run behind a word; the apostrophe is none, it begins English endings.
+SIGNS = "!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~"
+#: Pieces, and ids of pieces, from which on a worker forgets what it knows.
+REMEMBERED, REMEMBERED_IDS = 1 << 20, 1 << 23
+#: Words that the model is asked for as one text, and what stands between them.
+ASKED, BETWEEN = 1000, "0"
 
 
 def file_system(uri: str) -> tuple[pafs.FileSystem, str]:
@@ -135,9 +139,9 @@ class Reader:
 
 def pieces(data: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Bytes as they are, which of them are no ASCII white space, and signs between a letter and white space, which are pieces of their own."""
-    inside = ~BREAK[data]
-    signs = SIGN[data[1:-1]] & LETTER[data[:-2]] & ~inside[2:]
-    return data, inside, np.flatnonzero(signs) + 1
+    kind = KIND[data]
+    signs = np.flatnonzero(kind[1:-1] == SIGN) + 1
+    return data, kind != BREAK, signs[(kind[signs - 1] == LETTER) & (kind[signs + 1] == BREAK)]
 
 
 def packed(ids: list[int]) -> bytes:
@@ -153,36 +157,96 @@ def unbroken(texts: pa.Array) -> list[int]:
     data, offsets = text_bytes(texts)
     out = []
     for i in np.flatnonzero(np.diff(offsets) >= CHUNK - 2).tolist():
-        gaps = np.flatnonzero(BREAK[data[offsets[i] : offsets[i + 1]]])
+        gaps = np.flatnonzero(KIND[data[offsets[i] : offsets[i + 1]]] == BREAK)
         if np.diff(np.concatenate([[-1], gaps, [offsets[i + 1] - offsets[i]]])).max() >= CHUNK - 1:
             out.append(i)
     return out
 
 
+class Known:
+    """The ids of pieces by the pieces' 64-bit hashes: open addressing in arrays, so that all pieces of some texts are looked up at once."""
+
+    def __init__(self, slots: int = 2 * REMEMBERED):
+        self.keys = np.zeros(slots, np.uint64)  # 0 is a free slot
+        self.start, self.size = np.zeros(slots, np.int64), np.zeros(slots, np.int64)
+        self.ids = np.zeros(1 << 16, "<u4")
+        self.pieces = self.used = 0
+
+    def places(self, hashes: np.ndarray) -> np.ndarray:
+        """The slot of each hash, or the free one where it belongs."""
+        mask = len(self.keys) - 1
+        at = (hashes & np.uint64(mask)).astype(np.int64)
+        there = self.keys[at]
+        left = np.flatnonzero((there != hashes) & (there != 0))
+        while len(left):
+            at[left] = (at[left] + 1) & mask
+            there = self.keys[at[left]]
+            left = left[(there != hashes[left]) & (there != 0)]
+        return at
+
+    def put(self, hashes: np.ndarray, start: np.ndarray, size: np.ndarray) -> None:
+        """Fill a slot for each of some different hashes that have none."""
+        while len(hashes):
+            at = self.places(hashes)
+            self.keys[at] = hashes  # of several at one slot one stays, the others look on
+            mine = self.keys[at] == hashes
+            self.start[at[mine]], self.size[at[mine]] = start[mine], size[mine]
+            hashes, start, size = hashes[~mine], start[~mine], size[~mine]
+
+    def add(self, hashes: np.ndarray, coded: list[bytes]) -> None:
+        """Add different new pieces; there are at least twice as many slots as pieces, and slots move when they become more."""
+        self.pieces += len(hashes)
+        if 2 * self.pieces > len(self.keys):
+            old = self.keys, self.start, self.size
+            slots = 1 << (2 * self.pieces).bit_length()
+            self.keys, self.start, self.size = np.zeros(slots, np.uint64), np.zeros(slots, np.int64), np.zeros(slots, np.int64)
+            full = old[0] != 0
+            self.put(*(x[full] for x in old))
+        new = np.frombuffer(b"".join(coded), "<u4")
+        if self.used + len(new) > len(self.ids):
+            self.ids = np.concatenate([self.ids[: self.used], np.zeros(max(self.used, 1 << 16) + len(new), "<u4")])
+        self.ids[self.used : self.used + len(new)] = new
+        size = np.fromiter(map(len, coded), np.int64, len(coded)) // 4
+        self.put(hashes, self.used + np.cumsum(size) - size, size)
+        self.used += len(new)
+
+
 class Encoder:
     """The tokenizers library, asked once for each piece of text between ASCII white space.
 
     For a vocabulary that drops white space the ids of a text are those of its pieces, one after the other. A piece
-    of Latin letters with at most one sign behind is looked up, and asked for, in small letters without the sign;
-    these need no normaliser and are one word, so a tokenizer of the same model alone takes them.
+    of Latin letters with signs behind is asked for in small letters, the signs apart;
+    these need no normaliser and are one word each, so a tokenizer of the same model alone takes them, many as one text.
     """
 
-    plain = re.compile(r"([a-zà-öø-ÿ]+)([.,;:!?]?)")
+    plain = re.compile(rf"([a-zß-öø-ÿ]+)([{re.escape(SIGNS)}]*)")
 
     def __init__(self, file: bytes):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_str(file.decode())
-        self.model = Tokenizer.from_str(json.dumps(json.loads(file) | {"normalizer": None, "pre_tokenizer": None, "added_tokens": []}))
+        self.model = Tokenizer.from_str(json.dumps(json.loads(file) | {"normalizer": None, "pre_tokenizer": {"type": "WhitespaceSplit"}, "added_tokens": []}))
         for x in (self.tokenizer, self.model):
             x.no_truncation()
             x.no_padding()
-        self.letters = dict(enumerate(byte_letters()))
+        self.letters = dict(enumerate(byte_letters())) | {32: " "}
         self.by_piece = self.whole("a b\xa0c\u2003d\ne") == b"".join(self.whole(x) for x in "abcde") and not self.whole(" \t\n\r\x0b\x0c\x85\xa0\u1680\u2000\u2028\u2029\u202f\u205f\u3000")
-        tried = ["house", "été", "größe", "ÿ", ".", "?", "niñoundso"]
-        self.small = self.by_piece and self.whole("Été. GRÖßE") == self.whole("été") + self.whole(".") + self.whole("größe") and self.ask_model(tried) == [self.whole(x) for x in tried]
-        self.memory = Memory(REMEMBERED)
+        between = self.model.encode(BETWEEN, add_special_tokens=False).ids
+        self.between = between[0] if len(between) == 1 else None
+        self.small = self.by_piece and self.between is not None and self.one_word_each()
+        self.known = Known()
+
+    def one_word_each(self) -> bool:
+        """Whether capitals are small letters, signs behind a word are one word, and the model alone gives the same ids."""
+        tried = ["house", "été", "größe", "ÿ", ".", "?", "niñoundso", *(x + y for x in SIGNS for y in SIGNS)]
+        try:
+            asked = self.ask_model(tried)
+        except ValueError:
+            return False
+        if self.whole("Été. GRÖßE") != self.whole("été") + self.whole(".") + self.whole("größe") or asked != [self.whole(x) for x in tried]:
+            return False
+        return self.whole(" ".join(f"Été{x}" for x in tried[7:])) == b"".join(self.whole("été") + x for x in asked[7:])
 
     def whole(self, text: str) -> bytes:
         return packed(self.tokenizer.encode(text, add_special_tokens=False).ids)
@@ -191,32 +255,33 @@ class Encoder:
         return [packed(x.ids) for x in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
     def ask_model(self, words: list[str]) -> list[bytes]:
-        spelt = "\n".join(words).encode().decode("latin-1").translate(self.letters | {10: "\n"}).split("\n") if words else []
-        return [packed(x.ids) for x in self.model.encode_batch_fast(spelt, add_special_tokens=False)]
-
-    def learn(self, fresh: list[bytes]) -> None:
-        """Add the ids of new pieces, in UTF-8, to the known ones."""
-        parts: dict[bytes, tuple[bytes, bytes]] = {}
-        rest: list[bytes] = []
-        if self.small:
-            match = self.plain.fullmatch
-            lower = b"\n".join(fresh).decode().lower()  # no piece has a line break
-            for x, text, coded in zip(fresh, lower.split("\n"), lower.encode().split(b"\n"), strict=True):
-                m = match(text)
-                if not m:
-                    rest.append(x)
-                elif m.end(1) < len(text):
-                    parts[x] = coded[:-1], coded[-1:]
-                else:
-                    parts[x] = coded, b""
-        else:
-            rest = fresh
-        bare = self.memory.missing({y for x in parts.values() for y in x if y})
-        known = self.memory.known
-        known.update(zip(bare, self.ask_model([x.decode() for x in bare]), strict=True))
-        known.update(zip(rest, self.ask([x.decode() for x in rest]), strict=True))
-        for x, (word, sign) in parts.items():
-            known[x] = known[word] + known[sign] if sign else known[word]
+        """The ids of words of small letters or of signs; ``BETWEEN`` is neither and has an id that they cannot have."""
+        out = []
+        texts = [f" {BETWEEN} ".join(words[k : k + ASKED]).encode().decode("latin-1").translate(self.letters) for k in range(0, len(words), ASKED)]
+        for x in self.model.encode_batch_fast(texts, add_special_tokens=False):
+            ids = np.array(x.ids, "<u4")
+            cuts = (4 * np.flatnonzero(ids == self.between)).tolist()
+            raw = ids.tobytes()
+            out += [raw[a:b] for a, b in zip([0, *(c + 4 for c in cuts)], [*cuts, len(raw)], strict=True)]
+        if len(out) != len(words):
+            raise ValueError("the model does not keep words apart")
+        return out
+
+    def ids_of(self, fresh: list[bytes]) -> list[bytes]:
+        """The ids of pieces in UTF-8."""
+        if not self.small:
+            return self.ask([x.decode() for x in fresh])
+        match = self.plain.fullmatch
+        lower = b"\n".join(fresh).decode().lower().split("\n")  # no piece has a line break
+        found = list(map(match, lower))
+        rest = [i for i, m in enumerate(found) if m is None]
+        parts = [m.groups() if m else ("", "") for m in found]
+        words = list({x for pair in parts for x in pair if x})
+        coded = {"": b""} | dict(zip(words, self.ask_model(words), strict=True))
+        out = [coded[word] + coded[signs] for word, signs in parts]
+        for i, ids in zip(rest, self.ask([fresh[i].decode() for i in rest]), strict=True):
+            out[i] = ids
+        return out
 
     def encode(self, texts: pa.Array) -> list[bytes]:
         """The ids of each text as little-endian unsigned 32-bit integers."""
@@ -230,24 +295,25 @@ class Encoder:
         found = words_of(texts, separate=pieces)
         if not len(found.hashes):
             return [b""] * len(texts)
-        _, at, which = np.unique(found.hashes, return_index=True, return_inverse=True)
-        raw = found.data.tobytes()
-        keys = [raw[a:b] for a, b in zip(found.begin[at].tolist(), found.end[at].tolist(), strict=True)]
-        self.memory.turn()
-        known = self.memory.known
-        coded = list(map(known.get, keys))
-        unknown = [i for i, x in enumerate(coded) if x is None]
-        if unknown:
-            fresh = self.memory.missing({keys[i] for i in unknown})
-            if fresh:
-                self.learn(fresh)
-            for i in unknown:
-                coded[i] = known[keys[i]]
-        size = np.array([len(x) // 4 for x in coded])
-        start = np.cumsum(size) - size
-        size, start = size[which], start[which]  # of every piece in the text's order
+        if self.known.pieces > REMEMBERED or self.known.used > REMEMBERED_IDS:
+            self.known = Known()
+        known = self.known
+        hashes = np.maximum(found.hashes, 1)
+        at = known.places(hashes)
+        new = np.flatnonzero(known.keys[at] == 0)
+        if len(new):
+            fresh, first = np.unique(hashes[new], return_index=True)
+            raw = found.data.tobytes()
+            cuts = zip(found.begin[new[first]].tolist(), found.end[new[first]].tolist(), strict=True)
+            slots = len(known.keys)
+            known.add(fresh, self.ids_of([raw[a:b] for a, b in cuts]))
+            if len(known.keys) == slots:
+                at[new] = known.places(hashes[new])
+            else:
+                at = known.places(hashes)
+        size, start = known.size[at], known.start[at]  # of every piece in the text's order
         ends = np.cumsum(size)
-        ids = np.frombuffer(b"".join(coded), dtype="<u4")[np.arange(ends[-1]) + np.repeat(start - ends + size, size)].tobytes()
+        ids = known.ids[np.arange(ends[-1]) + np.repeat(start - ends + size, size)].tobytes()
         bounds = (4 * np.append(0, ends)[found.first]).tolist()
         return [ids[a:b] for a, b in zip(bounds, bounds[1:], strict=False)]
 

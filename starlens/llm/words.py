@@ -102,11 +102,10 @@ def folded(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 def spans(inside: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Begin and end of each run of ``inside``; no run reaches over a row's end."""
     n = len(inside)
-    edges = np.unique(offsets)
     before, after = np.zeros(n, bool), np.zeros(n, bool)
     before[1:], after[:-1] = inside[:-1], inside[1:]
-    before[edges[edges < n]] = False
-    after[edges[edges > 0] - 1] = False
+    before[offsets[offsets < n]] = False
+    after[offsets[offsets > 0] - 1] = False
     return np.flatnonzero(inside & ~before), np.flatnonzero(inside & ~after) + 1
 
 
