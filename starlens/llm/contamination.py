@@ -35,6 +35,8 @@ LEAST_WORDS, ITEM_BLOCK = 5, 4000
 HALVES = (2, 3, 4)
 #: Windows of one width that are measured together.
 WINDOWS = 8192
+#: Pairs of a stretch and a word, and of a document and an item, that are counted together.
+TOGETHER, MATRIX = 1 << 18, 1 << 20
 #: Entries of each row of the random matrix.
 SPARSE = 3
 
@@ -193,6 +195,11 @@ class Items:
         self.directions = {k: np.array(v, dtype=np.float32).T.copy() for k, v in rows.items()}
         self.vocabulary = np.unique(np.concatenate([own for own, _ in self.counted] or [np.zeros(0, np.uint32)]))
         self.codes = [np.searchsorted(self.vocabulary, own) for own, _ in self.counted]
+        codes = np.concatenate([*self.codes, np.zeros(0, np.int64)])
+        order = np.argsort(codes, kind="stable")  # the items of each word, and how often they have it
+        self.holders = np.repeat(np.arange(len(self.ids)), [len(x) for x in self.codes])[order]
+        self.held = np.concatenate([*(n for _, n in self.counted), np.zeros(0, np.int64)])[order]
+        self.first_holder = np.searchsorted(codes[order], np.arange(len(self.vocabulary) + 1))
 
     def verify(self, item: int, text: list[int]) -> tuple[float, bool]:
         """The share of the item's words that the text has in their order, and whether it has the answer's words in theirs."""
@@ -237,17 +244,23 @@ class Places:
     """Where the words of the items, by their number in the vocabulary, are among the words of some documents."""
 
     def __init__(self, words: np.ndarray, vocabulary: np.ndarray):
-        code = np.searchsorted(vocabulary, words)
-        place = np.flatnonzero(vocabulary[np.minimum(code, len(vocabulary) - 1)] == words)
-        code = code[place]
+        self.words = len(words) + 1
+        begins = np.zeros(1 << 16, bool)
+        begins[vocabulary >> np.uint32(16)] = True
+        place = np.flatnonzero(begins[words >> np.uint32(16)])  # few others begin like a word of the items
+        code = np.searchsorted(vocabulary, words[place])
+        same = vocabulary[np.minimum(code, len(vocabulary) - 1)] == words[place]
+        place, code = place[same], code[same]
+        self.by_place = place, code
         order = np.argsort(code.astype(np.uint16) if len(vocabulary) < 1 << 16 else code, kind="stable")
         self.place, self.counts = place[order], np.bincount(code, minlength=len(vocabulary))
         self.last = np.cumsum(self.counts)
 
-    def of(self, codes: np.ndarray) -> list[np.ndarray]:
-        """The places of each of some words."""
-        last = self.last[codes]
-        return [self.place[x:y] for x, y in zip((last - self.counts[codes]).tolist(), last.tolist(), strict=True)]
+    def of(self, codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The places of some words, word after word, and how many each has."""
+        counts = self.counts[codes]
+        ends = np.cumsum(counts)
+        return self.place[np.arange(ends[-1] if len(ends) else 0) + np.repeat(self.last[codes] - ends, counts)], counts
 
 
 def enough_words(places: Places, items: Items, item: int, low: np.ndarray, high: np.ndarray, share: float) -> np.ndarray:
@@ -260,14 +273,37 @@ def enough_words(places: Places, items: Items, item: int, low: np.ndarray, high:
     order = np.argsort(-places.counts[codes], kind="stable")
     codes, times = codes[order], times[order]
     given = int(np.searchsorted(np.cumsum(times), need / 2, side="right"))
-    rare = np.sort(np.concatenate(places.of(codes[given:])))
-    out = np.searchsorted(rare, high) - np.searchsorted(rare, low) + times[:given].sum() >= need
+    rare = np.sort(places.of(codes[given:])[0])
+    out = rare.searchsorted(high) - rare.searchsorted(low) + times[:given].sum() >= need
     some = np.flatnonzero(out)
     if len(some):
-        common = np.zeros(len(some), np.int64)
-        for most, place in zip(times.tolist(), places.of(codes), strict=True):
-            common += np.minimum(np.searchsorted(place, high[some]) - np.searchsorted(place, low[some]), most)
-        out[some] = common >= need
+        place, counts = places.of(codes)
+        word = np.arange(len(codes)) * places.words  # every word has a line of its own, one after the other
+        lines = place + np.repeat(word, counts)
+        for some in np.array_split(some, -(-len(some) * len(codes) // TOGETHER)):
+            has = lines.searchsorted(high[some, None] + word) - lines.searchsorted(low[some, None] + word)
+            out[some] = np.minimum(has, times).sum(axis=1) >= need
+    return out
+
+
+def rows_with_enough(places: Places, words: Rows, items: Items, share: float) -> np.ndarray:
+    """Which documents (rows) have ``share`` of the words of which items (columns), each as often as the item has it: in others no stretch has."""
+    rows, n = len(words.first) - 1, len(items.ids)
+    out = np.zeros((rows, n), bool)
+    need = share * np.array([len(x) for x in items.words])
+    place, code = places.by_place
+    size = len(items.vocabulary)
+    pair, times = np.unique((np.searchsorted(words.first, place, side="right") - 1) * size + code, return_counts=True)
+    step = max(1, MATRIX // max(n, 1))
+    for low in range(0, rows, step):
+        high = min(low + step, rows)
+        here = slice(*np.searchsorted(pair, (low * size, high * size)))
+        row, code = np.divmod(pair[here], size)
+        holders = items.first_holder[code + 1] - items.first_holder[code]
+        ends = np.cumsum(holders)
+        at = np.arange(ends[-1] if len(ends) else 0) + np.repeat(items.first_holder[code + 1] - ends, holders)
+        has = np.minimum(items.held[at], np.repeat(times[here], holders))
+        out[low:high] = np.bincount(np.repeat((row - low) * n, holders) + items.holders[at], has, (high - low) * n).reshape(high - low, n) >= need
     return out
 
 
@@ -275,15 +311,15 @@ def set_places(flags: np.ndarray) -> np.ndarray:
     """The places of the few set flags of a table, row by row; eight at a time are passed over if none is set."""
     flat = flags.ravel()
     whole = flat[: len(flat) // 8 * 8]
-    some = np.flatnonzero(whole.view(np.uint64))
+    some = np.flatnonzero(whole.view(np.uint64) != 0)  # flags are passed over faster than numbers
     at = np.flatnonzero(whole.reshape(-1, 8)[some])
     return np.concatenate([some[at >> 3] * 8 + (at & 7), len(whole) + np.flatnonzero(flat[len(whole) :])])
 
 
-def near_windows(words: Rows, latent: np.ndarray, items: Items, least: float, padded: np.ndarray) -> np.ndarray:
-    """(row, item, first word, last word) and the cosine of all windows near an item; of windows of one size in a row that are near one item, each that is no farther than its neighbours.
+def near_windows(words: Rows, latent: np.ndarray, items: Items, least: float, padded: np.ndarray, possible: np.ndarray) -> np.ndarray:
+    """(row, item, first word, last word) and the cosine of all windows near an item that is ``possible`` in their row; of windows of one size in a row that are near one item, each that is no farther than its neighbours.
 
-    The windows of one width are made and measured once, for all items that look at this width.
+    The windows of one width are made and measured once, for all items that look at this width, in the rows where one of them is possible.
     """
     counts = np.diff(words.first)
     per_row = -(-counts // BLOCK)
@@ -298,20 +334,24 @@ def near_windows(words: Rows, latent: np.ndarray, items: Items, least: float, pa
     last = block_first[1:][rows]
     row_end = words.first[1:][rows]
     sums = np.zeros((n, latent.shape[1]), np.float32)
+    some = np.flatnonzero(possible.any(axis=1)[rows])
     for k in range(BLOCK):
-        sums += latent.take(padded[np.where(starts + k < row_end, starts + k, -1)], axis=0)
+        at = starts[some] + k
+        sums[some] += latent.take(padded[np.where(at < row_end[some], at, -1)], axis=0)
     asked: dict[tuple[int, int], list[int]] = {}
     for blocks in items.directions:
         for half in HALVES:
             asked.setdefault((-(-blocks * half // 2), 1 << max(0, blocks.bit_length() - 5)), []).append(blocks)
-    looked = [
-        (width, stride, np.concatenate([items.members[b] for b in sizes]), np.concatenate([items.directions[b] for b in sizes], axis=1))
-        for (width, stride), sizes in sorted(asked.items())
-    ]
+    looked = []
+    for (width, stride), sizes in sorted(asked.items()):
+        members = np.concatenate([items.members[b] for b in sizes])
+        looked.append((width, stride, members, np.concatenate([items.directions[b] for b in sizes], axis=1), possible[:, members].any(axis=1)[rows]))
     widest = looked[-1][0] if looked else 0
-    whole = np.zeros((len(counts), sums.shape[1]), np.float32)
-    some = np.flatnonzero(per_row)
-    whole[some] = np.add.reduceat(sums, block_first[some], axis=0)
+    whole = np.zeros((len(counts), sums.shape[1]), np.float32)  # of the rows that are shorter than a window
+    some = np.flatnonzero((per_row > 0) & (per_row < widest))
+    if len(some):
+        ends = np.cumsum(per_row[some])
+        whole[some] = np.add.reduceat(sums[np.arange(ends[-1]) + np.repeat(block_first[some + 1] - ends, per_row[some])], ends - per_row[some], axis=0)
     sums = np.concatenate([sums, np.zeros((widest, sums.shape[1]), np.float32)])
     left = last - np.arange(n)
     found = [none]
@@ -319,29 +359,37 @@ def near_windows(words: Rows, latent: np.ndarray, items: Items, least: float, pa
         high = min(low + WINDOWS, n)
         here = np.arange(low, high)
         window = np.zeros((high - low, sums.shape[1]), np.float32)
+        heads = np.flatnonzero(place[low:high] == 0)
         made = 0
-        for width, stride, members, directions in looked:
+        for width, stride, members, directions, worth in looked:
             while made < width:  # a block more for all windows; those that leave their row are not used
                 window += sums[low + made : high + made]
                 made += 1
             fits = left[low:high] >= width
             use = fits if stride == 1 else fits & ((place[low:high] % stride == 0) | (left[low:high] == width))
-            short = np.flatnonzero(~fits & (place[low:high] == 0))  # a row shorter than the window is one
+            short = heads[~fits[heads]]  # a row shorter than the window is one
             if len(short):
                 use, kept = use.copy(), window[short]
                 window[short] = whole[rows[low + short]]
                 use[short] = True
-            norm = np.sqrt(np.einsum("ij,ij->i", window, window))
-            product = window @ directions
+            use = np.flatnonzero(use & worth[low:high])
+            measured = window[use]
             if len(short):
                 window[short] = kept
-            hit = set_places(product >= np.where(use, np.maximum(least * norm, 1e-12), np.inf)[:, None])
+            norm = np.sqrt(np.einsum("ij,ij->i", measured, measured))
+            product = measured @ directions
+            hit = set_places(product >= np.maximum(least * norm, 1e-12)[:, None])
             if not len(hit):
                 continue
-            at, k = np.divmod(hit, len(members))
+            own, k = np.divmod(hit, len(members))
+            at = use[own]
+            kept = possible[rows[here[at]], members[k]]
+            own, at, k = own[kept], at[kept], k[kept]
+            if not len(at):
+                continue
             order = np.argsort(k.astype(np.uint16), kind="stable")  # of at most ITEM_BLOCK
-            at, k = at[order], k[order]
-            value, block = product[at, k] / norm[at], here[at]
+            own, at, k = own[order], at[order], k[order]
+            value, block = product[own, k] / norm[own], here[at]
             new = np.append(True, (k[1:] != k[:-1]) | (at[1:] > at[:-1] + stride) | (rows[block[1:]] != rows[block[:-1]]))
             top = (new | (value >= np.append(0, value[:-1]))) & (np.append(new[1:], True) | (value >= np.append(value[1:], 0)))  # the local maxima of each run
             block, k, value = block[top], k[top], value[top]
@@ -354,16 +402,18 @@ def near_windows(words: Rows, latent: np.ndarray, items: Items, least: float, pa
 def candidates(words: Rows, latent: np.ndarray, items: Items, least: float, share: float = PARAPHRASED) -> Iterator[tuple[int, int, int, int, float]]:
     """(row, item, first word, last word, cosine) of all different stretches around windows near an item that have enough of its words to be verified."""
     padded = np.append(words.terms, TERMS)  # the last latent vector is zero
-    near = near_windows(words, latent, items, least, padded)
+    places = Places(words.words, items.vocabulary)
+    near = near_windows(words, latent, items, least, padded, rows_with_enough(places, words, items, share))
     row, item, begin, end = near[:4].astype(np.int64)
     size = np.array([len(x) for x in items.words] or [0])[item]
     low, high = np.maximum(words.first[row], begin - size // 2), np.minimum(words.first[row + 1], end + size // 2)
     order = np.argsort(item.astype(np.uint16), kind="stable")  # of at most ITEM_BLOCK
     edges = np.concatenate([[0], np.cumsum(np.bincount(item, minlength=len(items.ids)))])
-    places = Places(words.words, items.vocabulary) if len(order) else None
     for i in np.flatnonzero(np.diff(edges)).tolist():
         mine = order[edges[i] : edges[i + 1]]
         mine = mine[enough_words(places, items, i, low[mine], high[mine], share)]
+        if not len(mine):
+            continue
         mine = mine[np.argsort(-near[4, mine], kind="stable")]
         _, first = np.unique(low[mine] * (len(words.words) + 1) + high[mine], return_index=True)  # the nearest of equal stretches
         for j in mine[np.sort(first)].tolist():

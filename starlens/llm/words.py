@@ -18,6 +18,8 @@ import pyarrow as pa
 
 #: Bytes of text handled at once; longer texts are cut between words.
 CHUNK = 1 << 20
+#: Bytes whose 64-bit parts are added up together, few enough for a core's cache.
+AT_ONCE = 1 << 15
 BASE = 0x9E3779B97F4A7C15 | 1
 INVERSE = pow(BASE, -1, 1 << 64)
 
@@ -112,7 +114,14 @@ def spans(inside: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarr
 def run_hashes(low: np.ndarray, begin: np.ndarray, end: np.ndarray, head: int) -> tuple[np.ndarray, np.ndarray]:
     """Hashes of the byte runs, and of their first ``head`` bytes (none if ``head`` is 0)."""
     sums = np.zeros(len(low) + 1, dtype=np.uint64)
-    np.cumsum((low.astype(np.uint64) + np.uint64(1)) * powers(BASE)[: len(low)], out=sums[1:])
+    power = powers(BASE)
+    for at in range(0, len(low), AT_ONCE):
+        to = min(at + AT_ONCE, len(low))
+        part = low[at:to].astype(np.uint64)
+        part += np.uint64(1)
+        part *= power[at:to]
+        part[:1] += sums[at : at + 1]
+        np.cumsum(part, out=sums[at + 1 : to + 1])
     undo = powers(INVERSE)[begin]
     left = sums[begin]
     heads = mix((sums[np.minimum(end, begin + head)] - left) * undo) if head else np.zeros(0, np.uint64)
