@@ -35,6 +35,8 @@ LEAST_WORDS, ITEM_BLOCK = 5, 4000
 HALVES = (2, 3, 4)
 #: Windows of one width that are measured together.
 WINDOWS = 8192
+#: Multiplications up to which a product is filled up with empty windows: libraries round small products in another way, and no cosine is to depend on the other rows.
+SMALL = 1_000_000
 #: Pairs of a stretch and a word, and of a document and an item, that are counted together.
 TOGETHER, MATRIX = 1 << 18, 1 << 20
 #: Entries of each row of the random matrix.
@@ -323,6 +325,8 @@ def near_windows(words: Rows, latent: np.ndarray, items: Items, least: float, pa
     """
     counts = np.diff(words.first)
     per_row = -(-counts // BLOCK)
+    whole_first = np.concatenate([[0], np.cumsum(per_row)])
+    per_row = np.where(possible.any(axis=1), per_row, 0)  # rows without a possible item have no blocks
     block_first = np.concatenate([[0], np.cumsum(per_row)])
     n = int(block_first[-1])
     none = np.zeros((5, 0))
@@ -334,10 +338,8 @@ def near_windows(words: Rows, latent: np.ndarray, items: Items, least: float, pa
     last = block_first[1:][rows]
     row_end = words.first[1:][rows]
     sums = np.zeros((n, latent.shape[1]), np.float32)
-    some = np.flatnonzero(possible.any(axis=1)[rows])
     for k in range(BLOCK):
-        at = starts[some] + k
-        sums[some] += latent.take(padded[np.where(at < row_end[some], at, -1)], axis=0)
+        sums += latent.take(padded[np.where(starts + k < row_end, starts + k, -1)], axis=0)
     asked: dict[tuple[int, int], list[int]] = {}
     for blocks in items.directions:
         for half in HALVES:
@@ -355,8 +357,9 @@ def near_windows(words: Rows, latent: np.ndarray, items: Items, least: float, pa
     sums = np.concatenate([sums, np.zeros((widest, sums.shape[1]), np.float32)])
     left = last - np.arange(n)
     found = [none]
-    for low in range(0, n, WINDOWS):
-        high = min(low + WINDOWS, n)
+    edges = np.append(np.arange(0, whole_first[-1], WINDOWS), whole_first[-1])  # of all blocks, so that leaving rows out moves none
+    cuts = np.searchsorted(whole_first[rows] + place, edges).tolist()
+    for low, high, size in zip(cuts, cuts[1:], np.diff(edges).tolist(), strict=False):
         here = np.arange(low, high)
         window = np.zeros((high - low, sums.shape[1]), np.float32)
         heads = np.flatnonzero(place[low:high] == 0)
@@ -369,15 +372,16 @@ def near_windows(words: Rows, latent: np.ndarray, items: Items, least: float, pa
             use = fits if stride == 1 else fits & ((place[low:high] % stride == 0) | (left[low:high] == width))
             short = heads[~fits[heads]]  # a row shorter than the window is one
             if len(short):
-                use, kept = use.copy(), window[short]
+                use, apart = use.copy(), window[short]
                 window[short] = whole[rows[low + short]]
                 use[short] = True
             use = np.flatnonzero(use & worth[low:high])
             measured = window[use]
             if len(short):
-                window[short] = kept
+                window[short] = apart
             norm = np.sqrt(np.einsum("ij,ij->i", measured, measured))
-            product = measured @ directions
+            fill = max(0, min(size, SMALL // directions.size + 1) - len(use))
+            product = (np.pad(measured, ((0, fill), (0, 0))) @ directions)[: len(use)] if fill else measured @ directions
             hit = set_places(product >= np.maximum(least * norm, 1e-12)[:, None])
             if not len(hit):
                 continue
