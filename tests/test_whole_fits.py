@@ -48,3 +48,7 @@ def seen(monkeypatch, spark, query):
 
 def test_boosted_refit_learns_from_all_rows(spark, many, monkeypatch):
     assert seen(monkeypatch, spark, queries.boosted_refit) == [ROWS, ROWS]
+
+
+def test_feature_importances_learn_from_all_rows(spark, many, monkeypatch):
+    assert seen(monkeypatch, spark, queries.feature_importances) == [ROWS]
