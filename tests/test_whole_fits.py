@@ -52,3 +52,8 @@ def test_boosted_refit_learns_from_all_rows(spark, many, monkeypatch):
 
 def test_feature_importances_learn_from_all_rows(spark, many, monkeypatch):
     assert seen(monkeypatch, spark, queries.feature_importances) == [ROWS]
+
+
+@pytest.mark.parametrize("name", ["boosted_trees"])
+def test_families_learn_from_all_rows(spark, many, monkeypatch, name):
+    assert seen(monkeypatch, spark, queries.QUERIES[name]) == [ROWS]
