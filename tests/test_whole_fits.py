@@ -54,6 +54,6 @@ def test_feature_importances_learn_from_all_rows(spark, many, monkeypatch):
     assert seen(monkeypatch, spark, queries.feature_importances) == [ROWS]
 
 
-@pytest.mark.parametrize("name", ["boosted_trees"])
+@pytest.mark.parametrize("name", ["boosted_trees", "gradient_boosting"])
 def test_families_learn_from_all_rows(spark, many, monkeypatch, name):
     assert seen(monkeypatch, spark, queries.QUERIES[name]) == [ROWS]
