@@ -57,3 +57,17 @@ def test_feature_importances_learn_from_all_rows(spark, many, monkeypatch):
 @pytest.mark.parametrize("name", ["boosted_trees", "gradient_boosting"])
 def test_families_learn_from_all_rows(spark, many, monkeypatch, name):
     assert seen(monkeypatch, spark, queries.QUERIES[name]) == [ROWS]
+
+
+@pytest.mark.parametrize("name", ["grid_boosted"])
+def test_grids_learn_from_all_rows(spark, many, monkeypatch, name):
+    fits = []
+
+    def noted(train, **options):
+        fits.append(train.count())
+        raise Seen
+
+    monkeypatch.setattr(models, name.replace("grid_", "") + "_grid", noted)
+    with pytest.raises(Seen):
+        queries.QUERIES[name](spark, "")
+    assert fits == [ROWS]
