@@ -59,7 +59,7 @@ def test_families_learn_from_all_rows(spark, many, monkeypatch, name):
     assert seen(monkeypatch, spark, queries.QUERIES[name]) == [ROWS]
 
 
-@pytest.mark.parametrize("name", ["grid_boosted"])
+@pytest.mark.parametrize("name", ["grid_boosted", "grid_forest"])
 def test_grids_learn_from_all_rows(spark, many, monkeypatch, name):
     fits = []
 
