@@ -71,3 +71,9 @@ def test_grids_learn_from_all_rows(spark, many, monkeypatch, name):
     with pytest.raises(Seen):
         queries.QUERIES[name](spark, "")
     assert fits == [ROWS]
+
+
+def test_comparison_learns_from_all_rows(spark, many, monkeypatch):
+    monkeypatch.setattr(training, "model_families", lambda rows: {"XGBoost": models.Boosted(1, 2, 0.5)})
+    monkeypatch.setattr(queries, "corpus", lambda s, d: SimpleNamespace(vocab=spark.range(1)))
+    assert seen(monkeypatch, spark, queries.QUERIES["model_matrix"]) == [ROWS, ROWS]
