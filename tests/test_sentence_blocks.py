@@ -1,6 +1,7 @@
 """Sentence weights and scores from blocks of sentences, against a plain computation."""
 
 import math
+import os
 import random
 from collections import Counter, defaultdict
 
@@ -8,6 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from starlens.operators import summaries
+from starlens.session import staging_root
 
 SCHEMA = "category string, rating int, review_id bigint, pos int, sentence string"
 NAMES = [f"word{i}" for i in range(40)]
@@ -80,3 +82,13 @@ def test_groups_meet_by_terms_of_blocks_not_of_sentences(spark):
     terms = summaries.term_idf(blocks).count()
     entries = blocks.where("slots is not null").agg(F.sum(F.size("slots"))).first()[0]
     assert entries > 2000 and terms < entries / 5
+
+
+def test_texts_are_kept_once_and_blocks_are_dropped(spark):
+    """What is staged or shuffled beside the sentences themselves has no texts, and blocks go when their products are known."""
+    kept = lambda: {x for x in os.listdir(f"{staging_root(spark).removeprefix('file://')}/starlens") if x.startswith("sentence-blocks")}
+    df = spark.createDataFrame(drawn(60), SCHEMA)
+    assert "sentence" not in summaries.staged_blocks(df).columns
+    before = kept()
+    scores = summaries.sentence_scores(df)
+    assert kept() == before and scores.count() == 60
