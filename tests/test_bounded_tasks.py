@@ -28,3 +28,23 @@ def test_long_reviews_make_smaller_parts(spark):
     assert parts.rdd.getNumPartitions() == 10 and parts.count() == 40
     assert models.in_small_parts(table, 30, text="text", chars=20_000).rdd.getNumPartitions() == 2
     assert models.in_small_parts(table.where("id < 0"), 30, text="text").rdd.getNumPartitions() == 2
+
+
+def test_arriving_files_follow_the_rows_not_the_parts(spark, tables, monkeypatch):
+    """A trigger takes two files, so many small ones would leave most of a cluster idle."""
+    given = spark.range(0, 90, 1, 15).selectExpr("id as review_id", "concat('text of review ', id) as text")
+    seen = []
+
+    def stopped(spark, folder, schema, files):
+        seen.append((len(spark.read.parquet(folder).inputFiles()), spark.read.parquet(folder).count()))
+        raise KeyError
+
+    monkeypatch.setattr(queries, "raw", lambda s, d: given)
+    monkeypatch.setattr(queries.score_files, "arriving_reviews", stopped)
+    for rows, files in ((queries.ARRIVING_ROWS, 4), (10, 9)):
+        monkeypatch.setattr(queries, "ARRIVING_ROWS", rows)
+        try:
+            queries.stream_scores(spark, tables)
+        except KeyError:
+            pass
+        assert seen.pop() == (files, 90)
